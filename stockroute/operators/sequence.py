@@ -10,10 +10,15 @@ partitioned on the range, and shifted by the number of earlier rows:
    only data brought to the driver) gives B-1 boundaries;
 2. ``bucket`` = number of boundaries <= key, a binary-search CASE expression
    of depth log2(B), so it runs inside codegen on every executor;
-3. carries = rows of the same group in earlier buckets, from a count per
-   (bucket, group) of the few groups a boundary can split (at most B-1), a
-   table of at most 2B rows that is broadcast;
-4. ``row_number() OVER (PARTITION BY bucket, group ORDER BY key) + carry``.
+3. a boundary inside an ordinary group is moved to the start of that group
+   (``(g, NULL, ...)`` sorts before every key of g), so only hot groups,
+   those the sample puts two or more boundaries in, span several buckets;
+4. carries = rows of the same hot group in earlier buckets, from a count per
+   (bucket, group) restricted to the hot groups (at most B-1 of them), a
+   table of at most 2B rows that is broadcast. Without hot groups this step
+   is skipped; without groups (one global numbering) it is a count per
+   bucket;
+5. ``row_number() OVER (PARTITION BY bucket, group ORDER BY key) + carry``.
 
 The result equals ``row_number() OVER (PARTITION BY group ORDER BY key)`` for
 any boundaries; the boundaries only decide the balance. The ordering key
@@ -50,49 +55,81 @@ def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
     return build(0, len(bounds))
 
 
-def _boundaries(df: DataFrame, key_cols: list[str], buckets: int, per_bucket: int,
-                seed: int) -> list[tuple]:
-    total = df.count()
+def range_boundaries(keys: DataFrame, key_cols, buckets: int, per_bucket: int = 32,
+                     seed: int = 7) -> list[tuple]:
+    """Up to ``buckets - 1`` sorted boundary keys from a seeded sample of
+    ``keys``. Any frame with the key columns will do (it only steers the
+    balance, never the numbers), e.g. the base table before a filter."""
+    key_cols = list(key_cols)
+    total = keys.count()
     if total == 0 or buckets <= 1:
         return []
     target = buckets * per_bucket
     fraction = min(1.0, target / total)
-    sample = (df.select(*key_cols).sample(withReplacement=False, fraction=fraction, seed=seed)
+    sample = (keys.select(*key_cols).sample(withReplacement=False, fraction=fraction, seed=seed)
               .limit(4 * target)  # hard bound on what reaches the driver
               .orderBy(*key_cols).collect())
-    keys = [tuple(r) for r in sample]
-    if len(keys) < 2:
+    rows = [tuple(r) for r in sample]
+    if len(rows) < 2:
         return []
     picks = []
     for i in range(1, buckets):
-        k = keys[min(len(keys) - 1, (i * len(keys)) // buckets)]
+        k = rows[min(len(rows) - 1, (i * len(rows)) // buckets)]
         if not picks or picks[-1] != k:
             picks.append(k)
     return picks
 
 
+def snap_to_groups(picks: list[tuple], n_group: int) -> tuple[list[tuple], set[tuple]]:
+    """Move each boundary of a non-hot group to the group's first key and
+    return (boundaries, hot groups)."""
+    if n_group == 0:
+        return picks, ({()} if picks else set())
+    per_group: dict[tuple, int] = {}
+    for p in picks:
+        per_group[p[:n_group]] = per_group.get(p[:n_group], 0) + 1
+    hot = {g for g, n in per_group.items() if n > 1}
+    out = []
+    for p in picks:
+        g = p[:n_group]
+        q = p if g in hot else g + (None,) * (len(p) - n_group)
+        if not out or out[-1] != q:
+            out.append(q)
+    return out, hot
+
+
 def row_number(df: DataFrame, order_by, partition_by=(), *, output: str = "row_number",
-               buckets: int | None = None, per_bucket: int = 32, seed: int = 7) -> DataFrame:
+               buckets: int | None = None, boundaries: list[tuple] | None = None,
+               per_bucket: int = 32, seed: int = 7) -> DataFrame:
     """``df`` plus ``output`` = 1-based row number within ``partition_by``
-    (whole frame when empty) in ``order_by`` order (ascending, nulls first)."""
+    (whole frame when empty) in ``order_by`` order (ascending, nulls first).
+    ``boundaries`` (from ``range_boundaries``) skips the sampling pass."""
     order_by, partition_by = list(order_by), list(partition_by)
     key_cols = partition_by + order_by
     fields = [df.schema[c] for c in key_cols]
-    b = buckets or default_buckets(df)
-    picks = _boundaries(df, key_cols, b, per_bucket, seed)
+    if boundaries is None:
+        b = buckets or default_buckets(df)
+        picks = range_boundaries(df, key_cols, b, per_bucket, seed)
+    else:
+        picks = [tuple(p) for p in boundaries]
+    picks, hot = snap_to_groups(picks, len(partition_by))
     key = F.struct(*[F.col(c) for c in key_cols])
     bounds = [_literal_struct(p, fields) for p in picks]
     bucketed = df.withColumn(_BUCKET, _bucket_expr(key, bounds) if bounds else F.lit(0))
 
     carry = None
-    if picks:
+    if hot:
         counts = bucketed
         if partition_by:
-            # Only groups that contain a boundary can span buckets.
+            # Only hot groups span buckets.
             gfields = fields[:len(partition_by)]
-            split = {p[:len(partition_by)] for p in picks}
-            gkey = F.struct(*[F.col(c) for c in partition_by])
-            counts = counts.filter(gkey.isin(*[_literal_struct(g, gfields) for g in split]))
+            if len(partition_by) == 1:
+                only = F.col(partition_by[0])
+                vals = [F.lit(g[0]).cast(gfields[0].dataType) for g in hot]
+                counts = counts.filter(only.isin(*vals))
+            else:
+                gkey = F.struct(*[F.col(c) for c in partition_by])
+                counts = counts.filter(gkey.isin(*[_literal_struct(g, gfields) for g in hot]))
         counts = counts.groupBy(_BUCKET, *partition_by).agg(F.count(F.lit(1)).alias("_n"))
         earlier = (Window.partitionBy(*partition_by).orderBy(_BUCKET)
                    .rowsBetween(Window.unboundedPreceding, -1))

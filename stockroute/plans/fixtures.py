@@ -15,7 +15,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.sequence import row_number
+from ..operators.sequence import default_buckets, range_boundaries, row_number
 
 SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "nation")
 
@@ -86,11 +86,26 @@ def register_sources(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) ->
         spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
 
 
+_LINE_BOUNDS: dict[tuple, list[tuple]] = {}
+
+
+def line_boundaries(spark: SparkSession, sf_dir: str, buckets: int) -> list[tuple]:
+    """Range boundaries for the line renumbering, sampled from lineitem's own
+    key columns (cheaper than the joined view; boundaries only steer the
+    balance) and kept per data directory."""
+    key = (os.path.abspath(sf_dir), buckets)
+    if key not in _LINE_BOUNDS:
+        keys = spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet"))
+        _LINE_BOUNDS[key] = range_boundaries(keys, LINE_GROUP + LINE_ORDER, buckets)
+    return _LINE_BOUNDS[key]
+
+
 def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines (21 typed columns), one per lineitem row."""
     register_sources(spark, sf_dir)
     base = spark.sql(_FX_ORDERS_BASE_SQL)
-    numbered = row_number(base, LINE_ORDER, LINE_GROUP, output="_line_no")
+    bounds = line_boundaries(spark, sf_dir, default_buckets(base))
+    numbered = row_number(base, LINE_ORDER, LINE_GROUP, output="_line_no", boundaries=bounds)
     numbered = numbered.selectExpr(
         "CAST(l_orderkey AS STRING) AS sales_order_number",
         "CAST(_line_no AS STRING) AS sales_order_line_item",
