@@ -29,39 +29,86 @@ executors recompute the same numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime as dt
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BUCKET = "_seq_bucket"
 _CARRY = "_seq_carry"
 
 
-def default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, 4 * parts)
+# Range count: at least one per shuffle partition (so a global numbering uses
+# every core), about ROWS_PER_BUCKET rows each, at most MAX_BUCKETS (the
+# search tree stays small enough for generated code).
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 512
+
+
+def default_buckets(spark, total: int) -> int:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(MAX_BUCKETS, max(parts, -(-total // ROWS_PER_BUCKET))))
+
+
+def sql_literal(value, dtype: T.DataType) -> str:
+    """A Spark SQL literal of ``value`` typed as ``dtype``."""
+    name = dtype.simpleString().upper()
+    if value is None:
+        return f"CAST(NULL AS {name})"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, T.StringType):
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        v = float(value)
+        text = "NaN" if math.isnan(v) else ("Infinity" if v == math.inf else
+                                            "-Infinity" if v == -math.inf else repr(v))
+        return f"CAST('{text}' AS {name})"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
+    if isinstance(dtype, T.TimestampType):
+        # Collected LTZ values are naive local datetimes; go through epoch micros.
+        micros = round(value.timestamp() * 1_000_000) if value.tzinfo is None else \
+            round(value.astimezone(dt.timezone.utc).timestamp() * 1_000_000)
+        return f"timestamp_micros({micros})"
+    if isinstance(dtype, T.DateType):
+        return f"DATE '{value.isoformat()}'"
+    return f"CAST('{value}' AS {name})"
+
+
+def _struct_sql(values, fields) -> str:
+    parts = ", ".join(f"'{f.name}', {sql_literal(v, f.dataType)}" for v, f in zip(values, fields))
+    return f"named_struct({parts})"
 
 
-def _literal_struct(values, fields) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)])
+def _key_sql(fields) -> str:
+    return "named_struct(" + ", ".join(f"'{f.name}', `{f.name}`" for f in fields) + ")"
 
 
-def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
+def _bucket_sql(key: str, bounds: list[str]) -> str:
     """Index of the range holding ``key``: bucket i holds [bounds[i-1], bounds[i])."""
-    def build(lo: int, hi: int) -> Column:
+    def build(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(key < bounds[mid - 1], build(lo, mid - 1)).otherwise(build(mid, hi))
+        return (f"CASE WHEN {key} < {bounds[mid - 1]} THEN {build(lo, mid - 1)} "
+                f"ELSE {build(mid, hi)} END")
     return build(0, len(bounds))
 
 
-def range_boundaries(keys: DataFrame, key_cols, buckets: int, per_bucket: int = 32,
-                     seed: int = 7) -> list[tuple]:
+def range_boundaries(keys: DataFrame, key_cols, buckets: int | None = None,
+                     per_bucket: int = 32, seed: int = 7, pad: int = 0) -> list[tuple]:
     """Up to ``buckets - 1`` sorted boundary keys from a seeded sample of
     ``keys``. Any frame with the key columns will do (it only steers the
-    balance, never the numbers), e.g. the base table before a filter."""
+    balance, never the numbers), e.g. the base table before a filter; the
+    boundaries may cover a leading part of the ordering key, then ``pad``
+    nulls (which sort first) complete them."""
     key_cols = list(key_cols)
     total = keys.count()
+    buckets = buckets or default_buckets(keys.sparkSession, total)
     if total == 0 or buckets <= 1:
         return []
     target = buckets * per_bucket
@@ -74,7 +121,7 @@ def range_boundaries(keys: DataFrame, key_cols, buckets: int, per_bucket: int =
         return []
     picks = []
     for i in range(1, buckets):
-        k = rows[min(len(rows) - 1, (i * len(rows)) // buckets)]
+        k = rows[min(len(rows) - 1, (i * len(rows)) // buckets)] + (None,) * pad
         if not picks or picks[-1] != k:
             picks.append(k)
     return picks
@@ -108,14 +155,14 @@ def row_number(df: DataFrame, order_by, partition_by=(), *, output: str = "row_n
     key_cols = partition_by + order_by
     fields = [df.schema[c] for c in key_cols]
     if boundaries is None:
-        b = buckets or default_buckets(df)
-        picks = range_boundaries(df, key_cols, b, per_bucket, seed)
+        picks = range_boundaries(df, key_cols, buckets, per_bucket, seed)
     else:
         picks = [tuple(p) for p in boundaries]
     picks, hot = snap_to_groups(picks, len(partition_by))
-    key = F.struct(*[F.col(c) for c in key_cols])
-    bounds = [_literal_struct(p, fields) for p in picks]
-    bucketed = df.withColumn(_BUCKET, _bucket_expr(key, bounds) if bounds else F.lit(0))
+    # One SQL text for the whole search tree: a single round trip to the JVM.
+    bounds = [_struct_sql(p, fields) for p in picks]
+    bucket = F.expr(_bucket_sql(_key_sql(fields), bounds)) if bounds else F.lit(0)
+    bucketed = df.withColumn(_BUCKET, bucket)
 
     carry = None
     if hot:
@@ -124,12 +171,11 @@ def row_number(df: DataFrame, order_by, partition_by=(), *, output: str = "row_n
             # Only hot groups span buckets.
             gfields = fields[:len(partition_by)]
             if len(partition_by) == 1:
-                only = F.col(partition_by[0])
-                vals = [F.lit(g[0]).cast(gfields[0].dataType) for g in hot]
-                counts = counts.filter(only.isin(*vals))
+                vals = ", ".join(sql_literal(g[0], gfields[0].dataType) for g in hot)
+                counts = counts.filter(F.expr(f"`{partition_by[0]}` IN ({vals})"))
             else:
-                gkey = F.struct(*[F.col(c) for c in partition_by])
-                counts = counts.filter(gkey.isin(*[_literal_struct(g, gfields) for g in hot]))
+                vals = ", ".join(_struct_sql(g, gfields) for g in hot)
+                counts = counts.filter(F.expr(f"{_key_sql(gfields)} IN ({vals})"))
         counts = counts.groupBy(_BUCKET, *partition_by).agg(F.count(F.lit(1)).alias("_n"))
         earlier = (Window.partitionBy(*partition_by).orderBy(_BUCKET)
                    .rowsBetween(Window.unboundedPreceding, -1))

@@ -15,7 +15,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.sequence import default_buckets, range_boundaries, row_number
+from ..operators.sequence import range_boundaries, row_number
 
 SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "nation")
 
@@ -80,23 +80,35 @@ ORDER_COLUMNS = (
 )
 
 
+_SOURCES: dict[tuple, DataFrame] = {}
+
+
+def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The driver's parquet table (read once per session and directory; the
+    files are read-only)."""
+    key = (id(spark), os.path.abspath(sf_dir), table)
+    if key not in _SOURCES:
+        _SOURCES[key] = spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
+    return _SOURCES[key]
+
+
 def register_sources(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) -> None:
     """Temp views over the driver's parquet files (names as in the SQL)."""
     for t in tables:
-        spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
+        source(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
 _LINE_BOUNDS: dict[tuple, list[tuple]] = {}
 
 
-def line_boundaries(spark: SparkSession, sf_dir: str, buckets: int) -> list[tuple]:
+def line_boundaries(spark: SparkSession, sf_dir: str) -> list[tuple]:
     """Range boundaries for the line renumbering, sampled from lineitem's own
     key columns (cheaper than the joined view; boundaries only steer the
-    balance) and kept per data directory."""
-    key = (os.path.abspath(sf_dir), buckets)
+    balance) and kept per data directory and shuffle width."""
+    key = (os.path.abspath(sf_dir), spark.conf.get("spark.sql.shuffle.partitions"))
     if key not in _LINE_BOUNDS:
-        keys = spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet"))
-        _LINE_BOUNDS[key] = range_boundaries(keys, LINE_GROUP + LINE_ORDER, buckets)
+        keys = source(spark, sf_dir, "lineitem")
+        _LINE_BOUNDS[key] = range_boundaries(keys, LINE_GROUP + LINE_ORDER)
     return _LINE_BOUNDS[key]
 
 
@@ -104,7 +116,7 @@ def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines (21 typed columns), one per lineitem row."""
     register_sources(spark, sf_dir)
     base = spark.sql(_FX_ORDERS_BASE_SQL)
-    bounds = line_boundaries(spark, sf_dir, default_buckets(base))
+    bounds = line_boundaries(spark, sf_dir)
     numbered = row_number(base, LINE_ORDER, LINE_GROUP, output="_line_no", boundaries=bounds)
     numbered = numbered.selectExpr(
         "CAST(l_orderkey AS STRING) AS sales_order_number",

@@ -26,11 +26,14 @@ QUERY_RUN_TS = "2024-06-30T00:00:00"
 
 
 class Flow:
-    def __init__(self, orders: DataFrame, stock_rows: DataFrame, run_ts: str = QUERY_RUN_TS,
+    """``orders`` and ``stock_rows`` are typed input frames, or zero-argument
+    callables returning them (built on first use)."""
+
+    def __init__(self, orders, stock_rows, run_ts: str = QUERY_RUN_TS,
                  rules: Rules = DEFAULT_RULES, *, broadcast_stock: bool = False,
                  ignore_blocked_closed: bool = False, ticket_buckets: int | None = None):
-        self.orders = orders
-        self.stock_rows = stock_rows
+        self._orders = orders
+        self._stock_rows = stock_rows
         self.run_ts = run_ts
         self.rules = rules
         self.broadcast_stock = broadcast_stock
@@ -39,7 +42,16 @@ class Flow:
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, **kw) -> "Flow":
-        return cls(fixtures.fx_orders(spark, sf_dir), fixtures.fx_stock(spark, sf_dir), **kw)
+        return cls(lambda: fixtures.fx_orders(spark, sf_dir),
+                   lambda: fixtures.fx_stock(spark, sf_dir), **kw)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._orders() if callable(self._orders) else self._orders
+
+    @cached_property
+    def stock_rows(self) -> DataFrame:
+        return self._stock_rows() if callable(self._stock_rows) else self._stock_rows
 
     # ---- raw ----
     @cached_property
@@ -135,7 +147,8 @@ class Flow:
 
     @cached_property
     def tickets(self) -> DataFrame:
-        return products.tickets(self.allocation_output, self.run_ts, self.ticket_buckets)
+        return products.tickets(self.allocation_output, self.run_ts, self.ticket_buckets,
+                                boundary_source=self.valid_orders)
 
     @cached_property
     def execution_delivery(self) -> DataFrame:

@@ -17,6 +17,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Skip per-call Python stack capture while building plans (fewer JVM round trips).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
