@@ -10,9 +10,10 @@ partitioned on the range, and shifted by the number of earlier rows:
    only data brought to the driver) gives B-1 boundaries;
 2. ``bucket`` = number of boundaries <= key, a binary-search CASE expression
    of depth log2(B), so it runs inside codegen on every executor;
-3. a boundary inside an ordinary group is moved to the start of that group
-   (``(g, NULL, ...)`` sorts before every key of g), so only hot groups,
-   those the sample puts two or more boundaries in, span several buckets;
+3. with groups, only boundaries inside hot groups (those the sample puts two
+   or more boundaries in) are kept, each hot group starting a bucket of its
+   own (``(g, NULL, ...)`` sorts before every key of g): ordinary groups are
+   spread by hashing the group key anyway, and only hot groups span buckets;
 4. carries = rows of the same hot group in earlier buckets, from a count per
    (bucket, group) restricted to the hot groups (at most B-1 of them), a
    table of at most 2B rows that is broadcast. Without hot groups this step
@@ -128,8 +129,8 @@ def range_boundaries(keys: DataFrame, key_cols, buckets: int | None = None,
 
 
 def snap_to_groups(picks: list[tuple], n_group: int) -> tuple[list[tuple], set[tuple]]:
-    """Move each boundary of a non-hot group to the group's first key and
-    return (boundaries, hot groups)."""
+    """Keep the boundaries that split hot groups, plus the start of each hot
+    group; return (boundaries, hot groups)."""
     if n_group == 0:
         return picks, ({()} if picks else set())
     per_group: dict[tuple, int] = {}
@@ -139,9 +140,12 @@ def snap_to_groups(picks: list[tuple], n_group: int) -> tuple[list[tuple], set[t
     out = []
     for p in picks:
         g = p[:n_group]
-        q = p if g in hot else g + (None,) * (len(p) - n_group)
-        if not out or out[-1] != q:
-            out.append(q)
+        if g not in hot:
+            continue
+        start = g + (None,) * (len(p) - n_group)
+        for q in (start, p):
+            if not out or out[-1] != q:
+                out.append(q)
     return out, hot
 
 

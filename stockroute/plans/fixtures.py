@@ -3,10 +3,11 @@
 The driver ships no order or stock extract, so both inputs are derived by the
 SQL below (FIXTURES.md §2). DuckDB runs the statements as written (they are
 the leading CTEs of every oracle query). Spark runs the same statements except
-for the line renumbering: ``row_number() OVER (PARTITION BY l_orderkey ...)``
-would send a whole order to one task, so Spark numbers lines with the
-range-bucketed ``operators.sequence.row_number``, which gives the same
-numbers.
+for two parts: ``row_number() OVER (PARTITION BY l_orderkey ...)`` would send
+a whole order to one task, so Spark numbers lines with the range-bucketed
+``operators.sequence.row_number``; and the stock rows expand each part with
+generators over the literal location and plant lists instead of joining
+VALUES tables. Both give the same rows.
 """
 
 from __future__ import annotations
@@ -71,6 +72,18 @@ FROM part p CROSS JOIN (VALUES (0,'PT12'),(1,'1000'),(2,'PT11'),(3,'PT15'),(4,'X
      JOIN (VALUES ('P1', 1), ('P2', 50)) AS pl(plant, k) ON p.p_partkey % pl.k = 0
 WHERE p.p_partkey % 20 <> 7"""
 
+# The same rows for Spark without a join: the five locations and two plants
+# are literal lists, so each part row is expanded by generators (explode)
+# instead of a cross join and a non-equi join against VALUES tables.
+_STOCK_SELECT = FX_STOCK_SQL[:FX_STOCK_SQL.index("\nFROM part p")]
+FX_STOCK_SPARK_SQL = _STOCK_SELECT + """
+FROM part p
+LATERAL VIEW explode(array(named_struct('i', 0, 'loc', 'PT12'), named_struct('i', 1, 'loc', '1000'),
+                           named_struct('i', 2, 'loc', 'PT11'), named_struct('i', 3, 'loc', 'PT15'),
+                           named_struct('i', 4, 'loc', 'XX99'))) lv AS v
+LATERAL VIEW explode(array(named_struct('plant', 'P1', 'k', 1), named_struct('plant', 'P2', 'k', 50))) lp AS pl
+WHERE p.p_partkey % 20 <> 7 AND p.p_partkey % pl.k = 0"""
+
 ORDER_COLUMNS = (
     "sales_order_number", "sales_order_line_item", "customer_name", "sold_to_party",
     "ship_to_party", "item_category", "material_ucc14", "material_du", "storage_location",
@@ -128,4 +141,4 @@ def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock rows: parts x locations x plants (9 typed columns)."""
     register_sources(spark, sf_dir, ("part",))
-    return spark.sql(FX_STOCK_SQL)
+    return spark.sql(FX_STOCK_SPARK_SQL)
