@@ -44,14 +44,18 @@ def join_stock(enriched: DataFrame, stock: DataFrame, broadcast_stock: bool = Fa
     return enriched.join(right, on="material_number", how="left")
 
 
-def _quantity() -> Column:
-    # A missing order quantity counts as zero.
+_QTY, _PALLET_OK = "_alloc_qty", "_alloc_pallet_ok"
+
+
+def quantity() -> Column:
+    """The quantity to serve; a missing order quantity counts as zero."""
     return F.coalesce(F.col("order_quantity"), F.lit(0.0))
 
 
-def _pallet_ok(qty: Column) -> Column:
+def pallet_ok(qty: Column) -> Column:
     """True unless the line is full-pallet-only with a positive, parseable
-    pallet size that the quantity is not a whole multiple of."""
+    pallet size that the quantity is not a whole multiple of. It does not
+    depend on the location, so it is computed once per line."""
     size = lenient_double(F.col("packaging_unit"))
     applies = ((F.col("pallet_rule") == FULL_PALLET_ONLY) & is_number(size) & (size > 0))
     return F.when(applies, is_whole_multiple(qty, size)).otherwise(F.lit(True))
@@ -59,11 +63,12 @@ def _pallet_ok(qty: Column) -> Column:
 
 def serves(loc: str) -> Column:
     """Can location ``loc`` serve the line? (Python float semantics: NaN
-    stock or quantity never qualifies.)"""
-    qty = _quantity()
+    stock or quantity never qualifies.) Uses the per-line quantity and
+    pallet columns added by ``allocate``."""
+    qty = F.col(_QTY)
     stock = F.col(stock_col(loc))
     return (F.coalesce(F.col(has_col(loc)), F.lit(False))
-            & py_ge(stock, qty) & _pallet_ok(qty))
+            & py_ge(stock, qty) & F.col(_PALLET_OK))
 
 
 def _outcome(location, auth: bool, case: str, reason: str, changed: bool) -> Column:
@@ -124,7 +129,11 @@ def allocate(joined: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Add allocated_location, requires_auth, case_number, case_reason and
     location_changed; lines without stock get CASE_3 and zeroed stock."""
     miss = F.col("total_stock").isNull()
-    out = joined.withColumn("_alloc", allocation(rules))
+    # Per-line inputs of the rule, computed once (a CASE branch cannot share
+    # subexpressions with other branches).
+    out = joined.withColumns({_QTY: quantity()})
+    out = out.withColumns({_PALLET_OK: pallet_ok(F.col(_QTY))})
+    out = out.withColumn("_alloc", allocation(rules))
     out = out.withColumns({c: F.col("_alloc")[c] for c in ALLOCATION_COLUMNS})
     # Lines without any stock row: zero stock, no flags, no attributes.
     zeroed = {stock_col(n): F.lit(0.0) for n in rules.locations}
@@ -135,4 +144,4 @@ def allocate(joined: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     nulls = ("warehouse_type", "packaging_unit", "palletization_indicator", "plant")
     fixes = {c: F.when(miss, v).otherwise(F.col(c)) for c, v in zeroed.items()}
     fixes.update({c: F.when(~miss, F.col(c)) for c in nulls})
-    return out.withColumns(fixes).drop("_alloc")
+    return out.withColumns(fixes).drop("_alloc", _QTY, _PALLET_OK)
