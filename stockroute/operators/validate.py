@@ -62,6 +62,18 @@ def exceptions(clean: DataFrame, run_ts: str) -> DataFrame:
                           "_processed_timestamp": F.lit(run_ts)}))
 
 
+def label_orders(clean: DataFrame, run_ts: str) -> DataFrame:
+    """Both outputs in one frame: every cleaned line with its validation
+    status and reason, for a single pass over the raw lines (the valid lines
+    and the exceptions are then its two ``validation_status`` values)."""
+    ok = valid_condition()
+    return clean.withColumns({
+        "validation_status": F.when(ok, F.lit(VALID)).otherwise(F.lit(EXCEPTION)),
+        "exception_reason": F.when(ok, F.lit(None).cast("string")).otherwise(exception_reason()),
+        "_processed_timestamp": F.lit(run_ts),
+    })
+
+
 def prepare_orders(orders: DataFrame, *, category: str = CATEGORY_KEPT,
                    ignore_blocked_closed: bool = False) -> DataFrame:
     """Category filter and blank cleaning: the frame both outputs come from."""

@@ -19,11 +19,13 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import allocate as al
 from ..operators import enrich, output, products, stock, summary, validate
 from ..rules import DEFAULT_RULES, Rules
+from ..schemas import EXCEPTION, VALID
 from ..sources import csv as csv_source
 from ..sources.tables import read_table, write_table
 
@@ -46,6 +48,12 @@ def stock_fits_broadcast(stock_table: DataFrame, max_bytes: int = DEFAULT_BROADC
     return joined.count() * estimated_row_bytes(joined.schema) <= max_bytes
 
 
+# The validated lines are stored once, partitioned by status; the valid lines
+# and the exceptions are its two partitions (read with partition pruning).
+ORDER_LINES = "order_lines"
+ORDER_PARTS = {"valid_orders": VALID, "exceptions": EXCEPTION}
+
+
 @dataclass
 class Layout:
     """Where tables live: databases in the session catalog, or folders under
@@ -56,13 +64,25 @@ class Layout:
     gold: str = "gold"
     fmt: str | None = None
 
-    def write(self, df: DataFrame, layer: str, name: str) -> str:
+    def write(self, df: DataFrame, layer: str, name: str, partition_by=()) -> str:
         db = getattr(self, layer)
         if self.root:
-            return write_table(df, name, root=f"{self.root.rstrip('/')}/{db}", fmt=self.fmt)
-        return write_table(df, name, database=db, fmt=self.fmt)
+            return write_table(df, name, root=f"{self.root.rstrip('/')}/{db}", fmt=self.fmt,
+                               partition_by=partition_by)
+        return write_table(df, name, database=db, fmt=self.fmt, partition_by=partition_by)
+
+    def views(self, spark: SparkSession) -> None:
+        """Catalog views named like the reference's two silver tables."""
+        if self.root:
+            return
+        for name, status in ORDER_PARTS.items():
+            spark.sql(f"CREATE OR REPLACE VIEW `{self.silver}`.`{name}` AS SELECT * FROM "
+                      f"`{self.silver}`.`{ORDER_LINES}` WHERE validation_status = '{status}'")
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
+        if layer == "silver" and name in ORDER_PARTS:
+            lines = self.read(spark, "silver", ORDER_LINES)
+            return lines.filter(F.col("validation_status") == ORDER_PARTS[name])
         db = getattr(self, layer)
         if self.root:
             return read_table(spark, name, root=f"{self.root.rstrip('/')}/{db}", fmt=self.fmt)
@@ -93,9 +113,11 @@ def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: st
 def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
            ignore_blocked_closed: bool = False, result: RunResult) -> None:
     orders = layout.read(spark, "bronze", "sales_orders_raw")
-    valid, exc = validate.validate(orders, run_ts, ignore_blocked_closed=ignore_blocked_closed)
-    result.tables["valid_orders"] = layout.write(valid, "silver", "valid_orders")
-    result.tables["exceptions"] = layout.write(exc, "silver", "exceptions")
+    clean = validate.prepare_orders(orders, ignore_blocked_closed=ignore_blocked_closed)
+    # One pass over the raw lines writes both outputs (as two partitions).
+    result.tables[ORDER_LINES] = layout.write(validate.label_orders(clean, run_ts), "silver",
+                                              ORDER_LINES, partition_by=("validation_status",))
+    layout.views(spark)
     raw_stock = layout.read(spark, "bronze", "stock_availability_raw")
     result.tables["stock_filtered"] = layout.write(
         stock.stock_filtered(raw_stock, run_ts, rules), "silver", "stock_filtered")
@@ -176,14 +198,25 @@ def main(argv=None) -> None:
     ap.add_argument("--no-multiline", action="store_true")
     ap.add_argument("--lenient", action="store_true", help="malformed numbers/dates -> null")
     ap.add_argument("--ignore-blocked-closed", action="store_true")
+    ap.add_argument("--bronze-db", default="bronze")
+    ap.add_argument("--silver-db", default="silver")
+    ap.add_argument("--gold-db", default="gold")
+    ap.add_argument("--summaries", action="store_true",
+                    help="also print the five summary reports (a few rows each)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("stockroute-pipeline").getOrCreate()
-    layout = Layout(root=args.root, fmt=args.format)
+    layout = Layout(root=args.root, fmt=args.format, bronze=args.bronze_db,
+                    silver=args.silver_db, gold=args.gold_db)
     res = run(spark, args.orders, args.stock, layout, run_ts=args.run_ts,
               strict=not args.lenient, multi_line=not args.no_multiline,
               ignore_blocked_closed=args.ignore_blocked_closed)
-    print(json.dumps({"tables": res.tables, "broadcast_stock": res.broadcast_stock,
-                      "metrics": res.metrics}))
+    report = {"tables": res.tables, "broadcast_stock": res.broadcast_stock,
+              "metrics": res.metrics}
+    if args.summaries:
+        # Grouped counts: one row per status value, so bounded by the rules.
+        report["summaries"] = {k: [r.asDict() for r in df.collect()]
+                               for k, df in summaries(spark, layout).items()}
+    print(json.dumps(report, ensure_ascii=False, default=str))
 
 
 if __name__ == "__main__":

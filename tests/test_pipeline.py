@@ -48,7 +48,7 @@ def test_pipeline_writes_all_tables_consistently(spark):
     layout = pipeline.Layout(root=scratch_path(spark, "test-tables"))
     res = pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout, run_ts=TS)
     m = res.metrics
-    assert len(res.tables) == 9 and res.broadcast_stock is True
+    assert len(res.tables) == 8 and res.broadcast_stock is True
     assert m["sales_orders_raw"] == 7 and m["stock_availability_raw"] == 4
     assert m["valid_orders"] + m["exceptions"] == 6          # ZUCC line dropped
     assert m["allocation_execution_delivery_output"] == m["allocation_output"]
