@@ -26,11 +26,6 @@ def py_ge(a: Column, b: Column) -> Column:
     return is_number(a) & is_number(b) & (a >= b)
 
 
-def py_gt(a: Column, b: Column) -> Column:
-    """``a > b`` with Python NaN semantics."""
-    return is_number(a) & is_number(b) & (a > b)
-
-
 def is_whole_multiple(qty: Column, size: Column) -> Column:
     """``qty % size == 0`` for a positive size (never raises)."""
     return F.try_mod(qty, size) == 0

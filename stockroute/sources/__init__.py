@@ -1,0 +1 @@
+"""Readers and writers: CSV extracts and stored tables."""

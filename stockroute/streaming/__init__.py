@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only: no streaming read or write, watermark,
+window or state. Its CSV landing is a batch directory read; a streaming CSV
+source would need a fixed schema and map columns by position, while the
+batch ingest maps them by header name, so it is not offered. See README.
+"""
