@@ -101,14 +101,16 @@ def _bucket_sql(key: str, bounds: list[str]) -> str:
 
 
 def range_boundaries(keys: DataFrame, key_cols, buckets: int | None = None,
-                     per_bucket: int = 32, seed: int = 7, pad: int = 0) -> list[tuple]:
+                     per_bucket: int = 32, seed: int = 7, pad: int = 0,
+                     total: int | None = None) -> list[tuple]:
     """Up to ``buckets - 1`` sorted boundary keys from a seeded sample of
     ``keys``. Any frame with the key columns will do (it only steers the
     balance, never the numbers), e.g. the base table before a filter; the
     boundaries may cover a leading part of the ordering key, then ``pad``
-    nulls (which sort first) complete them."""
+    nulls (which sort first) complete them. ``total`` (the row count, when
+    already known) saves the counting pass."""
     key_cols = list(key_cols)
-    total = keys.count()
+    total = keys.count() if total is None else total
     buckets = buckets or default_buckets(keys.sparkSession, total)
     if total == 0 or buckets <= 1:
         return []
@@ -151,7 +153,7 @@ def snap_to_groups(picks: list[tuple], n_group: int) -> tuple[list[tuple], set[t
 
 def row_number(df: DataFrame, order_by, partition_by=(), *, output: str = "row_number",
                buckets: int | None = None, boundaries: list[tuple] | None = None,
-               per_bucket: int = 32, seed: int = 7) -> DataFrame:
+               per_bucket: int = 32, seed: int = 7, total: int | None = None) -> DataFrame:
     """``df`` plus ``output`` = 1-based row number within ``partition_by``
     (whole frame when empty) in ``order_by`` order (ascending, nulls first).
     ``boundaries`` (from ``range_boundaries``) skips the sampling pass."""
@@ -159,7 +161,7 @@ def row_number(df: DataFrame, order_by, partition_by=(), *, output: str = "row_n
     key_cols = partition_by + order_by
     fields = [df.schema[c] for c in key_cols]
     if boundaries is None:
-        picks = range_boundaries(df, key_cols, buckets, per_bucket, seed)
+        picks = range_boundaries(df, key_cols, buckets, per_bucket, seed, total=total)
     else:
         picks = [tuple(p) for p in boundaries]
     picks, hot = snap_to_groups(picks, len(partition_by))

@@ -18,14 +18,14 @@ import datetime as dt
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import allocate as al
 from ..operators import enrich, output, products, stock, summary, validate
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import EXCEPTION, VALID
+from ..schemas import CASE_2, EXCEPTION, VALID
 from ..sources import csv as csv_source
 from ..sources.tables import read_table, write_table
 
@@ -41,11 +41,22 @@ def estimated_row_bytes(schema: T.StructType) -> int:
     return 16 + sum(_WIDTH.get(type(f.dataType), 16) for f in schema.fields)
 
 
-def stock_fits_broadcast(stock_table: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Measured check on a STORED stock table: its row count (footer metadata
-    for Parquet) times the estimated width of the joined columns."""
+def stock_fits_broadcast(stock_table: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                         rows: int | None = None) -> bool:
+    """Measured check on a STORED stock table: its row count (observed when it
+    was written, else counted) times the estimated width of the joined
+    columns."""
     joined = stock_table.select(*al.STOCK_JOIN_COLUMNS)
-    return joined.count() * estimated_row_bytes(joined.schema) <= max_bytes
+    n = joined.count() if rows is None else rows
+    return n * estimated_row_bytes(joined.schema) <= max_bytes
+
+
+def _observed(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observation]:
+    """``df`` with row counts gathered while it is written (no extra pass)."""
+    obs = Observation(name)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.count_if(cond).alias(k) for k, cond in counts.items()]
+    return df.observe(obs, *aggs), obs
 
 
 # The validated lines are stored once, partitioned by status; the valid lines
@@ -102,12 +113,15 @@ def run_ts_now() -> str:
 
 def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: str, run_ts: str,
            *, strict: bool = True, multi_line: bool = True, result: RunResult) -> None:
-    result.tables["sales_orders_raw"] = layout.write(
-        csv_source.ingest_orders(spark, orders_path, run_ts, strict=strict, multi_line=multi_line),
-        "bronze", "sales_orders_raw")
-    result.tables["stock_availability_raw"] = layout.write(
-        csv_source.ingest_stock(spark, stock_path, run_ts, strict=strict, multi_line=multi_line),
-        "bronze", "stock_availability_raw")
+    for name, df in (
+            ("sales_orders_raw", csv_source.ingest_orders(spark, orders_path, run_ts,
+                                                          strict=strict, multi_line=multi_line)),
+            ("stock_availability_raw", csv_source.ingest_stock(spark, stock_path, run_ts,
+                                                               strict=strict,
+                                                               multi_line=multi_line))):
+        df, obs = _observed(df, name)
+        result.tables[name] = layout.write(df, "bronze", name)
+        result.metrics[name] = obs.get["rows"]
 
 
 def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
@@ -115,12 +129,18 @@ def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
     orders = layout.read(spark, "bronze", "sales_orders_raw")
     clean = validate.prepare_orders(orders, ignore_blocked_closed=ignore_blocked_closed)
     # One pass over the raw lines writes both outputs (as two partitions).
-    result.tables[ORDER_LINES] = layout.write(validate.label_orders(clean, run_ts), "silver",
-                                              ORDER_LINES, partition_by=("validation_status",))
+    lines, obs = _observed(validate.label_orders(clean, run_ts), ORDER_LINES,
+                           valid=F.col("validation_status") == VALID)
+    result.tables[ORDER_LINES] = layout.write(lines, "silver", ORDER_LINES,
+                                              partition_by=("validation_status",))
+    got = obs.get
+    result.metrics["valid_orders"] = got["valid"]
+    result.metrics["exceptions"] = got["rows"] - got["valid"]
     layout.views(spark)
     raw_stock = layout.read(spark, "bronze", "stock_availability_raw")
-    result.tables["stock_filtered"] = layout.write(
-        stock.stock_filtered(raw_stock, run_ts, rules), "silver", "stock_filtered")
+    prof, obs = _observed(stock.stock_filtered(raw_stock, run_ts, rules), "stock_filtered")
+    result.tables["stock_filtered"] = layout.write(prof, "silver", "stock_filtered")
+    result.metrics["stock_filtered"] = obs.get["rows"]
 
 
 def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
@@ -129,19 +149,30 @@ def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
     valid = layout.read(spark, "silver", "valid_orders")
     stock_table = layout.read(spark, "silver", "stock_filtered")
     exc = layout.read(spark, "silver", "exceptions")
-    result.broadcast_stock = stock_fits_broadcast(stock_table, broadcast_bytes)
+    result.broadcast_stock = stock_fits_broadcast(stock_table, broadcast_bytes,
+                                                  rows=result.metrics.get("stock_filtered"))
     joined = al.join_stock(enrich.enrich_orders(valid, rules), stock_table,
                            broadcast_stock=result.broadcast_stock)
     actions = output.derive_actions(al.allocate(joined, rules), run_ts)
     exc_out = output.exceptions_to_output(exc, run_ts)
-    result.tables["allocation_output"] = layout.write(
-        output.allocation_output(actions, exc_out), "gold", "allocation_output")
+    case2 = F.col("case_number") == CASE_2
+    out, obs = _observed(output.allocation_output(actions, exc_out), "allocation_output",
+                         feasibility=case2, tickets=case2 & F.col("requires_auth"))
+    result.tables["allocation_output"] = layout.write(out, "gold", "allocation_output")
+    got = obs.get
+    # Each product's row count follows from the allocation table.
+    result.metrics.update({
+        "allocation_output": got["rows"],
+        "allocation_feasibility_output": got["feasibility"],
+        "order_validation_ticket_pega": got["tickets"],
+        "allocation_execution_delivery_output": got["rows"]})
 
     final = layout.read(spark, "gold", "allocation_output")
     result.tables["allocation_feasibility_output"] = layout.write(
         products.feasibility(final, rules.locations), "gold", "allocation_feasibility_output")
     result.tables["order_validation_ticket_pega"] = layout.write(
-        products.tickets(final, run_ts, ticket_buckets), "gold", "order_validation_ticket_pega")
+        products.tickets(final, run_ts, ticket_buckets, total=got["tickets"]), "gold",
+        "order_validation_ticket_pega")
     result.tables["allocation_execution_delivery_output"] = layout.write(
         products.execution_delivery(final, run_ts), "gold",
         "allocation_execution_delivery_output")
@@ -176,7 +207,8 @@ def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout,
         multi_line: bool = True, ignore_blocked_closed: bool = False,
         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
         ticket_buckets: int | None = None) -> RunResult:
-    """All three stages, then row counts of every table."""
+    """All three stages; row counts of every table are observed during the
+    writes (``collect_metrics`` recounts stored tables on demand)."""
     ts = run_ts or run_ts_now()
     result = RunResult()
     bronze(spark, layout, orders_path, stock_path, ts, strict=strict, multi_line=multi_line,
@@ -184,7 +216,6 @@ def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout,
     silver(spark, layout, ts, rules, ignore_blocked_closed=ignore_blocked_closed, result=result)
     gold(spark, layout, ts, rules, broadcast_bytes=broadcast_bytes,
          ticket_buckets=ticket_buckets, result=result)
-    result.metrics = collect_metrics(spark, layout)
     return result
 
 

@@ -64,6 +64,7 @@ def test_pipeline_writes_all_tables_consistently(spark):
         lines = sorted("|".join(str(r[c]) for c in cols) for r in df.select(*cols).collect())
         return hashlib.sha256("\n".join(lines).encode()).hexdigest()
     assert digest(out) == digest(flow.allocation_output)
+    assert pipeline.collect_metrics(spark, layout) == m       # observed == recounted
     sums = {k: v.count() for k, v in pipeline.summaries(spark, layout).items()}
     assert sums["case"] == 3 and sums["exceptions"] == 1
 
