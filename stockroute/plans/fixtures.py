@@ -100,9 +100,10 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The driver's parquet table (read once per session and directory; the
     files are read-only)."""
     key = (id(spark), os.path.abspath(sf_dir), table)
-    if key not in _SOURCES:
-        _SOURCES[key] = spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
-    return _SOURCES[key]
+    df = _SOURCES.get(key)
+    if df is None or df.sparkSession is not spark:  # ids can be reused after a stop
+        df = _SOURCES[key] = spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
+    return df
 
 
 def register_sources(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) -> None:
