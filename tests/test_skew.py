@@ -1,5 +1,6 @@
-"""A hot material (a third of all lines) in the shuffle-join path: AQE splits
-the skewed order partition instead of leaving it to one task."""
+"""A hot material (a third of all lines) and null materials (another third,
+which all hash alike) in the shuffle-join path: AQE splits the skewed order
+partitions instead of leaving them to one task."""
 
 from helpers import orders_df, stock_df
 
@@ -20,7 +21,9 @@ def test_hot_material_partition_is_split(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        lines = [{"sales_order_number": str(i), "material_number": "HOT" if i % 3 == 0 else f"M{i}"}
+        # a third on one material, a third without material, the rest spread
+        lines = [{"sales_order_number": str(i),
+                  "material_number": "HOT" if i % 3 == 0 else (None if i % 3 == 1 else f"M{i}")}
                  for i in range(3000)]
         orders = enrich.enrich_orders(orders_df(spark, *lines).repartition(8))
         st = stock.stock_filtered(stock_df(
@@ -28,7 +31,10 @@ def test_hot_material_partition_is_split(spark):
                      for m in ["HOT"] + [f"M{i}" for i in range(0, 3000, 7)]]), TS)
         df = al.allocate(al.join_stock(orders, st))
         assert df.count() == 3000
-        df.collect()
+        rows = df.collect()
+        missing = [r for r in rows if r.material_number is None]
+        assert len(missing) == 1000 and all(r.case_number == "CASE_3" for r in missing)
+        assert all(r.case_number == "CASE_1" for r in rows if r.material_number == "HOT")
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         assert "isSkew=true" in plan or "skewed" in plan.lower()
