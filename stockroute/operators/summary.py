@@ -42,7 +42,7 @@ def _metrics(df: DataFrame, **counts) -> DataFrame:
     return wide.selectExpr(f"stack({len(counts)}, {stack}) AS (metric, value)")
 
 
-def pipeline_metrics(orders: DataFrame, stock: DataFrame, profile_flags: DataFrame,
+def stage_metrics(orders: DataFrame, stock: DataFrame, profile_flags: DataFrame,
                      output: DataFrame, *, category_kept, valid_cond) -> DataFrame:
     """The stage and table row counts as (metric, value) rows, one aggregate
     pass per input."""

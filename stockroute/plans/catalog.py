@@ -110,7 +110,7 @@ def summary_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.dashboard_summary(_flow(spark, sf_dir).allocation_output)
 
 
-def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flow(spark, sf_dir).metrics()
 
 
@@ -156,6 +156,6 @@ QUERIES: dict[str, Query] = {
     "summary_customer_group": summary_customer_group,
     "summary_case": summary_case,
     "summary_dashboard": summary_dashboard,
-    "pipeline_metrics": pipeline_metrics,
+    "stage_metrics": stage_metrics,
     "preview_orders": preview_orders,
 }

@@ -158,6 +158,6 @@ class Flow:
     def metrics(self) -> DataFrame:
         cleaned = validate.clean_blanks(self.orders)
         kept = F.upper(F.trim(F.col("item_category"))) == CATEGORY_KEPT
-        return summary.pipeline_metrics(cleaned, self.stock_rows, self.stock_flags,
+        return summary.stage_metrics(cleaned, self.stock_rows, self.stock_flags,
                                         self.allocation_output, category_kept=kept,
                                         valid_cond=validate.valid_condition())

@@ -328,7 +328,7 @@ ORACLE: dict[str, str] = {
     "summary_case": with_ctes(_count("allocated", "case_number"), "allocated"),
     "summary_dashboard": with_ctes(_count("alloc_out", "case_number", "dashboard_status"),
                                    "alloc_out"),
-    "pipeline_metrics": with_ctes(METRICS, "alloc_out"),
+    "stage_metrics": with_ctes(METRICS, "alloc_out"),
     "preview_orders": with_ctes(
         f"SELECT *, {TS} AS _ingestion_timestamp, 'fx_orders' AS _source_file FROM fx_orders "
         "ORDER BY sales_order_number, sales_order_line_item LIMIT 5", "fx_orders"),
