@@ -138,7 +138,11 @@ class Flow:
 
     @cached_property
     def allocation_output(self) -> DataFrame:
-        return output.allocation_output(self.actions, self.exceptions_out)
+        # One pass over the validated lines (no union of two branches that
+        # would each read the orders).
+        labelled = validate.label_orders(self.orders_clean, self.run_ts)
+        return output.allocation_output_one_pass(labelled, self.stock_filtered, self.run_ts,
+                                                 self.rules, self.broadcast_stock)
 
     # ---- products ----
     @cached_property

@@ -146,17 +146,14 @@ def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
 def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
          broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, ticket_buckets: int | None = None,
          result: RunResult) -> None:
-    valid = layout.read(spark, "silver", "valid_orders")
+    lines = layout.read(spark, "silver", ORDER_LINES)  # valid lines and exceptions, read once
     stock_table = layout.read(spark, "silver", "stock_filtered")
-    exc = layout.read(spark, "silver", "exceptions")
     result.broadcast_stock = stock_fits_broadcast(stock_table, broadcast_bytes,
                                                   rows=result.metrics.get("stock_filtered"))
-    joined = al.join_stock(enrich.enrich_orders(valid, rules), stock_table,
-                           broadcast_stock=result.broadcast_stock)
-    actions = output.derive_actions(al.allocate(joined, rules), run_ts)
-    exc_out = output.exceptions_to_output(exc, run_ts)
+    allocation = output.allocation_output_one_pass(lines, stock_table, run_ts, rules,
+                                                   result.broadcast_stock)
     case2 = F.col("case_number") == CASE_2
-    out, obs = _observed(output.allocation_output(actions, exc_out), "allocation_output",
+    out, obs = _observed(allocation, "allocation_output",
                          feasibility=case2, tickets=case2 & F.col("requires_auth"))
     result.tables["allocation_output"] = layout.write(out, "gold", "allocation_output")
     got = obs.get
