@@ -78,11 +78,11 @@ def main(argv):
     layout = pipeline.Layout(root=scratch_path(spark, "plan-tables"))
     res = pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout, run_ts=QUERY_RUN_TS,
                        multi_line=False)
-    valid = layout.read(spark, "silver", "valid_orders")
+    lines = layout.read(spark, "silver", pipeline.ORDER_LINES)
     stock_t = layout.read(spark, "silver", "stock_filtered")
-    from stockroute.operators import allocate as al, enrich, output, products
-    gold_join = al.allocate(al.join_stock(enrich.enrich_orders(valid), stock_t,
-                                          broadcast_stock=res.broadcast_stock))
+    from stockroute.operators import output, products
+    gold_join = output.allocation_output_one_pass(lines, stock_t, QUERY_RUN_TS,
+                                                  broadcast_stock=res.broadcast_stock)
     final = layout.read(spark, "gold", "allocation_output")
 
     cases = [
@@ -90,7 +90,7 @@ def main(argv):
         ("flow: allocation_output", flow.allocation_output),
         ("flow: tickets", flow.tickets),
         ("flow: summary_dashboard", summary.dashboard_summary(flow.allocation_output)),
-        ("pipeline gold: allocation from stored silver tables", gold_join),
+        ("pipeline gold: allocation_output from the stored silver tables", gold_join),
         ("pipeline gold: tickets from the stored allocation table",
          products.tickets(final, QUERY_RUN_TS)),
         ("pipeline gold: feasibility from the stored allocation table",
