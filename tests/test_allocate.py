@@ -100,3 +100,17 @@ def test_allocation_plan_is_native_with_one_join(spark):
     plan = plan_text(flow.allocation_output)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.count("Join") == 1
+
+
+def test_allocation_table_reads_order_lines_once(spark, tmp_path):
+    orders_df(spark, {"sales_order_number": "a"}, {"sales_order_number": "b",
+                                                   "delivery_note": "DN"}) \
+        .write.parquet(str(tmp_path / "orders"))
+    stock_df(spark, {"allocable_stock_qty": 30.0}).write.parquet(str(tmp_path / "stock"))
+    flow = Flow(spark.read.parquet(str(tmp_path / "orders")),
+                spark.read.parquet(str(tmp_path / "stock")))
+    out = flow.allocation_output
+    plan = plan_text(out)
+    assert "Union" not in plan
+    assert plan.count(str(tmp_path / "orders")) == 1
+    assert sorted(r.case_number for r in out.collect()) == ["CASE_1", "EXCEPTION"]
