@@ -1,0 +1,71 @@
+"""Rules are data: a different rule set compiles to a different CASE."""
+
+import itertools
+
+import pytest
+import rowwise_rule
+from pyspark.sql import functions as F
+
+from stockroute.functions import customer_group
+from stockroute.operators import allocate as al
+from stockroute.rules import DEFAULT_RULES, Rules, rule_frames
+
+CUSTOM = Rules(
+    priority={**DEFAULT_RULES.priority, "Tesco": ("PT15", "PT12", "PT11")},
+    requires_auth={**DEFAULT_RULES.requires_auth,
+                   "Tesco": {"PT12": False, "PT11": False, "PT15": False}},
+    customer_alias={**DEFAULT_RULES.customer_alias, "TESCO": "Tesco"},
+)
+
+
+def test_custom_group_alias(spark):
+    df = spark.createDataFrame([("  tesco",), ("Walmart",)], "n string")
+    got = [r[0] for r in df.select(customer_group(F.col("n"), CUSTOM)).collect()]
+    assert got == ["Tesco", "Walmart"]
+
+
+def test_custom_rules_match_rowwise_statement(spark):
+    stocks = [0.0, 5.0, 20.0]
+    grid = [(i, g, q, a, b, c) for i, (g, q, a, b, c) in enumerate(itertools.product(
+        ["Tesco", "Walmart", "Cencosud", "Default"], [4.0, 10.0], stocks, stocks, stocks))]
+    df = spark.createDataFrame(grid, "id long, customer_group string, order_quantity double, "
+                                     "stock_PT12 double, stock_PT11 double, stock_PT15 double")
+    df = df.withColumns({f"has_stock_{loc}": F.col(f"stock_{loc}") > 0
+                         for loc in ("PT12", "PT11", "PT15")})
+    df = df.withColumns({"total_stock": F.lit(1.0), "pallet_rule": F.lit("INCOMPLETE_OK"),
+                         "packaging_unit": F.lit(None).cast("string"),
+                         "starting_location": F.lit("PT12")})
+    for c, t in (("plant", "string"), ("warehouse_type", "string"),
+                 ("palletization_indicator", "string"), ("available_locations_count", "int"),
+                 ("available_locations_list", "string")):
+        df = df.withColumn(c, F.lit(None).cast(t))
+    got = {r[0]: tuple(r[1:]) for r in
+           al.allocate(df, CUSTOM).select("id", *al.ALLOCATION_COLUMNS).collect()}
+    for i, g, q, a, b, c in grid:
+        stocks_at = {"PT12": a, "PT11": b, "PT15": c}
+        has = {k: v > 0 for k, v in stocks_at.items()}
+        assert got[i] == rowwise_rule.decide(g, q, stocks_at, has, "INCOMPLETE_OK", None,
+                                             rules=CUSTOM), (g, q, a, b, c)
+    # Tesco tries the start location first, then its own list without it.
+    assert CUSTOM.search_order("Tesco") == ["PT12", "PT15", "PT11"]
+
+
+def test_rule_profiles_group_equal_rules():
+    profiles = al.rule_profiles(DEFAULT_RULES)
+    groups = [sorted(g) for g, _ in profiles]
+    assert sorted(["DMart", "Default", "TentA"]) in groups
+    assert profiles[-1][0].count("Default") == 1  # default profile last
+
+
+def test_rule_validation():
+    with pytest.raises(ValueError):
+        Rules(priority={"Walmart": ("PT12",)})  # no default group
+    with pytest.raises(ValueError):
+        Rules(priority={**DEFAULT_RULES.priority, "X": ("PT99",)})
+
+
+def test_rule_frames(spark):
+    frames = rule_frames(spark)
+    assert frames["priority_rules"].count() == 15
+    assert frames["full_pallet_parties"].count() == 8
+    assert frames["auth_rules"].filter("requires_auth").count() == 8
