@@ -97,3 +97,19 @@ def test_results_do_not_depend_on_shuffle_partitions(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert base == other and out == 9
+
+
+def test_cli_runs_all_stages_and_prints_counts(spark, capsys):
+    import json
+    orders, stock = _inputs(spark)
+    src = scratch_path(spark, "test-cli-extracts")
+    write_csv(orders, f"{src}/orders", ORDER_HEADERS)
+    write_csv(stock, f"{src}/stock", STOCK_HEADERS)
+    root = scratch_path(spark, "test-cli-tables")
+    pipeline.main(["--orders", f"{src}/orders", "--stock", f"{src}/stock", "--root", root,
+                   "--run-ts", TS, "--summaries", "--silver-db", "silver_x"])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["metrics"]["allocation_output"] == 9
+    assert report["tables"]["order_lines"].endswith("silver_x/order_lines")
+    cases = {r["case_number"]: r["count"] for r in report["summaries"]["case"]}
+    assert sum(cases.values()) == 8
