@@ -151,10 +151,11 @@ class Flow:
 
     @cached_property
     def tickets(self) -> DataFrame:
-        # Ranges sampled from the raw order keys: cheaper than the validated
-        # lines, and boundaries only steer the balance.
+        # Ranges sampled from the raw order keys (cheaper than the validated
+        # lines; boundaries only steer the balance); the unstored allocation
+        # is evaluated once, its ticket lines checkpointed for both passes.
         return products.tickets(self.allocation_output, self.run_ts, self.ticket_buckets,
-                                boundary_source=self.orders)
+                                boundary_source=self.orders, materialize=True)
 
     @cached_property
     def execution_delivery(self) -> DataFrame:
