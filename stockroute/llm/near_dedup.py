@@ -11,7 +11,8 @@ table keys are counted with partial aggregation; a bucket is never expanded to
 its pairs. Each document is verified against one bucket pivot, components are
 formed, and only buckets that still hold several components are looked at again
 (pivots against members of other components) until none is left, so every link
-that joins two components inside a bucket is found. Intermediate results are
+that joins two components inside a bucket is found. Buckets with many components
+(texts of one template below the threshold) are first split by rare shingles. Intermediate results are
 tables in the shared folder; only counts reach the driver.
 """
 
@@ -28,8 +29,8 @@ from ..session import scratch_path
 from .words import mix, window_hashes, word_hashes
 
 #: Minhashes in a band, bands in each of the two collections. A pair at
-#: similarity 0.8 shares a table with probability (1 - (1 - 0.8**3)**10)**2 = 0.998.
-WIDTH, BANDS = 3, 10
+#: similarity 0.8 shares a table with probability (1 - (1 - 0.8**3)**11)**2 = 0.999.
+WIDTH, BANDS = 3, 11
 #: Pivots a bucket tries in one later round.
 PIVOTS = 32
 _SEEDS = mix(np.arange(1, 4 * WIDTH * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -149,6 +150,23 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
 
+def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id): buckets of which every pair at ``percent`` similarity shares one.
+
+    With all sets in one order, rarest shingles first, two sets at similarity t
+    have a common shingle among the first ``n - ceil(t * n) + 1`` of each. What a
+    template makes common to many texts sorts last and forms no bucket."""
+    rows = sets.select(F.col("doc_id").alias("id"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = rows.groupBy("s").agg(F.count("*").alias("often")).where("often > 1")
+    # A shingle of one text only is rarer than all others: it needs no row.
+    alone = F.col("n") - F.size("shared")
+    first = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
+    return (rows.join(often, "s").groupBy("id", "n")
+            .agg(F.sort_array(F.collect_list(F.struct("often", "s"))).alias("shared"))
+            .select("id", F.explode(F.slice("shared", 1, first)).alias("x"))
+            .select(F.xxhash64(F.lit("prefix"), "x.s").alias("key"), "id"))
+
+
 def _table_keys(reps: DataFrame) -> DataFrame:
     """(key, id): one row per document and table."""
     first, second = F.slice("bands", 1, BANDS), F.slice("bands", BANDS + 1, BANDS)
@@ -205,7 +223,7 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
     links = stored(_links(tested, sets, percent), "links")
     labels = components(links)
     members = members.select("key", "id")
-    done = None
+    done, refined = None, False
     while True:
         open_ = members if done is None else members.join(done, ["key", "id"], "left_anti")
         open_ = (open_.join(labels, "id", "left")
@@ -217,6 +235,16 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
             return labels
         parts = live.groupBy("key", "c").agg(F.count("*").alias("k"))
         rank = parts.groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("n"))
+        if not refined:
+            # Once: a bucket with many components gives way to finer buckets that
+            # cover all of its similar pairs.
+            refined = True
+            wide = stored(rank.where(F.col("n") - F.col("top.k") > PIVOTS).select("key"), "wide")
+            if wide.limit(1).count():
+                many = live.join(wide, "key", "left_semi").select("id").distinct()
+                finer = prefix_buckets(sets.join(many, F.col("doc_id") == F.col("id"), "left_semi"), percent)
+                members = stored(members.join(wide, "key", "left_anti").union(finer), "members")
+                continue
         odd = (live.join(rank.select("key", F.col("top.c").alias("main"), (F.col("n") - F.col("top.k")).alias("odd")), "key")
                .where("c <> main"))
         share = F.greatest(F.lit(1), F.ceil(F.col("odd") / PIVOTS))

@@ -26,6 +26,54 @@ WITH parts AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM hits WHERE rn = 1
 """
 
+# Counts from lists of words, lines and windows; common lines per host over
+# distinct texts; a document fails alone or when too little of it is left.
+QUALITY = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), places AS (
+  SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS p FROM docs WHERE len(words) >= 5
+), windows AS (
+  SELECT doc_id, p, words[p : p + 4] AS w FROM places
+), repeated AS (
+  SELECT doc_id, p FROM windows
+  QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p + o) AS n
+  FROM repeated, (SELECT unnest([0, 1, 2, 3, 4]) AS o) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, source, text, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words,
+         regexp_replace(lower(array_to_string(regexp_extract_all(l, '[^\x20\x09-\x0D]+'), ' ')), '[0-9]+', '0', 'g') AS line
+  FROM (SELECT doc_id, source, text, unnest(lines) AS l FROM docs)
+), hosts AS (
+  SELECT source, count(DISTINCT text) AS docs FROM lines GROUP BY source
+), common AS (
+  SELECT l.source, l.line FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, l.line, h.docs
+  HAVING count(DISTINCT l.text) >= 20 AND count(DISTINCT l.text) > 0.10 * h.docs
+), lost AS (
+  SELECT l.doc_id, sum(l.words) AS n FROM lines l
+  JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line GROUP BY l.doc_id
+), counts AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, coalesce(t.n, 0) AS lost
+  FROM docs d LEFT JOIN covered c USING (doc_id) LEFT JOIN lost t USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND n_words - lost >= 0.20 * n_words AS kept
+FROM counts
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
+    "op7_quality_rules": QUALITY,
 }

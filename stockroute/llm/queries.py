@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dedup, url_filter
+from . import bpe, mixing, near_dedup, quality, secret_scan, url_filter
 
 #: The rules that the URL query is to judge by.
 URL_RULES = [
@@ -45,8 +45,33 @@ def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times every document is taken, in words."""
+    sized = near_dedup.stored(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
+    return mixing.mix_sources(sized, size_col="size").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op6_bpe": op6_bpe,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_source_mix": op8_source_mix,
+    "op9_secret_scan": op9_secret_scan,
 }
