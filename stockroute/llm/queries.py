@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dedup, quality, secret_scan, url_filter
+from . import bpe, mixing, near_dedup, pii, quality, secret_scan, url_filter
 
 #: The rules that the URL query is to judge by.
 URL_RULES = [
@@ -30,6 +30,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal-data spans of every document."""
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.find_pii(F.col("text")).alias("found"))
+    count = lambda kind: F.size(F.filter("found.base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(kind) for kind in pii.BASE],
+                        F.sha2(secret_scan.as_text(F.col("found.base")), 256).alias("base_sha256"),
+                        secret_scan.as_text(F.col("found.spans")).alias("spans"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, on 2-word shingles."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
@@ -69,6 +78,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_pii": op2_pii,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op6_bpe": op6_bpe,
     "op7_quality_rules": op7_quality_rules,
