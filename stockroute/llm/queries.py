@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dedup, pii, quality, secret_scan, url_filter
+from . import bpe, mixing, near_dedup, pii, quality, secret_scan, substring_dedup, url_filter
 
 #: The rules that the URL query is to judge by.
 URL_RULES = [
@@ -76,6 +76,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.as_text(F.col("spans")).alias("spans"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without word runs that start earlier elsewhere."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
@@ -84,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
     "op9_secret_scan": op9_secret_scan,
+    "op10_substring_dedup": op10_substring_dedup,
 }
