@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dedup, pii, quality, secret_scan, substring_dedup, url_filter
+from . import ann, bpe, mixing, near_dedup, pii, quality, secret_scan, substring_dedup, url_filter
 
 #: The rules that the URL query is to judge by.
 URL_RULES = [
@@ -44,6 +44,11 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Digests of every document's token ids and of the bytes they decode to."""
     ranks = bpe.rank_file(spark, path or public_tokenizers.path(RANKS))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_nearest": op5_nearest,
     "op6_bpe": op6_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
