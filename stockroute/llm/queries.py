@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, near_dedup, pii, quality, secret_scan, substring_dedup, url_filter
+from . import ann, bpe, html_extract, mixing, near_dedup, pii, quality, secret_scan, substring_dedup, url_filter
 
 #: The rules that the URL query is to judge by.
 URL_RULES = [
@@ -39,6 +39,12 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.as_text(F.col("found.spans")).alias("spans"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extract.extract_text(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, on 2-word shingles."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
@@ -90,6 +96,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
+    "op3_html_text": op3_html_text,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_nearest": op5_nearest,
     "op6_bpe": op6_bpe,
