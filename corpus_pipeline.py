@@ -9,7 +9,7 @@ from stockroute.session import scratch_path
 
 STAGES = [
     ("quality_rules", stages.quality),
-    ("near_dedup", stages.near_dedup),
+    ("near_dedup", stages.near_duplicates),
     ("pii_redaction", stages.redact),
     ("source_mix", stages.mix),
     ("bpe", stages.tokenise),

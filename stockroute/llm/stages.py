@@ -1,10 +1,62 @@
-"""Pipeline stages: (spark, docs, sf_dir) -> DataFrame."""
+"""Stages of the corpus pipeline, each ``(spark, docs, sf_dir) -> DataFrame``.
+
+Every stage reads all that its predecessor kept; all but the last return the
+columns that they were given. A repeated or null doc_id is carried along; rows
+are only dropped by the quality stage (rejected documents), the near-duplicate
+stage (all but one of a group) and the mix (documents it takes no time).
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import bpe, mixing, near_dedup as dedup, pii, quality as rules
+
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose their host's common lines, and
+    n_chars follows the text."""
+    found = rules.quality_rules(docs).where("kept")
+    text = rules.strip_lines(F.col("text"), F.col("common_lines"))
+    return found.withColumn("text", text).select(*_with_length(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays (5-word shingles at
+    similarity 0.8): the one with the smallest doc_id, and one row if rows repeat
+    it. Documents without an id stay."""
+    found = dedup.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = docs.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
+    alone = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return alone.unionByName(kept.where("doc_id is null")).select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind."""
+    return docs.withColumn("text", pii.redact(F.col("text"))).select(*_with_length(docs))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them (0 to 3 times)."""
+    taken = mixing.mix_sources(docs).where("copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+
 
-def _todo(spark, docs, sf_dir):
-    return docs
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of a training table: doc_id, source, lang, n_tokens, token_ids
+    (little-endian 32-bit) and whether the ids decode to the text's bytes."""
+    ranks = bpe.rank_file(spark, public_tokenizers.path(RANKS))
+    ids = bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN)
+    coded = docs.select("doc_id", "source", "lang", "text", ids.alias("token_ids"))
+    same = bpe.decode(F.col("token_ids"), ranks, public_tokenizers.PATTERN) == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return coded.select("doc_id", "source", "lang", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                        "token_ids", same.alias("round_trip"))
 
 
-quality = near_dedup = redact = mix = tokenise = _todo
+def _with_length(docs: DataFrame) -> list:
+    """The columns of ``docs``, with n_chars recomputed from the text if present."""
+    return [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
