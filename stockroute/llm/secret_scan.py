@@ -110,5 +110,8 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, text_col: str = "text", ke
     linked = (link_parts(parts, scope).groupBy("d1", "d2")
               .agg(F.collect_list(F.struct("start", "place", "end", "kind")).alias("linked")))
     spans = F.sort_array(F.concat("base", F.coalesce("linked", F.array().cast(f"array<{SPAN}>"))))
-    return rows.join(linked, ["d1", "d2"], "left").select(
-        *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "base", spans.alias("spans"))
+    named = [F.col(f"__{i}").alias(c) for i, c in enumerate(keep)]
+    # Rows without a weak part have nothing to look up and are not shuffled.
+    alone = rows.where(F.size("weak") == 0).select(*named, "base", F.col("base").alias("spans"))
+    met = rows.where(F.size("weak") > 0).join(linked, ["d1", "d2"], "left")
+    return alone.unionByName(met.select(*named, "base", spans.alias("spans")))
