@@ -2,62 +2,58 @@
 
 The statements restate the rules relationally and independently of the
 DataFrame code: the pivot is a grouped sum joined to a separate attribute
-aggregate (as the reference shapes it), the allocation joins each line to the
-priority table and keeps the lowest-ranked location that can serve it, and
-ticket ids come from a plain global ``row_number()``. Every query starts from
-the FIXTURES.md views, so it covers the whole driver tables.
+aggregate (as the reference shapes it), the allocation is one pass of plain
+CASEs over the joined lines, and ticket ids come from a plain global
+``row_number()``. Rule values stand here as their own literals, so a wrong value
+in the engine does not pass. Every query starts from the FIXTURES.md views, so
+it covers the whole driver tables.
 """
 
 from __future__ import annotations
 
 from .fixtures import FX_ORDERS_SQL, FX_STOCK_SQL
 from .flow import QUERY_RUN_TS
-from ..rules import DEFAULT_RULES
-from ..schemas import ALLOCATION_OUTPUT_COLUMNS, PY_WHITESPACE
 
 TS = f"'{QUERY_RUN_TS}'"
-WS = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
-_R = DEFAULT_RULES
+# Blanks around a customer name (by code point).
+WS = " || ".join(f"chr({c})" for c in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203),
+                                        8232, 8233, 8239, 8287, 12288))
 
 
-def _values(rows) -> str:
-    def lit(v):
-        if isinstance(v, bool):
-            return "TRUE" if v else "FALSE"
-        if isinstance(v, int):
-            return str(v)
-        return "'" + str(v).replace("'", "''") + "'"
-    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-
-
-PRIO_ROWS = _values((g, i + 1, loc) for g, seq in _R.priority.items() for i, loc in enumerate(seq))
-AUTH_ROWS = _values((g, loc, v) for g, m in _R.requires_auth.items() for loc, v in m.items())
-ALIAS_ROWS = _values(_R.customer_alias.items())
-PARTIES = ", ".join(f"'{p}'" for p in _R.full_pallet_parties)
+# --- fixed values: full-pallet parties, and the allocation table's columns ---
+PARTIES = ("'30279964', '30724028', '30597757', '30791641', "
+           "'30280027', '30280062', '30280078', '30829327'")
+OUT_COLS = """sales_order_number, sales_order_line_item, material_number, material_description,
+       customer_name, customer_group, sold_to_party, ship_to_party, order_quantity,
+       required_delivery_date, item_category, order_type, country_code, client_code, pallet_rule,
+       starting_location, plant, warehouse_type, packaging_unit, palletization_indicator,
+       stock_PT12, stock_PT11, stock_PT15, has_stock_PT12, has_stock_PT11, has_stock_PT15,
+       available_locations_count, available_locations_list, total_stock, allocated_location,
+       location_changed, requires_auth, case_number, case_reason, sap_action, pega_ticket_required,
+       pega_ticket_type, approval_status, dashboard_status, validation_status, _processed_timestamp"""
+# --- end of fixed values ---
 
 ORDER_COLS = ("sales_order_number, sales_order_line_item, customer_name, sold_to_party, "
               "ship_to_party, item_category, material_ucc14, material_du, storage_location, "
               "line_item_ref, material_description, order_type, delivery_note, "
               "reason_for_rejection, order_quantity, required_delivery_date, country_code, "
               "client_code, material_number, order_status, blocking_indicator")
-OUT_COLS = ", ".join(ALLOCATION_OUTPUT_COLUMNS)
 
 
 def _blank(c: str) -> str:
     return f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END AS {c}"
 
 
-def _at(loc_expr: str, prefix: str, t: str = "j") -> str:
-    return (f"CASE {loc_expr} WHEN 'PT12' THEN {t}.{prefix}PT12 WHEN 'PT11' THEN {t}.{prefix}PT11 "
-            f"WHEN 'PT15' THEN {t}.{prefix}PT15 END")
+def _able(loc: str) -> str:
+    return (f"coalesce(fits AND has_stock_{loc} AND NOT isnan(stock_{loc}) "
+            f"AND stock_{loc} >= coalesce(order_quantity, 0.0), FALSE)")
 
 
 CTES: list[tuple[str, str]] = [
     ("fx_orders", FX_ORDERS_SQL),
     ("fx_stock", FX_STOCK_SQL),
-    ("prio", f"SELECT * FROM (VALUES {PRIO_ROWS}) AS t(customer_group, rnk, location)"),
-    ("auth", f"SELECT * FROM (VALUES {AUTH_ROWS}) AS t(customer_group, location, requires_auth)"),
-    ("name_alias", f"SELECT * FROM (VALUES {ALIAS_ROWS}) AS t(name_key, customer_group)"),
+    ("name_alias", """SELECT * FROM (VALUES ('WALMART', 'Walmart'), ('CENCOSUD', 'Cencosud'), ('DEMART', 'DMart'),
+                  ('DMART', 'DMart'), ('TENTA', 'TentA')) AS t(name_key, customer_group)"""),
     ("ztan", "SELECT * FROM fx_orders WHERE upper(trim(item_category)) = 'ZTAN'"),
     ("clean", "SELECT * REPLACE (" + ", ".join(_blank(c) for c in
                                                ("delivery_note", "reason_for_rejection",
@@ -120,27 +116,28 @@ CTES: list[tuple[str, str]] = [
                   s.available_locations_count, s.available_locations_list,
                   s.warehouse_type, s.packaging_unit, s.palletization_indicator, s.total_stock
            FROM enriched e LEFT JOIN tagged s ON e.material_number = s.material_number"""),
-    ("cand", f"""SELECT j.sales_order_number, j.sales_order_line_item, j.plant, p.rnk, p.location
-           FROM joined j JOIN prio p ON p.customer_group = j.customer_group
-           WHERE j.total_stock IS NOT NULL
-             AND {_at('p.location', 'has_stock_')}
-             AND NOT isnan({_at('p.location', 'stock_')})
-             AND NOT isnan(coalesce(j.order_quantity, 0.0))
-             AND {_at('p.location', 'stock_')} >= coalesce(j.order_quantity, 0.0)
-             AND CASE WHEN j.pallet_rule = 'FULL_PALLET_ONLY'
-                           AND TRY_CAST(j.packaging_unit AS DOUBLE) > 0
-                           AND NOT isnan(TRY_CAST(j.packaging_unit AS DOUBLE))
-                      THEN coalesce(j.order_quantity, 0.0) % TRY_CAST(j.packaging_unit AS DOUBLE) = 0
-                      ELSE TRUE END"""),
-    ("pick", """SELECT sales_order_number, sales_order_line_item, plant, arg_min(location, rnk) AS hit
-           FROM cand GROUP BY sales_order_number, sales_order_line_item, plant"""),
-    ("alloc_raw", """SELECT j.*, pk.hit,
-                  coalesce(a.requires_auth, TRUE) AS auth_at_hit
-           FROM joined j
-           LEFT JOIN pick pk ON pk.sales_order_number = j.sales_order_number
-                 AND pk.sales_order_line_item = j.sales_order_line_item
-                 AND pk.plant IS NOT DISTINCT FROM j.plant
-           LEFT JOIN auth a ON a.customer_group = j.customer_group AND a.location = pk.hit"""),
+    # One pass over the joined lines: which locations can serve, then the first
+    # of the group's sequence that does (the line's start, PT12, leads each).
+    ("serving", f"""SELECT *,
+                  CASE WHEN pallet_rule = 'FULL_PALLET_ONLY' AND TRY_CAST(packaging_unit AS DOUBLE) > 0
+                            AND NOT isnan(TRY_CAST(packaging_unit AS DOUBLE))
+                       THEN coalesce(order_quantity, 0.0) % TRY_CAST(packaging_unit AS DOUBLE) = 0
+                       ELSE TRUE END
+                  AND total_stock IS NOT NULL AND NOT isnan(coalesce(order_quantity, 0.0)) AS fits
+           FROM joined"""),
+    ("able", f"""SELECT * EXCLUDE (fits), {_able('PT12')} AS can_PT12, {_able('PT11')} AS can_PT11,
+                  {_able('PT15')} AS can_PT15 FROM serving"""),
+    ("picked", """SELECT * EXCLUDE (can_PT12, can_PT11, can_PT15),
+                  CASE WHEN can_PT12 THEN 'PT12'
+                       WHEN customer_group = 'Cencosud' AND can_PT15 THEN 'PT15'
+                       WHEN can_PT11 THEN 'PT11'
+                       WHEN can_PT15 THEN 'PT15' END AS hit
+           FROM able"""),
+    ("alloc_raw", """SELECT *,
+                  CASE WHEN customer_group = 'Walmart' THEN hit = 'PT15'
+                       WHEN customer_group = 'Cencosud' THEN hit = 'PT11'
+                       ELSE hit <> 'PT12' END AS auth_at_hit
+           FROM picked"""),
     ("allocated", """SELECT * EXCLUDE (hit, auth_at_hit) REPLACE (
                   CASE WHEN total_stock IS NULL THEN 0.0 ELSE stock_PT12 END AS stock_PT12,
                   CASE WHEN total_stock IS NULL THEN 0.0 ELSE stock_PT11 END AS stock_PT11,
@@ -198,12 +195,15 @@ CTES: list[tuple[str, str]] = [
 ]
 
 _NAMES = [n for n, _ in CTES]
+# Read by more than one later part: computed once.
+SHARED = ("fx_orders", "fx_stock", "stock_norm", "tagged", "joined")
 
 
 def with_ctes(final: str, upto: str) -> str:
     """``WITH`` every CTE up to and including ``upto``, then ``final``."""
     chosen = CTES[:_NAMES.index(upto) + 1]
-    return "WITH " + ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in chosen) + "\n" + final
+    return "WITH " + ",\n".join(
+        f"{n} AS {'MATERIALIZED ' if n in SHARED else ''}(\n{sql}\n)" for n, sql in chosen) + "\n" + final
 
 
 def _nullif_text(cols: str, text_cols: set[str]) -> str:
@@ -293,6 +293,7 @@ ORACLE: dict[str, str] = {
     "typed_stock": with_ctes(f"SELECT *, {TS} AS _ingestion_timestamp, 'fx_stock' AS _source_file "
                              "FROM fx_stock", "fx_stock"),
     "sink_roundtrip": with_ctes("SELECT * FROM tagged", "tagged"),
+    "catalog_roundtrip": with_ctes("SELECT * FROM tagged", "tagged"),
     "category_filter": with_ctes("SELECT * FROM ztan", "ztan"),
     "orders_clean": with_ctes("SELECT * FROM clean", "clean"),
     "valid_orders": with_ctes("SELECT * FROM valid", "valid"),
@@ -328,7 +329,7 @@ ORACLE: dict[str, str] = {
     "summary_case": with_ctes(_count("allocated", "case_number"), "allocated"),
     "summary_dashboard": with_ctes(_count("alloc_out", "case_number", "dashboard_status"),
                                    "alloc_out"),
-    "stage_metrics": with_ctes(METRICS, "alloc_out"),
+    "pipeline_metrics": with_ctes(METRICS, "alloc_out"),
     "preview_orders": with_ctes(
         f"SELECT *, {TS} AS _ingestion_timestamp, 'fx_orders' AS _source_file FROM fx_orders "
         "ORDER BY sales_order_number, sales_order_line_item LIMIT 5", "fx_orders"),
