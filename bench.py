@@ -40,7 +40,7 @@ from stockroute.session import build_session, scratch_path  # noqa: E402
 from stockroute.sources.csv import write_csv  # noqa: E402
 
 HEADLINE = ("stock_tagged", "allocated", "allocation_output", "feasibility", "tickets",
-            "execution_delivery", "summary_dashboard", "stage_metrics")
+            "execution_delivery", "summary_dashboard", "pipeline_metrics")
 FLOW_ATTR = {"stock_tagged": "stock_filtered"}
 
 
@@ -96,7 +96,7 @@ def main():
                     lambda: spark.read.parquet(f"{inputs}/stock"))
 
     def query(name):
-        if name == "stage_metrics":
+        if name == "pipeline_metrics":
             return flow().metrics()
         if name == "summary_dashboard":
             return summary.dashboard_summary(flow().allocation_output)
@@ -113,12 +113,13 @@ def main():
     write_csv(spark.read.parquet(f"{inputs}/orders"), f"{src}/orders", ORDER_HEADERS)
     write_csv(spark.read.parquet(f"{inputs}/stock"), f"{src}/stock", STOCK_HEADERS)
 
-    def e2e():
+    def e2e(multi_line=False):
         layout = pipeline.Layout(root=scratch_path(spark, "bench-tables"))
         pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout,
-                     run_ts="2024-06-30T00:00:00", multi_line=False)
+                     run_ts="2024-06-30T00:00:00", multi_line=multi_line)
     best, all_runs = _timed(e2e)
     results["batch_e2e"], runs["batch_e2e"] = round(best, 3), [round(x, 3) for x in all_runs]
+    extra["batch_e2e_multi_line"] = round(_timed(lambda: e2e(True), runs=1)[0], 3)
 
     value = round(sum(results.values()), 3)
     # Native vs Python UDF, alternated so neither benefits from running later.

@@ -10,10 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip_unicode
+
+# What Python's float() accepts: digits with single underscores between them,
+# no type suffix, and the names of infinity and NaN in any case.
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+FLOAT_TEXT = (rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+              r"|(?i:inf|infinity|nan))$")
+
 
 def lenient_double(text: Column) -> Column:
-    """Text -> double, null when it does not parse (``PAL``, blanks)."""
-    return text.try_cast("double")
+    """Text -> double as Python's ``float()`` reads it (``1_0`` and blanks around
+    it, but no ``10D``), null when it does not parse (``PAL``, blanks)."""
+    bare = strip_unicode(text)
+    return F.when(bare.rlike(FLOAT_TEXT), F.replace(bare, F.lit("_"), F.lit(""))).try_cast("double")
 
 
 def is_number(x: Column) -> Column:

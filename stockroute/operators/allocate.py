@@ -1,6 +1,6 @@
 """Stock join and the allocation rule.
 
-The rule (start location first, then the customer group's priority list; a
+The rule (the line's start location first, then the customer group's priority list; a
 location serves a line when it has stock, the stock covers the quantity and,
 for full-pallet customers with a valid pallet size, the quantity is a whole
 number of pallets) is compiled from ``Rules`` into one CASE expression whose
@@ -19,29 +19,29 @@ from pyspark.sql import functions as F
 
 from ..functions import is_number, is_whole_multiple, lenient_double, py_ge
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import (CASE_1, CASE_2, CASE_3, FULL_PALLET_ONLY, REASON_CASE_1, REASON_CASE_2,
-                       REASON_CASE_3, REASON_NOT_IN_STOCK, STOCK_JOIN_COLUMNS)
+from ..schemas import (CASE_1, CASE_2, CASE_3, FULL_PALLET_ONLY, OUTCOME_STATUS, REASON_CASE_1,
+                       REASON_CASE_2, REASON_CASE_3, REASON_NOT_IN_STOCK, STOCK_JOIN_COLUMNS)
 from .stock import has_col, stock_col
 
 ALLOCATION_COLUMNS = ("allocated_location", "requires_auth", "case_number", "case_reason",
                       "location_changed")
+STATUS_COLUMNS = tuple(OUTCOME_STATUS)
 
 
-def join_stock(enriched: DataFrame, stock: DataFrame, broadcast_stock: bool = False) -> DataFrame:
+def join_stock(enriched: DataFrame, stock: DataFrame) -> DataFrame:
     """Order lines LEFT JOIN the stock profile on material number: one row per
     matching plant, the line alone when nothing matches.
 
-    By default the strategy is left to Spark: a stored stock table below the
-    broadcast threshold is broadcast from its file size, and otherwise AQE
-    either turns the join into a broadcast from the measured shuffle size or
-    keeps a sort-merge join and splits skewed (hot or null) material
-    partitions of the order side. ``broadcast_stock=True`` forces the
-    broadcast; callers pass it only after checking the stock size
-    (``plans.pipeline.stock_fits_broadcast``)."""
-    right = stock.select(*STOCK_JOIN_COLUMNS)
-    if broadcast_stock:
-        right = F.broadcast(right)
-    return enriched.join(right, on="material_number", how="left")
+    The strategy is Spark's: a small stored stock table is broadcast by its
+    file size, otherwise AQE decides from the shuffled sizes and splits hot
+    materials. Lines without a material get spread keys that match nothing, so
+    they do not meet in one task."""
+    spread = F.concat(F.lit("\x00"), F.xxhash64("sales_order_number", "sales_order_line_item"))
+    known = F.col("material_number").isNotNull()
+    right = stock.select(*STOCK_JOIN_COLUMNS).withColumnRenamed("material_number", "_stock_key")
+    lines = enriched.withColumn("_line_key", F.coalesce("material_number", spread))
+    return (lines.join(right, (F.col("_line_key") == F.col("_stock_key")) & known, "left")
+            .drop("_line_key", "_stock_key"))
 
 
 _QTY, _PALLET_OK = "_alloc_qty", "_alloc_pallet_ok"
@@ -71,70 +71,76 @@ def serves(loc: str) -> Column:
             & py_ge(stock, qty) & F.col(_PALLET_OK))
 
 
-def _outcome(location, auth: bool, case: str, reason: str, changed: bool) -> Column:
-    return F.struct(
-        (F.lit(location) if location else F.lit(None).cast("string")).alias("allocated_location"),
-        F.lit(auth).alias("requires_auth"),
-        F.lit(case).alias("case_number"),
-        F.lit(reason).alias("case_reason"),
-        F.lit(changed).alias("location_changed"))
+def status_values(case: str, auth: bool) -> dict:
+    """The statuses that follow from a case, for use in literals."""
+    return {name: values.get((case, auth)) for name, values in OUTCOME_STATUS.items()}
 
 
-def rule_profiles(rules: Rules = DEFAULT_RULES) -> list[tuple[list[str], list[tuple[str, bool]]]]:
+def _outcome(location, auth: bool, case: str, reason: str) -> Column:
+    """A literal struct with everything that a line's outcome decides."""
+    fields = {"allocated_location": location, "requires_auth": auth, "case_number": case,
+              "case_reason": reason, "location_changed": case == CASE_2} | status_values(case, auth)
+    return F.struct(*[F.lit(v).cast("boolean" if isinstance(v, bool) else "string").alias(k)
+                      for k, v in fields.items()])
+
+
+def rule_profiles(rules: Rules = DEFAULT_RULES, start: str | None = None
+                  ) -> list[tuple[list[str], list[tuple[str, bool]]]]:
     """Groups that share a fallback list and approval flags, with that list:
     [(groups, [(location, needs_auth), ...]), ...]; the default group last."""
     profiles: dict[tuple, list[str]] = {}
     for g in rules.groups():
-        fallback = tuple((loc, rules.needs_auth(g, loc)) for loc in rules.search_order(g)[1:])
+        fallback = tuple((loc, rules.needs_auth(g, loc)) for loc in rules.search_order(g, start)[1:])
         profiles.setdefault(fallback, []).append(g)
     out = [(groups, list(fb)) for fb, groups in profiles.items()]
     out.sort(key=lambda p: rules.default_group in p[0])
     return out
 
 
-def allocation(rules: Rules = DEFAULT_RULES) -> Column:
-    """The whole rule as one CASE over literal outcome structs
-    (allocated_location, requires_auth, case_number, case_reason,
-    location_changed). The start location is tested once; then one fallback
-    CASE per rule profile. Approval flags and reason texts are resolved when
-    the plan is built, so each row evaluates at most a few comparisons."""
-    start = rules.start_location
-    not_found = _outcome(None, False, CASE_3, REASON_NOT_IN_STOCK, False)
-    at_start = _outcome(start, False, CASE_1, REASON_CASE_1.format(start=start), False)
-    short = _outcome(None, False, CASE_3, REASON_CASE_3.format(start=start), False)
+def _case(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
+    for cond, value in reversed(branches):
+        otherwise = F.when(cond, value).otherwise(otherwise)
+    return otherwise
+
+
+def _from_start(start: str, rules: Rules) -> Column:
+    """The rule for lines that start at ``start``: that location, then one
+    fallback CASE per rule profile."""
+    short = _outcome(None, False, CASE_3, REASON_CASE_3.format(start=start))
 
     def fallback(steps):
-        expr = None
-        for loc, auth in steps:
-            hit = _outcome(loc, auth, CASE_2,
-                           REASON_CASE_2.format(start=start, loc=loc, auth=str(bool(auth))), True)
-            expr = F.when(serves(loc), hit) if expr is None else expr.when(serves(loc), hit)
-        return short if expr is None else expr.otherwise(short)
-
-    profiles = rule_profiles(rules)
-    by_group = fallback(profiles[-1][1])  # default group's profile (and unknown groups)
-    branches = [(F.col("customer_group").isin(*groups), fallback(steps))
-                for groups, steps in profiles if rules.default_group not in groups]
-    if branches:
-        expr = F.when(branches[0][0], branches[0][1])
-        for cond, val in branches[1:]:
-            expr = expr.when(cond, val)
-        by_group = expr.otherwise(by_group)
-    return (F.when(F.col("total_stock").isNull(), not_found)
-            .when(serves(start), at_start)
-            .otherwise(by_group))
-
-
-def allocate(joined: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Add allocated_location, requires_auth, case_number, case_reason and
-    location_changed; lines without stock get CASE_3 and zeroed stock."""
+        return _case([(serves(loc), _outcome(loc, auth, CASE_2, REASON_CASE_2.format(
+            start=start, loc=loc, auth=str(bool(auth))))) for loc, auth in steps], short)
+
+    *others, (_, default) = rule_profiles(rules, start)
+    by_group = _case([(F.col("customer_group").isin(*groups), fallback(steps)) for groups, steps in others],
+                     fallback(default))
+    return _case([(serves(start), _outcome(start, False, CASE_1, REASON_CASE_1.format(start=start)))], by_group)
+
+
+def allocation(rules: Rules = DEFAULT_RULES) -> Column:
+    """The whole rule as one CASE over literal outcome structs: by the line's
+    starting location (unknown ones count as the default), then by group.
+    Approval flags, texts and statuses are resolved when the plan is built, so
+    each row evaluates at most a few comparisons."""
+    others = [(F.col("starting_location") == loc, _from_start(loc, rules))
+              for loc in rules.locations if loc != rules.start_location]
+    missing = _outcome(None, False, CASE_3, REASON_NOT_IN_STOCK)
+    return _case([(F.col("total_stock").isNull(), missing), *others], _from_start(rules.start_location, rules))
+
+
+def allocate(joined: DataFrame, rules: Rules = DEFAULT_RULES,
+             columns: tuple[str, ...] = ALLOCATION_COLUMNS) -> DataFrame:
+    """Add the outcome's ``columns`` (by default allocated_location,
+    requires_auth, case_number, case_reason and location_changed); lines without
+    stock get CASE_3 and zeroed stock."""
     miss = F.col("total_stock").isNull()
     # Per-line inputs of the rule, computed once (a CASE branch cannot share
     # subexpressions with other branches).
     out = joined.withColumns({_QTY: quantity()})
     out = out.withColumns({_PALLET_OK: pallet_ok(F.col(_QTY))})
     out = out.withColumn("_alloc", allocation(rules))
-    out = out.withColumns({c: F.col("_alloc")[c] for c in ALLOCATION_COLUMNS})
+    out = out.withColumns({c: F.col("_alloc")[c] for c in columns})
     # Lines without any stock row: zero stock, no flags, no attributes.
     zeroed = {stock_col(n): F.lit(0.0) for n in rules.locations}
     zeroed.update({has_col(n): F.lit(False) for n in rules.locations})

@@ -6,78 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..rules import DEFAULT_RULES
-from ..schemas import (ALLOCATION_OUTPUT_COLUMNS, AUTO_APPROVED, CASE_1, CASE_2, DASH_CASE_1,
-                       DASH_CHANGED, DASH_DROP, DASH_EXCEPTION, DASH_PENDING, EXCEPTION,
-                       NOT_APPLICABLE, NOT_APPLICABLE_GROUP, PENDING_APPROVAL, SAP_AUTO_CONFIRM,
-                       SAP_DROP_LINE, SAP_NO_ACTION, SAP_UPDATE_LOCATION, STOCK_JOIN_COLUMNS,
-                       TICKET_TYPE_ORDER_VALIDATION, VALID)
+from ..rules import DEFAULT_RULES, Rules
+from ..schemas import ALLOCATION_OUTPUT_COLUMNS, EXCEPTION, NOT_APPLICABLE_GROUP
 from . import allocate as al
-from .enrich import enrich_orders
 
 
-def derive_actions(allocated: DataFrame, run_ts: str) -> DataFrame:
-    """ERP action, ticket need and type, approval and dashboard status."""
-    case = F.col("case_number")
-    auth = F.col("requires_auth")
-    c1, c2 = case == CASE_1, case == CASE_2
-    return allocated.withColumns({
-        "sap_action": (F.when(c1, F.lit(SAP_AUTO_CONFIRM))
-                       .when(c2, F.lit(SAP_UPDATE_LOCATION))
-                       .otherwise(F.lit(SAP_DROP_LINE))),
-        "pega_ticket_required": c2,
-        "pega_ticket_type": F.when(c2, F.lit(TICKET_TYPE_ORDER_VALIDATION)),
-        "approval_status": (F.when(c1, F.lit(AUTO_APPROVED))
-                            .when(c2 & auth, F.lit(PENDING_APPROVAL))
-                            .when(c2 & ~auth, F.lit(AUTO_APPROVED))
-                            .otherwise(F.lit(NOT_APPLICABLE))),
-        "dashboard_status": (F.when(c1, F.lit(DASH_CASE_1))
-                             .when(c2 & auth, F.lit(DASH_PENDING))
-                             .when(c2 & ~auth, F.lit(DASH_CHANGED))
-                             .otherwise(F.lit(DASH_DROP))),
-        "_processed_timestamp": F.lit(run_ts),
-    })
-
-
-def _null(t: str):
-    return F.lit(None).cast(t)
-
-
-def exception_values(run_ts: str) -> dict:
-    """Column values of an exception line in the allocation layout: no stock,
-    no allocation; the start location is the line's own storage location."""
-    return {
-        "customer_group": F.lit(NOT_APPLICABLE_GROUP),
-        "pallet_rule": F.lit(NOT_APPLICABLE_GROUP),
-        "starting_location": F.col("storage_location"),
-        "allocated_location": _null("string"),
-        "requires_auth": F.lit(False),
-        "case_number": F.lit(EXCEPTION),
-        "case_reason": F.col("exception_reason"),
-        "location_changed": F.lit(False),
-        "sap_action": F.lit(SAP_NO_ACTION),
-        "pega_ticket_required": F.lit(False),
-        "pega_ticket_type": _null("string"),
-        "approval_status": F.lit(NOT_APPLICABLE),
-        "dashboard_status": F.lit(DASH_EXCEPTION),
-        "_processed_timestamp": F.lit(run_ts),
-        "stock_PT12": _null("double"), "stock_PT11": _null("double"),
-        "stock_PT15": _null("double"),
-        "has_stock_PT12": _null("boolean"), "has_stock_PT11": _null("boolean"),
-        "has_stock_PT15": _null("boolean"),
-        "available_locations_count": _null("int"),
-        "available_locations_list": _null("string"),
-        "total_stock": _null("double"),
-        "warehouse_type": _null("string"),
-        "packaging_unit": _null("string"),
-        "palletization_indicator": _null("string"),
-        "plant": _null("string"),
-    }
-
-
-def exceptions_to_output(exceptions: DataFrame, run_ts: str) -> DataFrame:
-    """Exception lines in the allocation layout."""
-    return exceptions.withColumns(exception_values(run_ts))
+def allocate_with_actions(joined: DataFrame, run_ts: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Allocated lines with the ERP action, ticket need and type, approval and
+    dashboard status of their outcome."""
+    return (al.allocate(joined, rules, al.ALLOCATION_COLUMNS + al.STATUS_COLUMNS)
+            .withColumn("_processed_timestamp", F.lit(run_ts)))
 
 
 def align_columns(df: DataFrame, columns=ALLOCATION_OUTPUT_COLUMNS,
@@ -90,28 +28,21 @@ def align_columns(df: DataFrame, columns=ALLOCATION_OUTPUT_COLUMNS,
                        for c in columns])
 
 
-def allocation_output(actions: DataFrame, exceptions_out: DataFrame) -> DataFrame:
-    """Allocated lines UNION ALL exception lines, 41 columns."""
-    left = align_columns(actions)
-    return left.unionByName(align_columns(exceptions_out, schema=left.schema))
+def exceptions_to_output(exceptions: DataFrame, run_ts: str, schema: T.StructType) -> DataFrame:
+    """Exception lines in the layout ``schema``: stated are the columns that have
+    a value (the start location is the line's own storage location), all others
+    are typed nulls."""
+    stated = {"customer_group": NOT_APPLICABLE_GROUP, "pallet_rule": NOT_APPLICABLE_GROUP,
+              "requires_auth": False, "location_changed": False, "case_number": EXCEPTION,
+              "_processed_timestamp": run_ts} | al.status_values(EXCEPTION, False)
+    named = exceptions.withColumns({k: F.lit(v) for k, v in stated.items() if v is not None}
+                                   | {"starting_location": F.col("storage_location"),
+                                      "case_reason": F.col("exception_reason")})
+    return align_columns(named, schema=schema)
 
 
-def allocation_output_one_pass(labelled: DataFrame, stock: DataFrame, run_ts: str,
-                               rules=None, broadcast_stock: bool = False) -> DataFrame:
-    """The same 41 columns from ONE pass over all validated lines (valid and
-    exceptions, as ``validate.label_orders`` marks them): a single left join
-    whose condition also requires a valid line, so exceptions match nothing
-    and fan out to nothing; exception rows then take their fixed values in
-    the same projection. No union, so the lines are read once."""
-    rules = rules or DEFAULT_RULES
-    valid = F.col("validation_status") == VALID
-    right = stock.select(*STOCK_JOIN_COLUMNS).withColumnRenamed("material_number", "_stock_mat")
-    if broadcast_stock:
-        right = F.broadcast(right)
-    lines = enrich_orders(labelled, rules)
-    joined = (lines.join(right, (F.col("material_number") == F.col("_stock_mat")) & valid, "left")
-              .drop("_stock_mat"))
-    out = derive_actions(al.allocate(joined, rules), run_ts)
-    out = out.withColumns({c: F.when(valid, F.col(c)).otherwise(v)
-                           for c, v in exception_values(run_ts).items()})
-    return align_columns(out)
+def allocation_output(actions: DataFrame, exceptions: DataFrame, run_ts: str) -> DataFrame:
+    """Allocated lines UNION ALL exception lines, 41 columns. Exceptions bypass
+    the stock join."""
+    left = align_columns(actions)
+    return left.unionByName(exceptions_to_output(exceptions, run_ts, left.schema))

@@ -1,204 +1,42 @@
 """Dense, repeatable row numbers without a single-task window.
 
-``row_number() OVER (ORDER BY k)`` runs in one task, and ``PARTITION BY g``
-sends a whole group to one task, so one hot group (a third of the rows) would
-stall the job. Here rows are cut into B contiguous key ranges ("buckets")
-taken from a seeded sample, numbered inside each range by a window
-partitioned on the range, and shifted by the number of earlier rows:
-
-1. a seeded sample of the ordering keys (about ``B * per_bucket`` rows, the
-   only data brought to the driver) gives B-1 boundaries;
-2. ``bucket`` = number of boundaries <= key, a binary-search CASE expression
-   of depth log2(B), so it runs inside codegen on every executor;
-3. with groups, only boundaries inside hot groups (those the sample puts two
-   or more boundaries in) are kept, each hot group starting a bucket of its
-   own (``(g, NULL, ...)`` sorts before every key of g): ordinary groups are
-   spread by hashing the group key anyway, and only hot groups span buckets;
-4. carries = rows of the same hot group in earlier buckets, from a count per
-   (bucket, group) restricted to the hot groups (at most B-1 of them), a
-   table of at most 2B rows that is broadcast. Without hot groups this step
-   is skipped; without groups (one global numbering) it is a count per
-   bucket;
-5. ``row_number() OVER (PARTITION BY bucket, group ORDER BY key) + carry``.
-
-The result equals ``row_number() OVER (PARTITION BY group ORDER BY key)`` for
-any boundaries; the boundaries only decide the balance. The ordering key
-(group + order columns) must be unique for the numbering to be repeatable.
-Everything is deterministic (fixed seed, literal boundaries), so lost
-executors recompute the same numbers.
+Rows are dealt to contiguous key ranges with ``repartitionByRange``, stored with
+the number of their range, numbered inside each range, and shifted by the rows
+of earlier ranges. The stored table fixes the ranges, so the numbers do not
+depend on what is recomputed later.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_BUCKET = "_seq_bucket"
-_CARRY = "_seq_carry"
-
-
-# Range count: at least one per shuffle partition (so a global numbering uses
-# every core), about ROWS_PER_BUCKET rows each, at most MAX_BUCKETS (the
-# search tree stays small enough for generated code).
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 512
-
-
-def default_buckets(spark, total: int) -> int:
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(MAX_BUCKETS, max(parts, -(-total // ROWS_PER_BUCKET))))
-
-
-def sql_literal(value, dtype: T.DataType) -> str:
-    """A Spark SQL literal of ``value`` typed as ``dtype``."""
-    name = dtype.simpleString().upper()
-    if value is None:
-        return f"CAST(NULL AS {name})"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, T.StringType):
-        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-        return f"'{text}'"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        v = float(value)
-        text = "NaN" if math.isnan(v) else ("Infinity" if v == math.inf else
-                                            "-Infinity" if v == -math.inf else repr(v))
-        return f"CAST('{text}' AS {name})"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
-    if isinstance(dtype, T.TimestampType):
-        # Collected LTZ values are naive local datetimes; go through epoch micros.
-        micros = round(value.timestamp() * 1_000_000) if value.tzinfo is None else \
-            round(value.astimezone(dt.timezone.utc).timestamp() * 1_000_000)
-        return f"timestamp_micros({micros})"
-    if isinstance(dtype, T.DateType):
-        return f"DATE '{value.isoformat()}'"
-    return f"CAST('{value}' AS {name})"
-
-
-def _struct_sql(values, fields) -> str:
-    parts = ", ".join(f"'{f.name}', {sql_literal(v, f.dataType)}" for v, f in zip(values, fields))
-    return f"named_struct({parts})"
-
-
-def _key_sql(fields) -> str:
-    return "named_struct(" + ", ".join(f"'{f.name}', `{f.name}`" for f in fields) + ")"
-
-
-def _bucket_sql(key: str, bounds: list[str]) -> str:
-    """Index of the range holding ``key``: bucket i holds [bounds[i-1], bounds[i])."""
-    def build(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return (f"CASE WHEN {key} < {bounds[mid - 1]} THEN {build(lo, mid - 1)} "
-                f"ELSE {build(mid, hi)} END")
-    return build(0, len(bounds))
-
-
-def range_boundaries(keys: DataFrame, key_cols, buckets: int | None = None,
-                     per_bucket: int = 32, seed: int = 7, pad: int = 0,
-                     total: int | None = None) -> list[tuple]:
-    """Up to ``buckets - 1`` sorted boundary keys from a seeded sample of
-    ``keys``. Any frame with the key columns will do (it only steers the
-    balance, never the numbers), e.g. the base table before a filter; the
-    boundaries may cover a leading part of the ordering key, then ``pad``
-    nulls (which sort first) complete them. ``total`` (the row count, when
-    already known) saves the counting pass."""
-    key_cols = list(key_cols)
-    total = keys.count() if total is None else total
-    buckets = buckets or default_buckets(keys.sparkSession, total)
-    if total == 0 or buckets <= 1:
-        return []
-    target = buckets * per_bucket
-    fraction = min(1.0, target / total)
-    sample = (keys.select(*key_cols).sample(withReplacement=False, fraction=fraction, seed=seed)
-              .limit(4 * target)  # hard bound on what reaches the driver
-              .orderBy(*key_cols).collect())
-    rows = [tuple(r) for r in sample]
-    if len(rows) < 2:
-        return []
-    picks = []
-    for i in range(1, buckets):
-        k = rows[min(len(rows) - 1, (i * len(rows)) // buckets)] + (None,) * pad
-        if not picks or picks[-1] != k:
-            picks.append(k)
-    return picks
-
-
-def snap_to_groups(picks: list[tuple], n_group: int) -> tuple[list[tuple], set[tuple]]:
-    """Keep the boundaries that split hot groups, plus the start of each hot
-    group; return (boundaries, hot groups)."""
-    if n_group == 0:
-        return picks, ({()} if picks else set())
-    per_group: dict[tuple, int] = {}
-    for p in picks:
-        per_group[p[:n_group]] = per_group.get(p[:n_group], 0) + 1
-    hot = {g for g, n in per_group.items() if n > 1}
-    out = []
-    for p in picks:
-        g = p[:n_group]
-        if g not in hot:
-            continue
-        start = g + (None,) * (len(p) - n_group)
-        for q in (start, p):
-            if not out or out[-1] != q:
-                out.append(q)
-    return out, hot
-
-
-def row_number(df: DataFrame, order_by, partition_by=(), *, output: str = "row_number",
-               buckets: int | None = None, boundaries: list[tuple] | None = None,
-               per_bucket: int = 32, seed: int = 7, total: int | None = None) -> DataFrame:
-    """``df`` plus ``output`` = 1-based row number within ``partition_by``
-    (whole frame when empty) in ``order_by`` order (ascending, nulls first).
-    ``boundaries`` (from ``range_boundaries``) skips the sampling pass."""
-    order_by, partition_by = list(order_by), list(partition_by)
-    key_cols = partition_by + order_by
-    fields = [df.schema[c] for c in key_cols]
-    if boundaries is None:
-        picks = range_boundaries(df, key_cols, buckets, per_bucket, seed, total=total)
-    else:
-        picks = [tuple(p) for p in boundaries]
-    picks, hot = snap_to_groups(picks, len(partition_by))
-    # One SQL text for the whole search tree: a single round trip to the JVM.
-    bounds = [_struct_sql(p, fields) for p in picks]
-    bucket = F.expr(_bucket_sql(_key_sql(fields), bounds)) if bounds else F.lit(0)
-    bucketed = df.withColumn(_BUCKET, bucket)
-
-    carry = None
-    if hot:
-        counts = bucketed
-        if partition_by:
-            # Only hot groups span buckets.
-            gfields = fields[:len(partition_by)]
-            if len(partition_by) == 1:
-                vals = ", ".join(sql_literal(g[0], gfields[0].dataType) for g in hot)
-                counts = counts.filter(F.expr(f"`{partition_by[0]}` IN ({vals})"))
-            else:
-                vals = ", ".join(_struct_sql(g, gfields) for g in hot)
-                counts = counts.filter(F.expr(f"{_key_sql(gfields)} IN ({vals})"))
-        counts = counts.groupBy(_BUCKET, *partition_by).agg(F.count(F.lit(1)).alias("_n"))
-        earlier = (Window.partitionBy(*partition_by).orderBy(_BUCKET)
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        carry = (counts.withColumn(_CARRY, F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-                 .drop("_n"))
-        renamed = {c: f"_seq_g{i}" for i, c in enumerate(partition_by)}
-        carry = carry.withColumnsRenamed(renamed) if renamed else carry
-        cond = bucketed[_BUCKET] == carry[_BUCKET]
-        for c, r in renamed.items():
-            cond = cond & bucketed[c].eqNullSafe(carry[r])
-        # At most 2B rows: safe to broadcast whatever the input size.
-        bucketed = (bucketed.join(F.broadcast(carry), cond, "left")
-                    .drop(carry[_BUCKET]).drop(*renamed.values()))
 
-    w = Window.partitionBy(_BUCKET, *partition_by).orderBy(*order_by)
-    rn = F.row_number().over(w)
-    if carry is not None:
-        rn = rn + F.coalesce(F.col(_CARRY), F.lit(0))
-    out = bucketed.withColumn(output, rn.cast("long"))
-    return out.drop(_BUCKET, *([_CARRY] if carry is not None else []))
+from ..session import scratch_path
+
+_RANGE = "_seq_range"
+
+
+def row_number(df: DataFrame, order_by, *, output: str = "row_number",
+               partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``output`` = 1-based row number in ``order_by`` order
+    (ascending, nulls first). The key should be unique for the numbers to be
+    repeatable. ``partitions`` (default: the session's shuffle partitions) sets
+    the number of ranges and so what one task sorts; it follows the data's size
+    as the cluster sets it, without a cap.
+
+    Runs two jobs when called: sampling the range bounds and storing ``df``, so
+    pass only the columns that are needed."""
+    spark = df.sparkSession
+    order_by = list(order_by)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranges")
+    (df.repartitionByRange(n, *order_by).withColumn(_RANGE, F.spark_partition_id())
+     .write.parquet(path))
+    stored = spark.read.parquet(path)
+    # One row per range: at most n rows, whatever the input size.
+    earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    shift = (stored.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
+             .select(_RANGE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift")))
+    place = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order_by))
+    return (stored.withColumn("_place", place).join(F.broadcast(shift), _RANGE)
+            .withColumn(output, F.col("_place") + F.col("_shift")).drop(_RANGE, "_place", "_shift"))

@@ -1,10 +1,10 @@
 """Stock profile: one row per (material, plant) with stock per location.
 
-The pivot, the attribute pick and their join collapse into ONE ``groupBy``:
-conditional sums give the per-location stock and ordered minima give the
-attributes. That is one exchange on (material, plant) with map-side partial
-aggregation, so a material holding a large share of the stock rows is reduced
-in every map task before it is shuffled.
+The pivot, the attribute pick and their join become two grouped passes: raw
+rows are reduced by hash per (material, plant, location, attributes) with
+map-side partial aggregation, so a material holding a large share of the stock
+rows is reduced in every map task; then conditional sums give the per-location
+stock and ordered minima the attributes of the few rows left.
 """
 
 from __future__ import annotations
@@ -72,6 +72,12 @@ def stock_profile(norm: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     latest stock timestamp and the three informational attributes."""
     loc = F.col("storage_location")
     rank = _location_rank(rules)
+    # Raw rows are first reduced by hash (sums and the timestamp have fixed-width
+    # buffers); only the few rows left per material and plant meet the ordered
+    # minima, which need sorted groups.
+    norm = (norm.groupBy("material_number", "plant", "storage_location", *ATTRIBUTES)
+            .agg(F.sum("allocable_stock_qty").alias("allocable_stock_qty"),
+                 F.max("stock_timing_timestamp").alias("stock_timing_timestamp")))
     aggs = [F.coalesce(F.sum(F.when(loc == name, F.col("allocable_stock_qty"))), F.lit(0.0))
             .alias(stock_col(name)) for name in rules.locations]
     aggs.append(F.max("stock_timing_timestamp").alias("stock_timing_timestamp"))

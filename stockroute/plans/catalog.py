@@ -1,12 +1,14 @@
 """Registered queries: one per operator of the inventory.
 
 Each query takes ``(spark, sf_dir)``, derives the order and stock inputs from
-the whole driver tables in ``sf_dir`` and returns a DataFrame; nothing is
-collected. Column names equal those of the oracle SQL in ``plans.oracle``.
+the whole driver tables in ``sf_dir`` and returns a DataFrame; no data is
+collected. The CSV, sink and ticket queries store their intermediate files in
+the shared folder when they are built. Column names equal those of the oracle SQL in ``plans.oracle``.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from ..operators import summary
 from ..schemas import ORDER_HEADERS, REASON_NOT_IN_STOCK, STOCK_HEADERS
 from ..session import scratch_path
 from ..sources import csv as csv_source
-from ..sources.tables import read_table, write_table
+from ..sources.tables import ensure_database, read_table, write_table
 from . import fixtures
 from .flow import QUERY_RUN_TS, Flow
 
@@ -41,8 +43,11 @@ def _as_export_text(df: DataFrame, header_map: dict[str, str]) -> DataFrame:
 
 
 def scan_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract's first header starts with a byte-order mark, as exports do."""
     path = scratch_path(spark, "orders-csv")
-    csv_source.write_csv(fixtures.fx_orders(spark, sf_dir), path, ORDER_HEADERS)
+    first, *others = ORDER_HEADERS.items()
+    headers = {csv_source.BOM * 2 + first[0]: first[1], **dict(others)}
+    csv_source.write_csv(fixtures.fx_orders(spark, sf_dir), path, headers)
     return csv_source.typed_orders(csv_source.read_csv(spark, path))
 
 
@@ -69,6 +74,18 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, "stock_filtered", root=root)
 
 
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the stock table to a database of the session catalog, twice (the
+    second write replaces the first), and scan it back."""
+    location = scratch_path(spark, "catalog")
+    database = os.path.basename(location).replace("-", "_")
+    ensure_database(spark, database, location)
+    full = _flow(spark, sf_dir).stock_filtered
+    write_table(full.limit(1).select("material_number"), "stock_filtered", database=database)
+    write_table(full, "stock_filtered", database=database)
+    return read_table(spark, "stock_filtered", database=database)
+
+
 def customer_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flow(spark, sf_dir).orders_enriched.select(
         "sales_order_number", "sales_order_line_item", "customer_name", "customer_group")
@@ -110,7 +127,7 @@ def summary_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.dashboard_summary(_flow(spark, sf_dir).allocation_output)
 
 
-def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flow(spark, sf_dir).metrics()
 
 
@@ -127,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "typed_orders": typed_orders,
     "typed_stock": typed_stock,
     "sink_roundtrip": sink_roundtrip,
+    "catalog_roundtrip": catalog_roundtrip,
     "category_filter": _attr("category_kept"),
     "orders_clean": _attr("orders_clean"),
     "valid_orders": _attr("valid_orders"),
@@ -156,6 +174,6 @@ QUERIES: dict[str, Query] = {
     "summary_customer_group": summary_customer_group,
     "summary_case": summary_case,
     "summary_dashboard": summary_dashboard,
-    "stage_metrics": stage_metrics,
+    "pipeline_metrics": pipeline_metrics,
     "preview_orders": preview_orders,
 }

@@ -2,12 +2,9 @@
 
 The driver ships no order or stock extract, so both inputs are derived by the
 SQL below (FIXTURES.md §2). DuckDB runs the statements as written (they are
-the leading CTEs of every oracle query). Spark runs the same statements except
-for two parts: ``row_number() OVER (PARTITION BY l_orderkey ...)`` would send
-a whole order to one task, so Spark numbers lines with the range-bucketed
-``operators.sequence.row_number``; and the stock rows expand each part with
-generators over the literal location and plant lists instead of joining
-VALUES tables. Both give the same rows.
+the leading CTEs of every oracle query). Spark runs the same statements, except
+that the stock rows expand each part with generators over the literal location
+and plant lists instead of joining VALUES tables, which gives the same rows.
 """
 
 from __future__ import annotations
@@ -16,8 +13,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.sequence import range_boundaries, row_number
-
 SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "nation")
 
 _ORDERS_SELECT = """
@@ -50,14 +45,6 @@ FX_ORDERS_SQL = ("""SELECT CAST(l.l_orderkey AS STRING) AS sales_order_number,
        CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_shipdate) AS STRING) AS sales_order_line_item,"""
                  + _ORDERS_SELECT + _ORDERS_FROM)
 
-# Numbering keys of the line renumbering: group, then order.
-LINE_GROUP = ("l_orderkey",)
-LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-
-_FX_ORDERS_BASE_SQL = ("SELECT "
-                       + ", ".join(f"l.{c}" for c in LINE_GROUP + LINE_ORDER) + ","
-                       + _ORDERS_SELECT + _ORDERS_FROM)
-
 # FIXTURES.md §2.2, verbatim.
 FX_STOCK_SQL = """SELECT CAST(p.p_partkey AS STRING) AS material_number, pl.plant AS plant, v.loc AS storage_location,
        CAST(CASE WHEN p.p_partkey % 20 = 8 THEN 0 ELSE (p.p_partkey * 31 + v.i * 17) % 60 + 5 END AS DOUBLE) AS available_stock_qty,
@@ -84,15 +71,6 @@ LATERAL VIEW explode(array(named_struct('i', 0, 'loc', 'PT12'), named_struct('i'
 LATERAL VIEW explode(array(named_struct('plant', 'P1', 'k', 1), named_struct('plant', 'P2', 'k', 50))) lp AS pl
 WHERE p.p_partkey % 20 <> 7 AND p.p_partkey % pl.k = 0"""
 
-ORDER_COLUMNS = (
-    "sales_order_number", "sales_order_line_item", "customer_name", "sold_to_party",
-    "ship_to_party", "item_category", "material_ucc14", "material_du", "storage_location",
-    "line_item_ref", "material_description", "order_type", "delivery_note",
-    "reason_for_rejection", "order_quantity", "required_delivery_date", "country_code",
-    "client_code", "material_number", "order_status", "blocking_indicator",
-)
-
-
 _SOURCES: dict[tuple, DataFrame] = {}
 
 
@@ -112,31 +90,11 @@ def register_sources(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) ->
         source(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
-_LINE_BOUNDS: dict[tuple, list[tuple]] = {}
-
-
-def line_boundaries(spark: SparkSession, sf_dir: str) -> list[tuple]:
-    """Range boundaries for the line renumbering, sampled from lineitem's own
-    key columns (cheaper than the joined view; boundaries only steer the
-    balance) and kept per data directory and shuffle width."""
-    key = (os.path.abspath(sf_dir), spark.conf.get("spark.sql.shuffle.partitions"))
-    if key not in _LINE_BOUNDS:
-        keys = source(spark, sf_dir, "lineitem")
-        _LINE_BOUNDS[key] = range_boundaries(keys, LINE_GROUP + LINE_ORDER)
-    return _LINE_BOUNDS[key]
-
-
 def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines (21 typed columns), one per lineitem row."""
+    """Order lines (21 typed columns), one per lineitem row. Lines are numbered
+    by a window per order; an order has at most seven lines."""
     register_sources(spark, sf_dir)
-    base = spark.sql(_FX_ORDERS_BASE_SQL)
-    bounds = line_boundaries(spark, sf_dir)
-    numbered = row_number(base, LINE_ORDER, LINE_GROUP, output="_line_no", boundaries=bounds)
-    numbered = numbered.selectExpr(
-        "CAST(l_orderkey AS STRING) AS sales_order_number",
-        "CAST(_line_no AS STRING) AS sales_order_line_item",
-        *[c for c in ORDER_COLUMNS[2:]])
-    return numbered
+    return spark.sql(FX_ORDERS_SQL)
 
 
 def fx_stock(spark: SparkSession, sf_dir: str) -> DataFrame:

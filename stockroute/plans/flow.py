@@ -1,7 +1,8 @@
 """The allocation flow as one lazily built chain of DataFrames.
 
 ``Flow`` wires the operators together once; each attribute is a DataFrame of
-the chain, built on first use. Nothing runs until an action: Catalyst sees
+the chain, built on first use. Nothing runs until an action, except that
+building ``tickets`` stores the ticket lines for their numbering: Catalyst sees
 the whole plan from the scans to each product and prunes and pushes down
 across operator boundaries. ``plans.pipeline`` runs the same flow stage by
 stage with stored tables in between.
@@ -30,15 +31,14 @@ class Flow:
     callables returning them (built on first use)."""
 
     def __init__(self, orders, stock_rows, run_ts: str = QUERY_RUN_TS,
-                 rules: Rules = DEFAULT_RULES, *, broadcast_stock: bool = False,
-                 ignore_blocked_closed: bool = False, ticket_buckets: int | None = None):
+                 rules: Rules = DEFAULT_RULES, *, ignore_blocked_closed: bool = False,
+                 ticket_partitions: int | None = None):
         self._orders = orders
         self._stock_rows = stock_rows
         self.run_ts = run_ts
         self.rules = rules
-        self.broadcast_stock = broadcast_stock
         self.ignore_blocked_closed = ignore_blocked_closed
-        self.ticket_buckets = ticket_buckets
+        self.ticket_partitions = ticket_partitions
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, **kw) -> "Flow":
@@ -111,7 +111,7 @@ class Flow:
 
     @cached_property
     def orders_stock_join(self) -> DataFrame:
-        return al.join_stock(self.orders_enriched, self.stock_filtered, self.broadcast_stock)
+        return al.join_stock(self.orders_enriched, self.stock_filtered)
 
     @cached_property
     def orders_without_stock(self) -> DataFrame:
@@ -129,20 +129,16 @@ class Flow:
 
     @cached_property
     def actions(self) -> DataFrame:
-        return output.derive_actions(self.allocated, self.run_ts)
+        return output.allocate_with_actions(self.orders_stock_join, self.run_ts, self.rules)
 
     @cached_property
     def exceptions_out(self) -> DataFrame:
-        return output.align_columns(output.exceptions_to_output(self.exceptions, self.run_ts),
-                                    schema=output.align_columns(self.actions).schema)
+        return output.exceptions_to_output(self.exceptions, self.run_ts,
+                                           output.align_columns(self.actions).schema)
 
     @cached_property
     def allocation_output(self) -> DataFrame:
-        # One pass over the validated lines (no union of two branches that
-        # would each read the orders).
-        labelled = validate.label_orders(self.orders_clean, self.run_ts)
-        return output.allocation_output_one_pass(labelled, self.stock_filtered, self.run_ts,
-                                                 self.rules, self.broadcast_stock)
+        return output.allocation_output(self.actions, self.exceptions, self.run_ts)
 
     # ---- products ----
     @cached_property
@@ -151,11 +147,7 @@ class Flow:
 
     @cached_property
     def tickets(self) -> DataFrame:
-        # Ranges sampled from the raw order keys (cheaper than the validated
-        # lines; boundaries only steer the balance); the unstored allocation
-        # is evaluated once, its ticket lines checkpointed for both passes.
-        return products.tickets(self.allocation_output, self.run_ts, self.ticket_buckets,
-                                boundary_source=self.orders, materialize=True)
+        return products.tickets(self.allocation_output, self.run_ts, self.ticket_partitions)
 
     @cached_property
     def execution_delivery(self) -> DataFrame:
@@ -165,6 +157,6 @@ class Flow:
     def metrics(self) -> DataFrame:
         cleaned = validate.clean_blanks(self.orders)
         kept = F.upper(F.trim(F.col("item_category"))) == CATEGORY_KEPT
-        return summary.stage_metrics(cleaned, self.stock_rows, self.stock_flags,
+        return summary.pipeline_metrics(cleaned, self.stock_rows, self.stock_flags,
                                         self.allocation_output, category_kept=kept,
                                         valid_cond=validate.valid_condition())

@@ -20,37 +20,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import allocate as al
 from ..operators import enrich, output, products, stock, summary, validate
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import CASE_2, EXCEPTION, VALID
+from ..schemas import CASE_2, VALID
+from ..session import build_session
 from ..sources import csv as csv_source
 from ..sources.tables import read_table, write_table
 
-# Stock profiles up to this estimated size are broadcast to every executor;
-# larger ones are joined by a shuffle (sort-merge with AQE skew splitting).
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-
-_WIDTH = {T.StringType: 32, T.DoubleType: 8, T.LongType: 8, T.TimestampType: 8,
-          T.IntegerType: 4, T.DateType: 4, T.BooleanType: 1}
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    return 16 + sum(_WIDTH.get(type(f.dataType), 16) for f in schema.fields)
-
-
-def stock_fits_broadcast(stock_table: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                         rows: int | None = None) -> bool:
-    """Measured check on a STORED stock table: its row count (observed when it
-    was written, else counted) times the estimated width of the joined
-    columns."""
-    joined = stock_table.select(*al.STOCK_JOIN_COLUMNS)
-    n = joined.count() if rows is None else rows
-    return n * estimated_row_bytes(joined.schema) <= max_bytes
-
-
 def _observed(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observation]:
     """``df`` with row counts gathered while it is written (no extra pass)."""
     obs = Observation(name)
@@ -59,12 +37,6 @@ def _observed(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observatio
     return df.observe(obs, *aggs), obs
 
 
-# The validated lines are stored once, partitioned by status; the valid lines
-# and the exceptions are its two partitions (read with partition pruning).
-ORDER_LINES = "order_lines"
-ORDER_PARTS = {"valid_orders": VALID, "exceptions": EXCEPTION}
-
-
 @dataclass
 class Layout:
     """Where tables live: databases in the session catalog, or folders under
@@ -75,35 +47,20 @@ class Layout:
     gold: str = "gold"
     fmt: str | None = None
 
-    def write(self, df: DataFrame, layer: str, name: str, partition_by=()) -> str:
+    def _place(self, layer: str) -> dict:
         db = getattr(self, layer)
-        if self.root:
-            return write_table(df, name, root=f"{self.root.rstrip('/')}/{db}", fmt=self.fmt,
-                               partition_by=partition_by)
-        return write_table(df, name, database=db, fmt=self.fmt, partition_by=partition_by)
-
-    def views(self, spark: SparkSession) -> None:
-        """Catalog views named like the reference's two silver tables."""
-        if self.root:
-            return
-        for name, status in ORDER_PARTS.items():
-            spark.sql(f"CREATE OR REPLACE VIEW `{self.silver}`.`{name}` AS SELECT * FROM "
-                      f"`{self.silver}`.`{ORDER_LINES}` WHERE validation_status = '{status}'")
+        return {"root": f"{self.root.rstrip('/')}/{db}", "fmt": self.fmt} if self.root else {"database": db}
+
+    def write(self, df: DataFrame, layer: str, name: str) -> str:
+        return write_table(df, name, **{"fmt": self.fmt, **self._place(layer)})
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
-        if layer == "silver" and name in ORDER_PARTS:
-            lines = self.read(spark, "silver", ORDER_LINES)
-            return lines.filter(F.col("validation_status") == ORDER_PARTS[name])
-        db = getattr(self, layer)
-        if self.root:
-            return read_table(spark, name, root=f"{self.root.rstrip('/')}/{db}", fmt=self.fmt)
-        return read_table(spark, name, database=db)
+        return read_table(spark, name, **self._place(layer))
 
 
 @dataclass
 class RunResult:
     tables: dict[str, str] = field(default_factory=dict)
-    broadcast_stock: bool | None = None
     metrics: dict[str, int] = field(default_factory=dict)
 
 
@@ -112,7 +69,7 @@ def run_ts_now() -> str:
 
 
 def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: str, run_ts: str,
-           *, strict: bool = True, multi_line: bool = True, result: RunResult) -> None:
+           *, strict: bool = True, multi_line: bool = False, result: RunResult) -> None:
     for name, df in (
             ("sales_orders_raw", csv_source.ingest_orders(spark, orders_path, run_ts,
                                                           strict=strict, multi_line=multi_line)),
@@ -128,15 +85,11 @@ def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
            ignore_blocked_closed: bool = False, result: RunResult) -> None:
     orders = layout.read(spark, "bronze", "sales_orders_raw")
     clean = validate.prepare_orders(orders, ignore_blocked_closed=ignore_blocked_closed)
-    # One pass over the raw lines writes both outputs (as two partitions).
-    lines, obs = _observed(validate.label_orders(clean, run_ts), ORDER_LINES,
-                           valid=F.col("validation_status") == VALID)
-    result.tables[ORDER_LINES] = layout.write(lines, "silver", ORDER_LINES,
-                                              partition_by=("validation_status",))
-    got = obs.get
-    result.metrics["valid_orders"] = got["valid"]
-    result.metrics["exceptions"] = got["rows"] - got["valid"]
-    layout.views(spark)
+    for name, df in (("valid_orders", validate.valid_orders(clean, run_ts)),
+                     ("exceptions", validate.exceptions(clean, run_ts))):
+        df, obs = _observed(df, name)
+        result.tables[name] = layout.write(df, "silver", name)
+        result.metrics[name] = obs.get["rows"]
     raw_stock = layout.read(spark, "bronze", "stock_availability_raw")
     prof, obs = _observed(stock.stock_filtered(raw_stock, run_ts, rules), "stock_filtered")
     result.tables["stock_filtered"] = layout.write(prof, "silver", "stock_filtered")
@@ -144,14 +97,11 @@ def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
 
 
 def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
-         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, ticket_buckets: int | None = None,
-         result: RunResult) -> None:
-    lines = layout.read(spark, "silver", ORDER_LINES)  # valid lines and exceptions, read once
+         ticket_partitions: int | None = None, result: RunResult) -> None:
+    valid = enrich.enrich_orders(layout.read(spark, "silver", "valid_orders"), rules)
     stock_table = layout.read(spark, "silver", "stock_filtered")
-    result.broadcast_stock = stock_fits_broadcast(stock_table, broadcast_bytes,
-                                                  rows=result.metrics.get("stock_filtered"))
-    allocation = output.allocation_output_one_pass(lines, stock_table, run_ts, rules,
-                                                   result.broadcast_stock)
+    actions = output.allocate_with_actions(al.join_stock(valid, stock_table), run_ts, rules)
+    allocation = output.allocation_output(actions, layout.read(spark, "silver", "exceptions"), run_ts)
     case2 = F.col("case_number") == CASE_2
     out, obs = _observed(allocation, "allocation_output",
                          feasibility=case2, tickets=case2 & F.col("requires_auth"))
@@ -168,8 +118,7 @@ def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
     result.tables["allocation_feasibility_output"] = layout.write(
         products.feasibility(final, rules.locations), "gold", "allocation_feasibility_output")
     result.tables["order_validation_ticket_pega"] = layout.write(
-        products.tickets(final, run_ts, ticket_buckets, total=got["tickets"]), "gold",
-        "order_validation_ticket_pega")
+        products.tickets(final, run_ts, ticket_partitions), "gold", "order_validation_ticket_pega")
     result.tables["allocation_execution_delivery_output"] = layout.write(
         products.execution_delivery(final, run_ts), "gold",
         "allocation_execution_delivery_output")
@@ -184,26 +133,26 @@ def collect_metrics(spark: SparkSession, layout: Layout) -> dict[str, int]:
     return {n: layout.read(spark, layer, n).count() for layer, ns in names.items() for n in ns}
 
 
-def summaries(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The five summary reports, from stored tables."""
+def summaries(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
+    """The five summary reports, from stored tables; ``rules`` are the run's (a
+    line counts once in its customer group, however many plants it met)."""
     final = layout.read(spark, "gold", "allocation_output")
-    valid_lines = final.filter(final.validation_status == "VALID")
+    valid = final.where(F.col("validation_status") == VALID)
+    enriched = enrich.enrich_orders(layout.read(spark, "silver", "valid_orders"), rules)
     return {
         "location_count": summary.location_count_summary(
             layout.read(spark, "silver", "stock_filtered")),
         "exceptions": summary.exception_summary(layout.read(spark, "silver", "exceptions")),
-        "customer_group": summary.customer_group_summary(
-            layout.read(spark, "silver", "valid_orders").transform(enrich.enrich_orders)),
-        "case": summary.case_summary(valid_lines),
+        "customer_group": summary.customer_group_summary(enriched),
+        "case": summary.case_summary(valid),
         "dashboard": summary.dashboard_summary(final),
     }
 
 
 def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout, *,
         run_ts: str | None = None, rules: Rules = DEFAULT_RULES, strict: bool = True,
-        multi_line: bool = True, ignore_blocked_closed: bool = False,
-        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-        ticket_buckets: int | None = None) -> RunResult:
+        multi_line: bool = False, ignore_blocked_closed: bool = False,
+        ticket_partitions: int | None = None) -> RunResult:
     """All three stages; row counts of every table are observed during the
     writes (``collect_metrics`` recounts stored tables on demand)."""
     ts = run_ts or run_ts_now()
@@ -211,8 +160,7 @@ def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout,
     bronze(spark, layout, orders_path, stock_path, ts, strict=strict, multi_line=multi_line,
            result=result)
     silver(spark, layout, ts, rules, ignore_blocked_closed=ignore_blocked_closed, result=result)
-    gold(spark, layout, ts, rules, broadcast_bytes=broadcast_bytes,
-         ticket_buckets=ticket_buckets, result=result)
+    gold(spark, layout, ts, rules, ticket_partitions=ticket_partitions, result=result)
     return result
 
 
@@ -223,7 +171,8 @@ def main(argv=None) -> None:
     ap.add_argument("--root", help="shared folder for the tables (default: session catalog)")
     ap.add_argument("--format", default=None)
     ap.add_argument("--run-ts", default=None)
-    ap.add_argument("--no-multiline", action="store_true")
+    ap.add_argument("--multiline", action="store_true",
+                    help="fields may hold line breaks (one split per file)")
     ap.add_argument("--lenient", action="store_true", help="malformed numbers/dates -> null")
     ap.add_argument("--ignore-blocked-closed", action="store_true")
     ap.add_argument("--bronze-db", default="bronze")
@@ -232,14 +181,13 @@ def main(argv=None) -> None:
     ap.add_argument("--summaries", action="store_true",
                     help="also print the five summary reports (a few rows each)")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("stockroute-pipeline").getOrCreate()
+    spark = build_session(app_name="stockroute-pipeline")
     layout = Layout(root=args.root, fmt=args.format, bronze=args.bronze_db,
                     silver=args.silver_db, gold=args.gold_db)
     res = run(spark, args.orders, args.stock, layout, run_ts=args.run_ts,
-              strict=not args.lenient, multi_line=not args.no_multiline,
+              strict=not args.lenient, multi_line=args.multiline,
               ignore_blocked_closed=args.ignore_blocked_closed)
-    report = {"tables": res.tables, "broadcast_stock": res.broadcast_stock,
-              "metrics": res.metrics}
+    report = {"tables": res.tables, "metrics": res.metrics}
     if args.summaries:
         # Grouped counts: one row per status value, so bounded by the rules.
         report["summaries"] = {k: [r.asDict() for r in df.collect()]

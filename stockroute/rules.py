@@ -71,6 +71,9 @@ class Rules:
     full_pallet_parties: tuple[str, ...] = FULL_PALLET_PARTIES
 
     def __post_init__(self):
+        if sorted(self.locations) != sorted(LOCATIONS):
+            # The stored tables have a column per location.
+            raise ValueError(f"the locations are fixed: {LOCATIONS}")
         if self.default_group not in self.priority:
             raise ValueError(f"priority rules lack the default group {self.default_group!r}")
         if self.start_location not in self.locations:
@@ -83,11 +86,13 @@ class Rules:
     def groups(self) -> list[str]:
         return list(self.priority)
 
-    def search_order(self, group: str) -> list[str]:
-        """Locations in the order a line of ``group`` tries them: the start
-        location first, then the group's priority list without it."""
+    def search_order(self, group: str, start: str | None = None) -> list[str]:
+        """Locations in the order a line of ``group`` tries them: the line's
+        start location (the default one if unknown) first, then the group's
+        priority list without it."""
+        start = start if start in self.locations else self.start_location
         seq = self.priority.get(group, self.priority[self.default_group])
-        return [self.start_location] + [loc for loc in seq if loc != self.start_location]
+        return [start] + [loc for loc in seq if loc != start]
 
     def needs_auth(self, group: str, location: str) -> bool:
         table = self.requires_auth.get(group, self.requires_auth.get(self.default_group, {}))

@@ -71,7 +71,7 @@ STOCK_REQUIRED = ("material_number", "plant", "storage_location", "allocable_sto
 
 AUDIT_COLUMNS = ("_ingestion_timestamp", "_source_file")
 
-# Stock columns carried onto each order line by the stock join.
+# --- fixed values: stock columns carried onto each order line by the stock join ---
 STOCK_JOIN_COLUMNS = (
     "material_number", "plant",
     "stock_PT12", "stock_PT11", "stock_PT15",
@@ -80,6 +80,7 @@ STOCK_JOIN_COLUMNS = (
     "warehouse_type", "packaging_unit", "palletization_indicator",
     "total_stock",
 )
+# --- end of fixed values ---
 
 # --- fixed values: the combined allocation table, in output order ---
 ALLOCATION_OUTPUT_COLUMNS = (
@@ -141,6 +142,43 @@ EXEC_REQUEST_AUTH = "Request for Auth"
 EXEC_CHANGE = "Change location, proceed to raise a ticket"
 EXEC_DROP = "Drop Line"
 
+# What follows from (case, approval needed), column by column; a missing entry
+# is null.
+OUTCOME_STATUS = {
+    "sap_action": {
+        (CASE_1, False): SAP_AUTO_CONFIRM, (CASE_2, False): SAP_UPDATE_LOCATION,
+        (CASE_2, True): SAP_UPDATE_LOCATION, (CASE_3, False): SAP_DROP_LINE,
+        (EXCEPTION, False): SAP_NO_ACTION},
+    "pega_ticket_required": {
+        (CASE_1, False): False, (CASE_2, False): True, (CASE_2, True): True,
+        (CASE_3, False): False, (EXCEPTION, False): False},
+    "pega_ticket_type": {
+        (CASE_2, False): TICKET_TYPE_ORDER_VALIDATION, (CASE_2, True): TICKET_TYPE_ORDER_VALIDATION},
+    "approval_status": {
+        (CASE_1, False): AUTO_APPROVED, (CASE_2, False): AUTO_APPROVED,
+        (CASE_2, True): PENDING_APPROVAL, (CASE_3, False): NOT_APPLICABLE,
+        (EXCEPTION, False): NOT_APPLICABLE},
+    "dashboard_status": {
+        (CASE_1, False): DASH_CASE_1, (CASE_2, False): DASH_CHANGED,
+        (CASE_2, True): DASH_PENDING, (CASE_3, False): DASH_DROP,
+        (EXCEPTION, False): DASH_EXCEPTION},
+}
+EXECUTION_STATUS = {
+    (CASE_1, False): EXEC_PROCEED, (CASE_2, False): EXEC_CHANGE, (CASE_2, True): EXEC_REQUEST_AUTH,
+    (CASE_3, False): EXEC_DROP, (EXCEPTION, False): EXEC_PROCEED,
+}
+
+# The feasibility table, in output order.
+FEASIBILITY_COLUMNS = (
+    "sales_order_number", "sales_order_line_item", "material_number", "material_description",
+    "allocation_feasibility_flag", "required_quantity", "available_quantity",
+    "warehouse_selection_recommendation", "new_recommended_warehouse_location",
+    "client_specific_constraint_indicators", "full_pallet_requirement_flag",
+    "allowed_restricted_storage_locations", "client_authorization_needed",
+    "exception_indicator", "approval_requirement_flag", "business_confirmation_status",
+    "reason_for_non_feasibility", "_processed_timestamp",
+)
+
 TICKET_PREFIX = "PEGA-OV-"
 TICKET_TYPE = "Order Validation"
 TICKET_ATTACHMENT_PREFIX = "Warehouse_Change_"

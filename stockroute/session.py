@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,12 +45,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` as
-    the cluster names it. Only when nothing is configured (local tests) is a
-    fresh local folder created and registered."""
+    the cluster names it. Unset, it is an error on a cluster, where a local
+    folder would be another one on every machine; a one-process local session
+    gets a fresh folder of its own."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="stockroute-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

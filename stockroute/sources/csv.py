@@ -20,12 +20,16 @@ from ..schemas import (AUDIT_COLUMNS, ORDER_HEADERS, ORDERS_REQUIRED, ORDERS_SCH
 BOM = "\ufeff"
 
 
-def read_csv(spark: SparkSession, path: str, *, multi_line: bool = True,
+def read_csv(spark: SparkSession, path: str, *, multi_line: bool = False,
              encoding: str = "UTF-8") -> DataFrame:
-    """All columns as strings, header names with every leading BOM removed."""
+    """All columns as strings, header names with every leading BOM removed.
+    Columns come from the first file's header; a file with other headers or
+    another column order raises. ``multi_line`` (for fields with line breaks)
+    makes each file one split."""
     df = (spark.read
           .option("header", "true")
           .option("inferSchema", "false")
+          .option("enforceSchema", "false")
           .option("encoding", encoding)
           .option("multiLine", "true" if multi_line else "false")
           .option("escape", '"')
@@ -78,14 +82,14 @@ def typed_stock(raw: DataFrame, *, strict: bool = True) -> DataFrame:
 
 
 def ingest_orders(spark: SparkSession, path: str, run_ts: str, *, source: str | None = None,
-                  strict: bool = True, multi_line: bool = True) -> DataFrame:
+                  strict: bool = True, multi_line: bool = False) -> DataFrame:
     """CSV order extract -> raw order table (typed, plus audit columns)."""
     return with_audit(typed_orders(read_csv(spark, path, multi_line=multi_line), strict=strict),
                       run_ts, source or path)
 
 
 def ingest_stock(spark: SparkSession, path: str, run_ts: str, *, source: str | None = None,
-                 strict: bool = True, multi_line: bool = True) -> DataFrame:
+                 strict: bool = True, multi_line: bool = False) -> DataFrame:
     """CSV stock extract -> raw stock table (typed, plus audit columns)."""
     return with_audit(typed_stock(read_csv(spark, path, multi_line=multi_line), strict=strict),
                       run_ts, source or path)

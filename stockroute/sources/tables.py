@@ -24,8 +24,9 @@ def table_format(spark: SparkSession, fmt: str | None = None) -> str:
     return "delta" if delta_available(spark) else "parquet"
 
 
-def ensure_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
 def write_table(df: DataFrame, name: str, *, database: str | None = None, root: str | None = None,

@@ -20,7 +20,7 @@ def test_bom_extra_missing_multiline_and_quotes(spark, tmp_path):
     d = tmp_path / "orders"
     d.mkdir()
     _write(d / "part-0.csv", body)
-    df = csv_source.ingest_orders(spark, str(d), "TS", source="orders/")
+    df = csv_source.ingest_orders(spark, str(d), "TS", source="orders/", multi_line=True)
     assert df.columns[:3] == ["sales_order_number", "sales_order_line_item", "customer_name"]
     assert "Extra Col" not in df.columns and len(df.columns) == 21 + 2
     rows = {r.sales_order_number: r for r in df.collect()}
@@ -63,3 +63,13 @@ def test_stock_timestamp_and_nan_parse(spark, tmp_path):
     (row,) = csv_source.ingest_stock(spark, str(d), "TS").collect()
     assert row.allocable_stock_qty != row.allocable_stock_qty  # NaN
     assert row.packaging_unit == "PAL" and row.stock_timing_timestamp.year == 2024
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_file_with_another_column_order_raises(spark, tmp_path, multi_line):
+    d = tmp_path / "two"
+    d.mkdir()
+    _write(d / "a.csv", "Material Number,Plant,Storage Location,Allocable Stock Quantity\nM1,P1,PT12,1\n")
+    _write(d / "b.csv", "Plant,Material Number,Storage Location,Allocable Stock Quantity\nP2,M2,PT12,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_source.ingest_stock(spark, str(d), "TS", multi_line=multi_line).collect()

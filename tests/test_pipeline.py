@@ -8,6 +8,7 @@ from helpers import orders_df, stock_df
 
 from stockroute.plans import pipeline
 from stockroute.plans.flow import Flow
+from stockroute.rules import Rules
 from stockroute.schemas import ORDER_HEADERS, STOCK_HEADERS
 from stockroute.session import scratch_path
 from stockroute.sources.csv import write_csv
@@ -48,7 +49,11 @@ def test_pipeline_writes_all_tables_consistently(spark):
     layout = pipeline.Layout(root=scratch_path(spark, "test-tables"))
     res = pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout, run_ts=TS)
     m = res.metrics
-    assert len(res.tables) == 8 and res.broadcast_stock is True
+    assert len(res.tables) == 9
+    for name in ("valid_orders", "exceptions"):  # reference order: raw columns, audit, status
+        assert layout.read(spark, "silver", name).columns == [
+            *orders.columns, "_ingestion_timestamp", "_source_file", "validation_status", "exception_reason",
+            "_processed_timestamp"]
     assert m["sales_orders_raw"] == 7 and m["stock_availability_raw"] == 4
     assert m["valid_orders"] + m["exceptions"] == 6          # ZUCC line dropped
     assert m["allocation_execution_delivery_output"] == m["allocation_output"]
@@ -69,7 +74,7 @@ def test_pipeline_writes_all_tables_consistently(spark):
     assert sums["case"] == 3 and sums["exceptions"] == 1
 
 
-def test_pipeline_forced_shuffle_join_gives_same_output(spark):
+def test_shuffle_join_gives_same_output(spark):
     orders, stock = _inputs(spark)
     src = scratch_path(spark, "test-extracts")
     write_csv(orders, f"{src}/orders", ORDER_HEADERS)
@@ -77,14 +82,58 @@ def test_pipeline_forced_shuffle_join_gives_same_output(spark):
     a = pipeline.Layout(root=scratch_path(spark, "test-a"))
     b = pipeline.Layout(root=scratch_path(spark, "test-b"))
     pipeline.run(spark, f"{src}/orders", f"{src}/stock", a, run_ts=TS)
-    res = pipeline.run(spark, f"{src}/orders", f"{src}/stock", b, run_ts=TS, broadcast_bytes=0)
-    assert res.broadcast_stock is False
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        pipeline.run(spark, f"{src}/orders", f"{src}/stock", b, run_ts=TS)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     for name in ("allocation_output", "order_validation_ticket_pega"):
         x = sorted(map(tuple, a.read(spark, "gold", name).collect()), key=repr)
         y = sorted(map(tuple, b.read(spark, "gold", name).collect()), key=repr)
         assert x == y
 
 
+def test_catalog_tables_and_second_run(spark):
+    """Databases of the session catalog are created, and a second run replaces
+    every table."""
+    orders, stock = _inputs(spark)
+    src = scratch_path(spark, "test-extracts")
+    write_csv(orders, f"{src}/orders", ORDER_HEADERS)
+    write_csv(stock, f"{src}/stock", STOCK_HEADERS)
+    layout = pipeline.Layout(bronze="t_bronze", silver="t_silver", gold="t_gold")
+    try:
+        first = pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout, run_ts=TS)
+        second = pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout, run_ts="2025-01-01T00:00:00")
+        assert first.metrics == second.metrics == pipeline.collect_metrics(spark, layout)
+        names = {db: {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect() if not r.isTemporary} for db in ("t_bronze", "t_silver", "t_gold")}
+        assert {k: len(v) for k, v in names.items()} == {"t_bronze": 2, "t_silver": 3, "t_gold": 4}
+        stamps = spark.table("t_gold.allocation_output").select("_processed_timestamp").distinct().collect()
+        assert [r[0] for r in stamps] == ["2025-01-01T00:00:00"]
+    finally:
+        for db in ("t_bronze", "t_silver", "t_gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_summaries_follow_the_runs_rules_and_are_sorted(spark):
+    orders, stock = _inputs(spark)
+    src = scratch_path(spark, "test-extracts")
+    write_csv(orders, f"{src}/orders", ORDER_HEADERS)
+    write_csv(stock, f"{src}/stock", STOCK_HEADERS)
+    rules = Rules(customer_alias={"X": "Walmart", "TENTA": "TentA"})
+    layout = pipeline.Layout(root=scratch_path(spark, "test-rules"))
+    pipeline.run(spark, f"{src}/orders", f"{src}/stock", layout, run_ts=TS, rules=rules)
+    got = {k: df.collect() for k, df in pipeline.summaries(spark, layout, rules).items()}
+    assert [(r.customer_group, r["count"]) for r in got["customer_group"]] == [("Default", 3), ("TentA", 1), ("Walmart", 1)]
+    for name, key in (("location_count", lambda r: r.available_locations_count), ("case", lambda r: r.case_number),
+                      ("exceptions", lambda r: (-r["count"], r.exception_reason)),
+                      ("dashboard", lambda r: (r.case_number, r.dashboard_status))):
+        assert got[name] == sorted(got[name], key=key)
+
+
 @pytest.mark.parametrize("parts", [1, 200])
 def test_results_do_not_depend_on_shuffle_partitions(spark, parts):
     orders, stock = _inputs(spark)
@@ -110,6 +159,6 @@ def test_cli_runs_all_stages_and_prints_counts(spark, capsys):
                    "--run-ts", TS, "--summaries", "--silver-db", "silver_x"])
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["metrics"]["allocation_output"] == 9
-    assert report["tables"]["order_lines"].endswith("silver_x/order_lines")
+    assert report["tables"]["valid_orders"].endswith("silver_x/valid_orders")
     cases = {r["case_number"]: r["count"] for r in report["summaries"]["case"]}
     assert sum(cases.values()) == 8

@@ -45,7 +45,7 @@ def test_ticket_ids_pad_but_never_cut(spark):
         "'M' AS material_number", "'P1' AS plant", "'PT11' AS allocated_location",
         "'r' AS case_reason", "'PT12' AS starting_location", "'CASE_2' AS case_number",
         "true AS requires_auth")
-    ids = {r.ticket_id for r in products.tickets(df, TS, buckets=8).select("ticket_id").collect()}
+    ids = {r.ticket_id for r in products.tickets(df, TS, partitions=8).select("ticket_id").collect()}
     assert len(ids) == 100001 and "PEGA-OV-100000" in ids and "PEGA-OV-00000" in ids
 
 

@@ -69,3 +69,17 @@ def test_rule_frames(spark):
     assert frames["priority_rules"].count() == 15
     assert frames["full_pallet_parties"].count() == 8
     assert frames["auth_rules"].filter("requires_auth").count() == 8
+
+
+def test_locations_are_fixed():
+    with pytest.raises(ValueError, match="fixed"):
+        Rules(locations=("PT12", "PT11", "PT15", "PT20"))
+
+
+def test_shipped_values():
+    """Plain statement of the values that outcomes depend on."""
+    assert DEFAULT_RULES.search_order("Cencosud") == ["PT12", "PT15", "PT11"]
+    assert all(DEFAULT_RULES.search_order(g) == ["PT12", "PT11", "PT15"] for g in ("Walmart", "DMart", "TentA", "Default"))
+    assert DEFAULT_RULES.search_order("Cencosud", "PT11") == ["PT11", "PT12", "PT15"]
+    assert [g for g in DEFAULT_RULES.groups() if DEFAULT_RULES.needs_auth(g, "PT11")] == ["Cencosud", "DMart", "TentA", "Default"]
+    assert [g for g in DEFAULT_RULES.groups() if DEFAULT_RULES.needs_auth(g, "PT15")] == ["Walmart", "DMart", "TentA", "Default"]

@@ -1,92 +1,55 @@
-import datetime as dt
-
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stockroute.operators import sequence as seq
 
+ORDER = ["s", "d", "i"]
+
 
-def _frame(spark, n=3000, hot_share=3):
-    """Rows with one hot group holding about 1/hot_share of all rows."""
-    data = []
-    for i in range(n):
-        g = 0 if i % hot_share == 0 else i % 97 + 1
-        data.append((g, f"k{i % 13:02d}", float(i % 7), i))
-    return spark.createDataFrame(data, "g long, s string, d double, i long")
+def _frame(spark, n=3000):
+    return spark.createDataFrame([(f"k{i % 13:02d}" if i % 3 else None, float(i % 7), i) for i in range(n)],
+                                 "s string, d double, i long").repartition(5)
 
 
-def _reference(df, order, part=()):
-    w = Window.orderBy(*order) if not part else Window.partitionBy(*part).orderBy(*order)
-    return {r.i: r.rn for r in df.withColumn("rn", F.row_number().over(w)).select("i", "rn").collect()}
+def _window(df):
+    return {r.i: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*ORDER)))
+            .select("i", "rn").collect()}
 
 
-@pytest.mark.parametrize("buckets", [1, 2, 7, 40])
-def test_grouped_row_number_equals_window_with_hot_group(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 2, 40, 600])
+def test_equals_the_plain_window(spark, partitions):
     df = _frame(spark)
-    order = ["s", "d", "i"]
-    got = {r.i: r.rn for r in seq.row_number(df, order, ["g"], output="rn", buckets=buckets)
-           .select("i", "rn").collect()}
-    assert got == _reference(df, order, ["g"])
-
-
-@pytest.mark.parametrize("buckets", [1, 5, 16])
-def test_global_row_number_is_dense_and_ordered(spark, buckets):
-    df = _frame(spark, n=2000)
-    order = ["s", "d", "i"]
-    got = {r.i: r.rn for r in seq.row_number(df, order, output="rn", buckets=buckets)
-           .select("i", "rn").collect()}
-    assert got == _reference(df, order)
-    assert sorted(got.values()) == list(range(1, 2001))
-
-
-def test_hot_group_is_split_over_buckets(spark):
-    df = _frame(spark, n=3000, hot_share=2)
-    bounds = seq.range_boundaries(df, ["g", "s", "d", "i"], buckets=8)
-    picks, hot = seq.snap_to_groups(bounds, 1)
-    assert hot == {(0,)}  # only the hot group may span buckets
-    assert picks[0] == (0, None, None, None)  # it starts a bucket of its own
-    assert len(picks) >= 3 and all(p[0] == 0 for p in picks)
-
-
-def test_any_boundaries_give_the_same_numbers(spark):
-    df = _frame(spark, n=1200)
-    order = ["s", "d", "i"]
-    want = _reference(df, order, ["g"])
-    for bounds in ([(0, "k05", 1.0, 5)], [(3, None, None, None), (50, "k01", 2.0, 9)], []):
-        got = {r.i: r.rn for r in seq.row_number(df, order, ["g"], output="rn",
-                                                 boundaries=bounds).select("i", "rn").collect()}
-        assert got == want
-
-
-def test_nulls_sort_first(spark):
-    df = spark.createDataFrame([(1, None, 0), (1, "a", 1), (1, "b", 2), (2, None, 3)],
-                               "g long, s string, i long")
-    got = {r.i: r.rn for r in seq.row_number(df, ["s", "i"], ["g"], output="rn", buckets=3)
-           .select("i", "rn").collect()}
-    assert got == {0: 1, 1: 2, 2: 3, 3: 1}
-
-
-def test_sql_literals_round_trip(spark):
-    from pyspark.sql import types as T
-    values = [("it's \\ ok", T.StringType()), (12345678901, T.LongType()), (7, T.IntegerType()),
-              (0.1, T.DoubleType()), (float("nan"), T.DoubleType()), (float("-inf"), T.DoubleType()),
-              (dt.date(2024, 2, 29), T.DateType()),
-              (dt.datetime(1999, 10, 17, 1, 2, 3, 456), T.TimestampNTZType()),
-              (True, T.BooleanType()), (None, T.LongType())]
-    exprs = [F.expr(seq.sql_literal(v, t)).alias(f"c{i}") for i, (v, t) in enumerate(values)]
-    (row,) = spark.range(1).select(*exprs).collect()
-    for i, (v, t) in enumerate(values):
-        got = row[f"c{i}"]
-        if isinstance(v, float) and v != v:
-            assert got != got
-        else:
-            assert got == v, (v, got)
-
-
-def test_global_numbering_plan_has_no_single_partition_window_over_rows(spark):
-    df = _frame(spark, n=500)
-    out = seq.row_number(df, ["s", "d", "i"], output="rn", buckets=4)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # The only unpartitioned window runs over the small per-bucket count table.
-    assert "Exchange hashpartitioning(_seq_bucket" in plan
+    out = seq.row_number(df, ORDER, output="rn", partitions=partitions)
+    assert {r.i: r.rn for r in out.select("i", "rn").collect()} == _window(df)
+    assert out.columns == [*df.columns, "rn"]
+
+
+def test_default_partitions_and_range_source(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        out = seq.row_number(spark.range(5000).select((-F.col("id")).alias("k")), ["k"], output="rn")
+        assert out.where(F.col("rn") != F.col("k") + 5000).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_one_key_on_a_third_of_the_rows(spark):
+    df = spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i}", 0.0, i) for i in range(3000)],
+                               "s string, d double, i long")
+    assert {r.i: r.rn for r in seq.row_number(df, ORDER, output="rn", partitions=16).collect()} == _window(df)
+
+
+def test_reading_twice_gives_the_same_numbers(spark):
+    out = seq.row_number(_frame(spark), ORDER, output="rn", partitions=7)
+    assert sorted(map(tuple, out.select("i", "rn").collect())) == sorted(map(tuple, out.select("i", "rn").collect()))
+
+
+def test_empty_frame(spark):
+    assert seq.row_number(_frame(spark, 1).limit(0), ORDER).count() == 0
+
+
+def test_window_is_per_stored_range(spark):
+    plan = seq.row_number(_frame(spark), ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_seq_range" in plan

@@ -1,3 +1,5 @@
+import pytest
+
 from stockroute.session import ENGINE_CONF, scratch_path, scratch_root
 
 
@@ -16,3 +18,28 @@ def test_engine_settings_applied(spark):
     for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
                 "spark.sql.session.timeZone"):
         assert spark.conf.get(key) == ENGINE_CONF[key]
+
+
+@pytest.mark.parametrize("master, allowed", [("local[4]", True), ("local", True), ("yarn", False),
+                                             ("spark://h:7077", False), ("local-cluster[2,1,1024]", False)])
+def test_unset_folder_is_an_error_on_a_cluster(monkeypatch, tmp_path, master, allowed):
+    class Context:
+        def __init__(self):
+            self.master, self.made = master, None
+
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, path):
+            self.made = path
+
+    class Session:
+        sparkContext, conf = Context(), type("Conf", (), {
+            "get": lambda self, k, d=None: d, "set": lambda self, k, v: None})()
+
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    if allowed:
+        assert scratch_root(Session()) == Session.sparkContext.made
+    else:
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            scratch_root(Session())

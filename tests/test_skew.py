@@ -1,6 +1,8 @@
-"""A hot material (a third of all lines) and null materials (another third,
-which all hash alike) in the shuffle-join path: AQE splits the skewed order
-partitions instead of leaving them to one task."""
+"""A hot material (a third of all lines) and null materials (another third) in
+the shuffle-join path: AQE splits the skewed order partitions, and lines without
+a material are spread by keys of their own."""
+
+from pyspark.sql import functions as F
 
 from helpers import orders_df, stock_df
 
@@ -44,3 +46,21 @@ def test_hot_material_partition_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_null_materials_are_spread_with_shipped_settings(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "-1", "false")):
+            spark.conf.set(k, v)
+        orders = enrich.enrich_orders(orders_df(spark, *[
+            {"sales_order_number": str(i), "material_number": None if i % 2 else f"M{i}"} for i in range(4000)]))
+        st = stock.stock_filtered(stock_df(spark, *[{"material_number": f"M{i}", "allocable_stock_qty": 9.0} for i in range(50)]), TS)
+        joined = al.join_stock(orders, st).where("material_number is null")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2000 and len(sizes) == 8 and max(sizes) < 2 * 2000 / 8
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

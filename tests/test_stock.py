@@ -64,8 +64,10 @@ def test_nan_stock_counts_as_present(spark):
     assert r.has_stock_PT12 is True and math.isnan(r.total_stock)
 
 
-def test_profile_is_one_exchange(spark):
+def test_profile_reduces_raw_rows_by_hash_first(spark):
     df = stock_df(spark, {"storage_location": "PT12"}, {"storage_location": "PT11"})
     plan = plan_text(stock.stock_filtered(df, TS))
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
     assert "Join" not in plan
+    raw_side = plan[plan.index("Exchange hashpartitioning", plan.index("Exchange hashpartitioning") + 1):]
+    assert "HashAggregate" in raw_side and "SortAggregate" not in raw_side and "Sort [" not in raw_side

@@ -19,9 +19,9 @@ def _as_float(text):
 
 
 def decide(group, qty, stocks: dict, has: dict, pallet_rule, packaging_unit, found=True,
-           rules: Rules = DEFAULT_RULES):
+           rules: Rules = DEFAULT_RULES, start=None):
     """-> (allocated_location, requires_auth, case_number, case_reason, location_changed)."""
-    start = rules.start_location
+    start = start if start in rules.locations else rules.start_location
     if not found:
         return None, False, CASE_3, REASON_NOT_IN_STOCK, False
     need = 0.0 if qty is None else float(qty)
@@ -37,7 +37,7 @@ def decide(group, qty, stocks: dict, has: dict, pallet_rule, packaging_unit, fou
             return s >= need and math.fmod(need, size) == 0
         return s >= need
 
-    for i, loc in enumerate(rules.search_order(group)):
+    for i, loc in enumerate(rules.search_order(group, start)):
         if can(loc):
             if i == 0:
                 return loc, False, CASE_1, REASON_CASE_1.format(start=start), False
