@@ -223,8 +223,9 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
     links = stored(_links(tested, sets, percent), "links")
     labels = components(links)
     members = members.select("key", "id")
-    done, refined = None, False
+    done, refined, salt = None, False, 0
     while True:
+        salt += 1
         open_ = members if done is None else members.join(done, ["key", "id"], "left_anti")
         open_ = (open_.join(labels, "id", "left")
                  .select("key", "id", F.coalesce("component", "id").alias("c")))
@@ -248,16 +249,17 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
         odd = (live.join(rank.select("key", F.col("top.c").alias("main"), (F.col("n") - F.col("top.k")).alias("odd")), "key")
                .where("c <> main"))
         share = F.greatest(F.lit(1), F.ceil(F.col("odd") / PIVOTS))
-        order = F.pmod(F.xxhash64("key", "id"), F.lit(1 << 40))
+        order = F.pmod(F.xxhash64(F.lit(salt), "key", "id"), F.lit(1 << 40))
         least = odd.groupBy("key").agg(F.min(order).alias("least"))
         pivots = stored(odd.join(least, "key").where((F.pmod(order, share) == 0) | (order == F.col("least")))
                         .select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
         pairs = (pivots.join(live, "key").where("pc <> c")
                  .select(*_ordered(F.col("p"), F.col("id"))).distinct())
         pairs = stored(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-        found = _links(pairs, sets, percent)
-        links = stored(links.union(found), "links")
+        found = stored(_links(pairs, sets, percent), "links")
         tried = pivots.select("key", F.col("p").alias("id"))
         done = tried if done is None else done.union(tried)
         tested = tested.union(pairs)
-        labels = components(links)
+        if found.limit(1).count():
+            links = links.union(found)
+            labels = components(links)
