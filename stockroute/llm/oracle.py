@@ -38,10 +38,11 @@ WITH docs AS (
 ), places AS (
   SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS p FROM docs WHERE len(words) >= 5
 ), windows AS (
-  SELECT doc_id, p, words[p : p + 4] AS w FROM places
+  SELECT doc_id, p, hash(words[p], words[p + 1], words[p + 2], words[p + 3], words[p + 4]) AS w FROM places
+), twice AS (
+  SELECT doc_id, w FROM windows GROUP BY doc_id, w HAVING count(*) > 1
 ), repeated AS (
-  SELECT doc_id, p FROM windows
-  QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+  SELECT doc_id, p FROM windows SEMI JOIN twice USING (doc_id, w)
 ), covered AS (
   SELECT doc_id, count(DISTINCT p + o) AS n
   FROM repeated, (SELECT unnest([0, 1, 2, 3, 4]) AS o) GROUP BY doc_id
@@ -73,7 +74,85 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counts
 """
 
+# Windows of 20 words compared by hash; each word under a window that starts
+# earlier elsewhere goes.
+SUBSTRING_DEDUP = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), words AS MATERIALIZED (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS p FROM docs
+), h2 AS (
+  SELECT doc_id, p, hash(word, lead(word) OVER d) AS h FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), h4 AS (
+  SELECT doc_id, p, hash(h, lead(h, 2) OVER d) AS h4 FROM h2 WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), h8 AS (
+  SELECT doc_id, p, h4, hash(h4, lead(h4, 4) OVER d) AS h8 FROM h4 WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), h16 AS (
+  SELECT doc_id, p, h4, hash(h8, lead(h8, 8) OVER d) AS h16 FROM h8 WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), windows AS MATERIALIZED (
+  SELECT doc_id, p, w FROM (
+    SELECT doc_id, p, hash(h16, lead(h4, 16) OVER d) AS w, lead(p, 19) OVER d AS last
+    FROM h16 WINDOW d AS (PARTITION BY doc_id ORDER BY p))
+  WHERE last IS NOT NULL
+), firsts AS (
+  SELECT w, min((doc_id, p)) AS first FROM windows GROUP BY w HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p + o AS p
+  FROM windows JOIN firsts USING (w), (SELECT unnest(generate_series(0, 19)) AS o)
+  WHERE (doc_id, p) <> first
+), cut AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM (SELECT doc_id, words FROM docs) LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+# Shingles of two words compared as text; links by counting shared shingles;
+# components by walking the links.
+NEAR_DEDUP = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(s) AS s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 1 THEN words
+             ELSE list_transform(generate_series(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1]) END) AS s
+    FROM docs)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), places AS MATERIALIZED (
+  SELECT doc_id, n, s, row_number() OVER (PARTITION BY doc_id ORDER BY often, s) AS r
+  FROM shingles JOIN sizes USING (doc_id) JOIN (SELECT s, count(*) AS often FROM shingles GROUP BY s) USING (s)
+), near AS (
+  -- Sets this similar share one of their rarest fifth of shingles.
+  SELECT DISTINCT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny
+  FROM places a JOIN places b ON a.s = b.s AND a.doc_id < b.doc_id
+    AND a.r <= a.n - ceil(0.8 * a.n) + 1 AND b.r <= b.n - ceil(0.8 * b.n) + 1
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), links AS MATERIALIZED (
+  SELECT x, y FROM near JOIN shingles a ON a.doc_id = x JOIN shingles b ON b.doc_id = y AND b.s = a.s
+  GROUP BY x, y, nx, ny HAVING 100 * count(*) >= 80 * (nx + ny - count(*))
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), walk(doc_id, top) AS (
+  SELECT DISTINCT x, x FROM both_ways
+  UNION
+  SELECT b.y, w.top FROM walk w JOIN both_ways b ON b.x = w.doc_id WHERE w.top < b.y
+), tops AS (
+  SELECT doc_id, min(top) AS top FROM walk GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, coalesce(t.top, d.doc_id) AS component_id,
+       coalesce(t.top, d.doc_id) = d.doc_id AS kept
+FROM docs d LEFT JOIN sizes z USING (doc_id) LEFT JOIN tops t USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
+    "op4_minhash_dedup": NEAR_DEDUP,
     "op7_quality_rules": QUALITY,
+    "op10_substring_dedup": SUBSTRING_DEDUP,
 }
