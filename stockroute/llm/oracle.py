@@ -150,9 +150,70 @@ SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, coalesce(t.top,
 FROM docs d LEFT JOIN sizes z USING (doc_id) LEFT JOIN tops t USING (doc_id)
 """
 
+# --- fixed values: kind, place, part of a credential, strong, pattern, group, least length of the group ---
+SECRET_KINDS = [
+    ("assign", 0, "secret", True, r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+     r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    ("access", 1, "id", True, "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", 2, "secret", True, "[0-9a-f]{16,}", 0, 16),
+    ("login", 3, "id", False, r"(?:[Cc][Ll][Ii][Ee][Nn][Tt]_[Ii][Dd]|[Uu][Ss][Ee][Rr][Nn][Aa][Mm][Ee]"
+     r"|[Aa][Cc][Cc][Ee][Ss][Ss]_[Kk][Ee][Yy]_[Ii][Dd]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt]|[Ll][Oo][Gg][Ii][Nn]|[Uu][Ss][Ee][Rr])"
+     r"[\"\x27]?\x20*[:=]\x20*[\"\x27]?[A-Za-z0-9_.@-]{3,}", 0, 0),
+    ("random", 4, "secret", False, "[A-Za-z0-9+/_=-]{20,}", 0, 0),
+    ("endpoint", 5, "endpoint", False, r"(?:[a-z]{2,12}://[A-Za-z0-9.-]{3,}(?::[0-9]{1,5})?"
+     r"|[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,5}:[0-9]{2,5})", 0, 0),
+]
+# --- end of fixed values ---
+
+
+def _spans(kind: str, place: int, part: str, strong: bool, pattern: str, group: int, least: int) -> str:
+    """Matches with their starts, from the pieces between them."""
+    return f"""SELECT doc_id, '{kind}' AS kind, {place} AS place, '{part}' AS part, {strong} AS strong,
+         len(array_to_string(gaps[1 : i], '')) + len(array_to_string(hits[1 : i - 1], '')) AS s, hits[i] AS hit
+  FROM (SELECT *, unnest(generate_series(1, len(hits))) AS i FROM (
+    SELECT doc_id, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS hits,
+           regexp_extract_all(text, '{pattern}', {group}) AS parts FROM docs WHERE regexp_matches(text, '{pattern}')))
+  WHERE len(parts[i]) >= {least}"""
+
+
+# Each kind's spans; weak ones that overlap no strong one and have a complement
+# that starts within 300 characters.
+SECRET_SCAN = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), spans AS MATERIALIZED (
+  SELECT *, s + len(hit) AS e FROM (
+  """ + "\n  UNION ALL ".join(_spans(*k) for k in SECRET_KINDS) + r""")
+  WHERE kind <> 'random' OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]'))
+), parts AS MATERIALIZED (
+  SELECT * FROM spans w WHERE strong OR NOT EXISTS (
+    SELECT 1 FROM spans b WHERE b.strong AND b.doc_id = w.doc_id AND b.s < w.e AND w.s < b.e)
+), seen AS (
+  SELECT w.doc_id, w.kind, w.place, w.part, w.s, w.e,
+         bool_or(n.part = 'id') AS id, bool_or(n.part = 'secret') AS secret, bool_or(n.part = 'endpoint') AS endpoint
+  FROM parts w JOIN parts n ON n.doc_id = w.doc_id AND abs(n.s - w.s) <= 300
+  WHERE NOT w.strong GROUP BY ALL
+), chosen AS (
+  SELECT doc_id, kind, place, s, e, TRUE AS base FROM spans WHERE strong
+  UNION ALL
+  SELECT doc_id, kind, place, s, e, FALSE FROM seen
+  WHERE (part = 'id' AND secret) OR (part = 'secret' AND (id OR endpoint)) OR (part = 'endpoint' AND id AND secret)
+), lists AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (base) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans
+  FROM chosen GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN lists USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
     "op4_minhash_dedup": NEAR_DEDUP,
     "op7_quality_rules": QUALITY,
+    "op9_secret_scan": SECRET_SCAN,
     "op10_substring_dedup": SUBSTRING_DEDUP,
 }

@@ -9,6 +9,8 @@ interval join over cells of that width.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,11 @@ STRONG = {
 WEAK = {
     "login": ("(?:" + "|".join(_ANY_CASE(w) for w in ("client_id", "username", "access_key_id", "account", "login", "user"))
               + r""")["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", "id"),
-    "random": ("(?=[A-Za-z+/_=-]{0,63}[0-9])(?=[a-z0-9+/_=-]{0,63}[A-Z])(?=[A-Z0-9+/_=-]{0,63}[a-z])[A-Za-z0-9+/_=-]{20,}", "secret"),
+    "random": ("[A-Za-z0-9+/_=-]{20,}", "secret"),
     "endpoint": (r"(?:[a-z]{2,12}://[A-Za-z0-9.-]{3,}(?::[0-9]{1,5})?|[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,5}:[0-9]{2,5})", "endpoint"),
 }
+#: What the text of a weak match must hold besides.
+MUST = {"random": ("[0-9]", "[A-Z]", "[a-z]")}
 PART = {"assign": "secret", "access": "id", "hex": "secret"} | {k: part for k, (_, part) in WEAK.items()}
 ORDER = {kind: i for i, kind in enumerate([*STRONG, *WEAK])}
 SPAN = "struct<start:int,place:int,end:int,kind:string>"
@@ -41,18 +45,23 @@ SPAN = "struct<start:int,place:int,end:int,kind:string>"
 
 def find(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
     """Spans (code points, end exclusive) of the leftmost non-overlapping matches
-    whose ``group`` has at least ``least`` characters. Starts come from the
+    whose ``group`` has at least ``least`` characters and that hold what ``MUST``
+    says of the kind. Starts come from the
     lengths of the pieces between matches, which the pattern splits the text to."""
+    def holds(x):
+        return functools.reduce(lambda a, b: a & b, [x.rlike(p) for p in MUST.get(kind, ())], F.lit(True))
+
     empty = F.array().cast(f"array<{SPAN}>")
     hits = F.arrays_zip(F.transform(F.split(text, pattern), lambda x: F.length(x)).alias("gap"),
                         F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda x: F.length(x)).alias("size"),
-                        F.transform(F.regexp_extract_all(text, F.lit(pattern), group), lambda x: F.length(x)).alias("part"))
+                        F.transform(F.regexp_extract_all(text, F.lit(pattern), group), lambda x: F.length(x)).alias("part"),
+                        F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), holds).alias("holds"))
     begin = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
     def step(a, x):
         start = a["at"] + x["gap"]
         span = F.struct(start.alias("start"), F.lit(ORDER[kind]).alias("place"), (start + x["size"]).alias("end"), F.lit(kind).alias("kind"))
-        good = x["size"].isNotNull() & (x["part"] >= least)
+        good = x["size"].isNotNull() & (x["part"] >= least) & x["holds"]
         return F.struct((start + F.coalesce(x["size"], F.lit(0))).alias("at"),
                         F.when(good, F.concat(a["found"], F.array(span))).otherwise(a["found"]).alias("found"))
 

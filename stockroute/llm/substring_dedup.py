@@ -9,7 +9,8 @@ maximal repeats.
 
 Hashes and places travel packed: one row holds what a batch of texts sends to
 one part of the hash space (numpy arrays in binary columns), so an entry costs
-4 bytes in the first exchange and 12 in the second. Parts of the hash space and
+4 bytes in the first exchange and 12 in the second; texts travel compressed by
+bucket, in one exchange that both passes over them share. Parts of the hash space and
 text buckets are ``PARTS`` for each shuffle partition, so what one task holds
 follows the partition count that the cluster sets for the data's size. A phrase
 that a third of all texts share is one entry per text in its part; no pairs of
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .words import mix, text_buffers, window_hashes, word_hashes
 
-PARTS = 2
+PARTS = 1
 _TAG = np.uint64(34)  # a rolling hash keeps its top 30 bits inside its part
 _LAST = (1 << 63) - 1  # the place of null ids: after all others
 
@@ -123,6 +124,33 @@ def _anchored(table: pa.Table) -> Iterator[dict]:
                "counts": _pack(np.diff(np.append(heads, b - a)).astype("<i4")), "tags": _pack(found[a:b].astype("<u4"))}
 
 
+def _packed_texts(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's texts by bucket, compressed together."""
+    buckets = batch.column("bucket").to_numpy(zero_copy_only=False)
+    order = np.argsort(buckets, kind="stable")
+    for a, b in zip(cuts := _runs(buckets[order]), np.append(cuts[1:], len(order))):
+        rows = batch.take(pa.array(order[a:b]))
+        raw, ends = text_buffers(rows.column("text"))
+        keys = rows.column("key").to_numpy(zero_copy_only=False)
+        missing = rows.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+        body = raw[ends[0]:ends[-1]].tobytes()
+        yield {"bucket": int(buckets[order[a]]), "keys": _pack(keys.astype("<i8")), "missing": _pack(missing),
+               "counts": _pack(np.diff(ends).astype("<i8")), "size": len(body),
+               "texts": pa.compress(body, "zstd", asbytes=True) if body else b""}
+
+
+def _unpacked(packed: pa.Table) -> pa.Table:
+    """The texts of one bucket as rows (doc_id, key, bucket, text)."""
+    keys, missing = _joined(packed, "keys", "<i8"), _joined(packed, "missing", "?")
+    sizes = _joined(packed, "counts", "<i8")
+    body = b"".join(pa.decompress(x.as_py(), n.as_py(), "zstd", asbytes=True) if n.as_py() else b""
+                    for x, n in zip(packed.column("texts"), packed.column("size")))
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype("<i8")
+    texts = pa.Array.from_buffers(pa.large_string(), len(keys), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body)])
+    bucket = np.full(len(keys), packed.column("bucket")[0].as_py() if len(packed) else 0, dtype=np.int32)
+    return pa.table({"doc_id": pa.array(keys, pa.int64(), mask=missing), "key": keys, "bucket": bucket, "text": texts})
+
+
 def _by_key(keys: np.ndarray, *columns: np.ndarray) -> dict[int, tuple[np.ndarray, ...]]:
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -242,7 +270,7 @@ def _table(rows: Iterator[dict], schema: pa.Schema) -> pa.Table:
 
 
 def _schema(**columns: str) -> tuple[pa.Schema, str]:
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     return (pa.schema([(c, kinds[k]) for c, k in columns.items()]), ", ".join(f"{c} {k}" for c, k in columns.items()))
 
 
@@ -274,6 +302,13 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     whole, whole_sql = _schema(part="int", bucket="int", keys="binary", marks="binary", counts="binary", hashes="binary", places="binary")
     late, late_sql = _schema(bucket="int", keys="binary", marks="binary", counts="binary", places="binary")
 
+    packed, packed_sql = _schema(bucket="int", keys="binary", missing="binary", counts="binary", size="long", texts="binary")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _packed_texts(batch):
+                yield pa.RecordBatch.from_pylist([row], packed)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1 << 14):
@@ -282,8 +317,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
 
     probes = texts.select("key", "bucket", "text").mapInArrow(send, probe_sql)
     hits = probes.groupBy("part").applyInArrow(lambda t: _table(_anchored(t), reply), reply_sql)
-    windows = texts.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(
-        lambda t, h: _table(_extended(t, h, window, parts) if len(t) and len(h) else iter(()), whole), whole_sql)
+    dealt = texts.mapInArrow(pack, packed_sql)
+    windows = dealt.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(
+        lambda t, h: _table(_extended(_unpacked(t), h, window, parts) if len(t) and len(h) else iter(()), whole), whole_sql)
     repeats = windows.groupBy("part").applyInArrow(lambda t: _table(_later(t), late), late_sql)
-    return texts.groupBy("bucket").cogroup(repeats.groupBy("bucket")).applyInArrow(
-        lambda t, r: _cut(t, r, window), "doc_id long, n_words long, n_removed long, kept_text string")
+    return dealt.groupBy("bucket").cogroup(repeats.groupBy("bucket")).applyInArrow(
+        lambda t, r: _cut(_unpacked(t), r, window), "doc_id long, n_words long, n_removed long, kept_text string")
