@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sequence import row_number
 from .near_dedup import stored
 from .words import GAP
 
@@ -35,9 +36,9 @@ def targets(sources: DataFrame, weights: Sequence[float], cap: float) -> DataFra
     weight (sources in code point order, null last, weights repeating), none above
     ``cap`` times its size, the excess reshared by weight among the others. Only
     two sums a round reach the driver."""
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
-    sources = stored(sources.withColumn("weight", weight), "sources")
+    placed = row_number(sources.withColumn("__last", F.col("source").isNull()), ["__last", "source"], output="place")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
+    sources = stored(placed.select("source", "source_size", weight.alias("weight")), "sources")
     most = cap * F.col("source_size")
     share = 0.0
     while True:
