@@ -8,12 +8,12 @@ Candidates are verified on the full shingle sets.
 
 Shape of the job: exact copies collapse to one representative of a set first;
 table keys are counted with partial aggregation; a bucket is never expanded to
-its pairs. Each document is verified against one bucket pivot, components are
-formed, and only buckets that still hold several components are looked at again
-(pivots against members of other components) until none is left, so every link
-that joins two components inside a bucket is found. Buckets with many components
-(texts of one template below the threshold) are first split by rare shingles. Intermediate results are
-tables in the shared folder; only counts reach the driver.
+its pairs. Each document is verified against a few bucket pivots and components
+are formed. Where a bucket still holds several components, its outsiders are
+tested against all members of its main component in cells of bounded size (only
+links leave a cell), then against each other, until nothing is left; so every
+link that joins two components inside a bucket is found. Intermediate results
+are tables in the shared folder; only counts reach the driver.
 """
 
 from __future__ import annotations
@@ -31,8 +31,11 @@ from .words import mix, window_hashes, word_hashes
 #: Minhashes in a band, bands in each of the two collections. A pair at
 #: similarity 0.8 shares a table with probability (1 - (1 - 0.8**3)**11)**2 = 0.999.
 WIDTH, BANDS = 3, 11
-#: Pivots a bucket tries in one later round.
-PIVOTS = 32
+#: Pivots of other buckets that a document meets first, and pivots a bucket
+#: tries in one later round.
+FIRST, PIVOTS = 4, 32
+#: Members and outsiders of a component in one cell of a block test.
+CELL_MEMBERS, CELL_OUTSIDERS = 512, 256
 _SEEDS = mix(np.arange(1, 4 * WIDTH * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 _MASKS, _FACTORS = _SEEDS[::2], _SEEDS[1::2] | np.uint64(1)
 _ROWS = 4096
@@ -150,23 +153,6 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
 
-def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, id): buckets of which every pair at ``percent`` similarity shares one.
-
-    With all sets in one order, rarest shingles first, two sets at similarity t
-    have a common shingle among the first ``n - ceil(t * n) + 1`` of each. What a
-    template makes common to many texts sorts last and forms no bucket."""
-    rows = sets.select(F.col("doc_id").alias("id"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    often = rows.groupBy("s").agg(F.count("*").alias("often")).where("often > 1")
-    # A shingle of one text only is rarer than all others: it needs no row.
-    alone = F.col("n") - F.size("shared")
-    first = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
-    return (rows.join(often, "s").groupBy("id", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("often", "s"))).alias("shared"))
-            .select("id", F.explode(F.slice("shared", 1, first)).alias("x"))
-            .select(F.xxhash64(F.lit("prefix"), "x.s").alias("key"), "id"))
-
-
 def _table_keys(reps: DataFrame) -> DataFrame:
     """(key, id): one row per document and table."""
     first, second = F.slice("bands", 1, BANDS), F.slice("bands", BANDS + 1, BANDS)
@@ -217,49 +203,92 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
                   .join(chosen, ["doc_id", "lo"], "left_semi").dropDuplicates(["doc_id", "lo"])
                   .select("doc_id", "shingles"), "sets")
 
-    # Each document against the smallest pivot of its buckets.
-    first = members.groupBy("id").agg(F.min("pivot").alias("p")).where("p < id")
-    tested = stored(first.select(*_ordered(F.col("p"), F.col("id"))), "pairs")
-    links = stored(_links(tested, sets, percent), "links")
+    # Each document against the smallest pivot of its buckets and a few others.
+    slot = F.pmod(F.xxhash64("key"), F.lit(FIRST))
+    first = (members.groupBy("id", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("key"), "pivot")).alias("one"), F.min("pivot").alias("least")))
+    first = first.groupBy("id").agg(F.collect_set("one.pivot").alias("some"), F.min("least").alias("least"))
+    first = first.select("id", F.explode(F.array_union("some", F.array("least"))).alias("p")).where("p <> id")
+    links = stored(_links(first.select(*_ordered(F.col("p"), F.col("id"))).distinct(), sets, percent), "links")
     labels = components(links)
     members = members.select("key", "id")
-    done, refined, salt = None, False, 0
+    tested = done = None
+    salt = 0
     while True:
         salt += 1
-        open_ = members if done is None else members.join(done, ["key", "id"], "left_anti")
-        open_ = (open_.join(labels, "id", "left")
-                 .select("key", "id", F.coalesce("component", "id").alias("c")))
-        # Buckets whose untried members still belong to several components.
-        split = open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        live = stored(open_.join(split.select("key"), "key", "left_semi"), "live")
-        if not live.limit(1).count():
-            return labels
-        parts = live.groupBy("key", "c").agg(F.count("*").alias("k"))
-        rank = parts.groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("n"))
-        if not refined:
-            # Once: a bucket with many components gives way to finer buckets that
-            # cover all of its similar pairs.
-            refined = True
-            wide = stored(rank.where(F.col("n") - F.col("top.k") > PIVOTS).select("key"), "wide")
-            if wide.limit(1).count():
-                many = live.join(wide, "key", "left_semi").select("id").distinct()
-                finer = prefix_buckets(sets.join(many, F.col("doc_id") == F.col("id"), "left_semi"), percent)
-                members = stored(members.join(wide, "key", "left_anti").union(finer), "members")
-                continue
-        odd = (live.join(rank.select("key", F.col("top.c").alias("main"), (F.col("n") - F.col("top.k")).alias("odd")), "key")
-               .where("c <> main"))
-        share = F.greatest(F.lit(1), F.ceil(F.col("odd") / PIVOTS))
-        order = F.pmod(F.xxhash64(F.lit(salt), "key", "id"), F.lit(1 << 40))
-        least = odd.groupBy("key").agg(F.min(order).alias("least"))
-        pivots = stored(odd.join(least, "key").where((F.pmod(order, share) == 0) | (order == F.col("least")))
-                        .select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
-        pairs = (pivots.join(live, "key").where("pc <> c")
-                 .select(*_ordered(F.col("p"), F.col("id"))).distinct())
-        pairs = stored(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-        found = stored(_links(pairs, sets, percent), "links")
-        tried = pivots.select("key", F.col("p").alias("id"))
-        done = tried if done is None else done.union(tried)
-        tested = tested.union(pairs)
+        placed = sets.join(labels, F.col("doc_id") == F.col("id"), "left").select(
+            F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("c"), "shingles")
+        # Buckets whose members belong to several components.
+        rows = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        split = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+        live = stored(rows.join(split.select("key"), "key", "left_semi"), "live")
+        members = live.select("key", "id")
+        main = (live.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key")
+                .agg(F.max(F.struct("k", "c")).alias("top")).select("key", F.col("top.c").alias("main")))
+        odd = stored(live.join(main, "key").where("c <> main"), "odd")
+        # First every outsider of a bucket against the bucket's main component, whole.
+        sizes = placed.groupBy(F.col("c").alias("main")).agg(F.count("*").alias("size"))
+        tests = odd.select(F.col("id").alias("o"), "main").distinct().join(sizes, "main")
+        if tested is not None:
+            tests = tests.join(tested, ["o", "main", "size"], "left_anti")
+        tests = stored(tests.select("o", "main", "size"), "tests")
+        if tests.limit(1).count():
+            found = stored(_block_links(tests, placed, percent), "links")
+            tested = tests if tested is None else tested.union(tests)
+        else:
+            # Then, where that is done, outsiders of a bucket against each other.
+            open_ = odd if done is None else odd.join(done, ["key", "id"], "left_anti")
+            several = (open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi"))
+            left = open_.join(several.select("key", "n"), "key")
+            order = F.pmod(F.xxhash64(F.lit(salt), "key", "id"), F.lit(1 << 40))
+            least = left.groupBy("key").agg(F.min(order).alias("least"))
+            chosen = (F.pmod(order, F.ceil(F.col("n") / PIVOTS)) == 0) | (order == F.col("least"))
+            pivots = stored(left.join(least, "key").where(chosen).select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
+            if not pivots.limit(1).count():
+                return labels
+            pairs = pivots.join(open_.select("key", "id", "c"), "key").where("pc <> c").select(*_ordered(F.col("p"), F.col("id")))
+            found = stored(_links(pairs.distinct(), sets, percent), "links")
+            tried = pivots.select("key", F.col("p").alias("id"))
+            done = tried if done is None else done.union(tried)
         if found.limit(1).count():
             links = links.union(found)
             labels = components(links)
+
+
+def _block_links(tests: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) between outsiders ``o`` and the members of components
+    ``main``, one for each outsider and cell that has any. ``tests`` (o, main,
+    size) meets ``placed`` (id, c, shingles) in cells of bounded size; no pair is
+    ever a row."""
+    counts = tests.groupBy("main").agg(F.max("size").alias("size"), F.count("*").alias("n")).select(
+        "main", F.ceil(F.col("size") / CELL_MEMBERS).cast("int").alias("m_cells"),
+        F.ceil(F.col("n") / CELL_OUTSIDERS).cast("int").alias("o_cells"))
+    cell = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = placed.join(counts, F.col("c") == F.col("main")).select(
+        F.col("main").alias("to"), cell("id", "m_cells").alias("a"), every("o_cells").alias("b"), "id",
+        F.col("shingles").alias("members"))
+    right = (tests.join(placed.select(F.col("id").alias("o"), "shingles"), "o").join(counts, "main").select(
+        F.col("main").alias("of"), every("m_cells").alias("c"), cell("o", "o_cells").alias("d"), "o",
+        F.col("shingles").alias("outsider")))
+    return left.groupBy("to", "a", "b").cogroup(right.groupBy("of", "c", "d")).applyInArrow(
+        lambda m, o: _cell_links(m, o, percent), "x long, y long").distinct()
+
+
+def _cell_links(members: pa.Table, outsiders: pa.Table, percent: int) -> pa.Table:
+    x, y = [], []
+    if len(members) and len(outsiders):
+        ids = members.column("id").to_numpy()
+        column = members.column("members").combine_chunks()
+        flat = column.flatten().to_numpy().view(np.uint64)
+        starts = np.asarray(column.offsets)[:-1] - column.offsets[0].as_py()
+        sizes = np.diff(np.asarray(column.offsets))
+        for o, own in zip(outsiders.column("o").to_pylist(), outsiders.column("outsider")):
+            own = own.values.to_numpy().view(np.uint64)  # ascending, as all sets
+            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            common = np.add.reduceat(own[at] == flat, starts, dtype=np.int64)
+            near = np.flatnonzero((100 * common >= percent * (sizes + len(own) - common)) & (ids != o))
+            if len(near):
+                other = int(ids[near].min())
+                x.append(min(o, other))
+                y.append(max(o, other))
+    return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
