@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from .words import mix, text_buffers, window_hashes, word_hashes
 
-PARTS = 1
+#: Parts for each shuffle partition: more of them lower what one task holds and
+#: repeat the texts' keys more often in the first exchange.
+PARTS = 2
 _TAG = np.uint64(34)  # a rolling hash keeps its top 30 bits inside its part
 _LAST = (1 << 63) - 1  # the place of null ids: after all others
 
