@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .near_dedup import stored
-from .quality import bind, fingerprint
+from .quality import fingerprint
 
 #: Parts of one credential start at most so many characters apart.
 SCOPE = 300
