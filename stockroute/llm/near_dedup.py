@@ -31,9 +31,9 @@ from .words import mix, window_hashes, word_hashes
 #: Minhashes in a band, bands in each of the two collections. A pair at
 #: similarity 0.8 shares a table with probability (1 - (1 - 0.8**3)**11)**2 = 0.999.
 WIDTH, BANDS = 3, 11
-#: Pivots of other buckets that a document meets first, and pivots a bucket
-#: tries in one later round.
-FIRST, PIVOTS = 4, 32
+#: Pivots of other buckets that a document meets first, and outsiders of a bucket
+#: that meet as pairs (more of them meet in cells).
+FIRST, FEW = 4, 32
 #: Members and outsiders of a component in one cell of a block test.
 CELL_MEMBERS, CELL_OUTSIDERS = 512, 256
 _SEEDS = mix(np.arange(1, 4 * WIDTH * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -211,10 +211,8 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
     links = stored(_links(first.select(*_ordered(F.col("p"), F.col("id"))).distinct(), sets, percent), "links")
     labels = components(links)
     members = members.select("key", "id")
-    tested = done = None
-    salt = 0
+    tested = None
     while True:
-        salt += 1
         placed = sets.join(labels, F.col("doc_id") == F.col("id"), "left").select(
             F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("c"), "shingles")
         # Buckets whose members belong to several components.
@@ -232,63 +230,68 @@ def _linked(spark: SparkSession, plain: DataFrame, reps: DataFrame, width: int,
             tests = tests.join(tested, ["o", "main", "size"], "left_anti")
         tests = stored(tests.select("o", "main", "size"), "tests")
         if tests.limit(1).count():
-            found = stored(_block_links(tests, placed, percent), "links")
-            tested = tests if tested is None else tested.union(tests)
-        else:
-            # Then, where that is done, outsiders of a bucket against each other.
-            open_ = odd if done is None else odd.join(done, ["key", "id"], "left_anti")
-            several = (open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi"))
-            left = open_.join(several.select("key", "n"), "key")
-            order = F.pmod(F.xxhash64(F.lit(salt), "key", "id"), F.lit(1 << 40))
-            least = left.groupBy("key").agg(F.min(order).alias("least"))
-            chosen = (F.pmod(order, F.ceil(F.col("n") / PIVOTS)) == 0) | (order == F.col("least"))
-            pivots = stored(left.join(least, "key").where(chosen).select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
-            if not pivots.limit(1).count():
-                return labels
-            pairs = pivots.join(open_.select("key", "id", "c"), "key").where("pc <> c").select(*_ordered(F.col("p"), F.col("id")))
-            found = stored(_links(pairs.distinct(), sets, percent), "links")
-            tried = pivots.select("key", F.col("p").alias("id"))
-            done = tried if done is None else done.union(tried)
-        if found.limit(1).count():
-            links = links.union(found)
-            labels = components(links)
-
-
-def _block_links(tests: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """Links (x, y) between outsiders ``o`` and the members of components
-    ``main``, one for each outsider and cell that has any. ``tests`` (o, main,
-    size) meets ``placed`` (id, c, shingles) in cells of bounded size; no pair is
-    ever a row."""
-    counts = tests.groupBy("main").agg(F.max("size").alias("size"), F.count("*").alias("n")).select(
+            members_of = placed.join(tests.select(F.col("main").alias("c")).distinct(), "c", "left_semi").select(
+                "c", "id", F.col("c").alias("group"), "shingles")
+            asked = tests.join(placed.select(F.col("id").alias("o"), F.col("c").alias("group"), "shingles"), "o")
+            found = stored(_block_links(members_of, asked, percent), "links")
+            tested = tests.select("o", "main", "size") if tested is None else tested.union(tests.select("o", "main", "size"))
+            if found.limit(1).count():
+                links = links.union(found)
+                labels = components(links)
+            continue
+        # Then, where that is done, the outsiders of a bucket against each other:
+        # pairs where they are few, cells of bounded size where they are many.
+        several = odd.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+        left = stored(odd.join(several.select("key", "n"), "key"), "outsiders")
+        few = left.where(F.col("n") <= FEW)
+        pairs = (few.select("key", "id", "c").join(few.select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "key")
+                 .where("p < id and pc <> c").select(F.col("p").alias("x"), F.col("id").alias("y")).distinct())
+        many = left.where(F.col("n") > FEW).join(sets, F.col("doc_id") == F.col("id"))
+        many = many.select(F.col("key").alias("bucket"), "id", F.col("c").alias("group"), "shingles", "n")
+        blocks = _block_links(many.select(F.col("bucket").alias("c"), "id", "group", "shingles"),
+                              many.select(F.col("bucket").alias("main"), F.col("id").alias("o"), "group", "shingles", F.col("n").alias("size")),
+                              percent)
+        found = stored(_links(pairs, sets, percent).union(blocks), "links")
+        return components(links.union(found)) if found.limit(1).count() else labels
+
+
+def _block_links(members: DataFrame, outsiders: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) between members (c, id, group, shingles) and outsiders (main,
+    o, group, shingles, size) with main = c that belong to different groups: one
+    for each outsider, cell and group that it is linked to. Both sides are dealt
+    in cells of bounded size (``size`` counts the members); no pair is ever a
+    row."""
+    counts = outsiders.groupBy("main").agg(F.max("size").alias("size"), F.count("*").alias("n")).select(
         "main", F.ceil(F.col("size") / CELL_MEMBERS).cast("int").alias("m_cells"),
         F.ceil(F.col("n") / CELL_OUTSIDERS).cast("int").alias("o_cells"))
+    counts = stored(counts, "cells")
     cell = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = placed.join(counts, F.col("c") == F.col("main")).select(
-        F.col("main").alias("to"), cell("id", "m_cells").alias("a"), every("o_cells").alias("b"), "id",
-        F.col("shingles").alias("members"))
-    right = (tests.join(placed.select(F.col("id").alias("o"), "shingles"), "o").join(counts, "main").select(
-        F.col("main").alias("of"), every("m_cells").alias("c"), cell("o", "o_cells").alias("d"), "o",
-        F.col("shingles").alias("outsider")))
-    return left.groupBy("to", "a", "b").cogroup(right.groupBy("of", "c", "d")).applyInArrow(
+    left = members.join(counts.select(F.col("main").alias("c"), "m_cells", "o_cells"), "c").select(
+        F.col("c").alias("to"), cell("id", "m_cells").alias("a"), every("o_cells").alias("b"),
+        F.col("id").alias("member"), F.col("group").alias("in"), F.col("shingles").alias("members"))
+    right = outsiders.drop("size").join(counts.select(F.col("main"), "m_cells", "o_cells"), "main").select(
+        F.col("main").alias("of"), every("m_cells").alias("x"), cell("o", "o_cells").alias("y"),
+        F.col("o").alias("outsider"), F.col("group").alias("from"), F.col("shingles").alias("own"))
+    return left.groupBy("to", "a", "b").cogroup(right.groupBy("of", "x", "y")).applyInArrow(
         lambda m, o: _cell_links(m, o, percent), "x long, y long").distinct()
 
 
 def _cell_links(members: pa.Table, outsiders: pa.Table, percent: int) -> pa.Table:
     x, y = [], []
     if len(members) and len(outsiders):
-        ids = members.column("id").to_numpy()
+        ids, groups = members.column("member").to_numpy(), members.column("in").to_numpy()
         column = members.column("members").combine_chunks()
         flat = column.flatten().to_numpy().view(np.uint64)
         starts = np.asarray(column.offsets)[:-1] - column.offsets[0].as_py()
         sizes = np.diff(np.asarray(column.offsets))
-        for o, own in zip(outsiders.column("o").to_pylist(), outsiders.column("outsider")):
+        for o, group, own in zip(outsiders.column("outsider").to_pylist(), outsiders.column("from").to_pylist(), outsiders.column("own")):
             own = own.values.to_numpy().view(np.uint64)  # ascending, as all sets
             at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
             common = np.add.reduceat(own[at] == flat, starts, dtype=np.int64)
-            near = np.flatnonzero((100 * common >= percent * (sizes + len(own) - common)) & (ids != o))
-            if len(near):
-                other = int(ids[near].min())
+            near = np.flatnonzero((100 * common >= percent * (sizes + len(own) - common)) & (groups != group))
+            for k in np.unique(groups[near], return_index=True)[1]:
+                other = int(ids[near[k]])
                 x.append(min(o, other))
                 y.append(max(o, other))
     return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})

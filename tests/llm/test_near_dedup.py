@@ -91,7 +91,7 @@ def test_nulls_repeats_and_empty_table(frame):
 
 def test_template_texts_below_the_threshold(frame, monkeypatch):
     """Many texts of one template, dissimilar but for a few pairs: wide buckets."""
-    monkeypatch.setattr(nd, "PIVOTS", 3)
+    monkeypatch.setattr(nd, "FEW", 3)
     monkeypatch.setattr(nd, "CELL_MEMBERS", 10)
     monkeypatch.setattr(nd, "CELL_OUTSIDERS", 4)
     rng = random.Random(8)
