@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by balanced posting lists.
 
-Centroids come from balanced splits of a bounded sample and are searched through
-a neighbour graph in memory. A vector near a boundary is written to several
-lists (distance ratio, with close centroids skipped); a query visits the lists
-whose distance is within a ratio of its nearest one. Scores are exact cosines in
-double precision.
+Centroids come from balanced splits of a bounded sample's distinct vectors and
+are compared in memory, all of them. A vector near a boundary is written to
+several lists (distance ratio, with close centroids skipped); a query visits
+every list whose distance is within a ratio of its nearest one, however many
+they are, and enough others to meet rows in proportion to the number of lists.
+Scores are exact cosines in double precision.
 
 A list is dealt in chunks of rows and of queries, so a vector that a third of
 all rows repeat fills many cells, never one task; a cell returns its best few for
@@ -28,43 +29,27 @@ from .near_dedup import stored
 SAMPLE_ROWS, LIST_ROWS, MAX_LISTS = 16384, 256, 2048
 #: Copies of a boundary vector, and their distance ratio to the nearest centroid.
 COPIES, COPY_RATIO = 4, 1.15
-#: Lists that a query may visit, their distance ratio, and rows it should meet.
-PROBES, PROBE_RATIO, LEAST_ROWS = 48, 1.35, 64
+#: Distance ratio of the lists that a query visits, and rows it should meet at
+#: least for each list of the index (a list counts as twice the median at most).
+PROBE_RATIO, LEAST_ROWS = 1.35, 256
+#: Queries whose visits are made at once (each may visit every list).
+VISITORS = 64
 #: Rows and queries of a list in one cell.
 CELL_ROWS, CELL_QUERIES = 2048, 512
 
 
 @dataclass
 class Centroids:
-    """Unit centroids, the neighbour graph over them and its entry points."""
+    """Unit centroids."""
 
     vectors: np.ndarray
-    graph: np.ndarray
-    entries: np.ndarray
-
-    def nearest(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each unit row of ``x``, up to ``beam`` centroids found by best-first
-        search of the graph, nearest first (-1 where none), and their distances."""
-        n, lists = len(x), len(self.vectors)
-        beam = min(beam, lists)
-        rows = np.arange(n)
-        dist = np.full((n, lists), np.inf)
-        opened = np.zeros((n, lists), dtype=bool)
-        dist[:, self.entries] = _distance(x @ self.vectors[self.entries].T)
-        while True:
-            limit = np.partition(dist, beam - 1, axis=1)[:, beam - 1]
-            waiting = np.where(opened, np.inf, dist)
-            best = waiting.argmin(axis=1)
-            live = (waiting[rows, best] <= limit) & np.isfinite(waiting[rows, best])
-            if not live.any():
-                break
-            mine, node = rows[live], best[live]
-            opened[mine, node] = True
-            near = self.graph[node]
-            dist[mine[:, None], near] = _distance(np.einsum("nd,nkd->nk", x[mine], self.vectors[near]))
-        order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
-        found = np.take_along_axis(dist, order, axis=1)
-        return np.where(np.isfinite(found), order, -1), found
+
+    def nearest(self, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each unit row of ``x``, its ``most`` nearest centroids (all, if
+        they are fewer), nearest first, and their distances."""
+        dist = _distance(x @ self.vectors.T)
+        order = np.argsort(dist, axis=1, kind="stable")[:, :most]
+        return order, np.take_along_axis(dist, order, axis=1)
 
 
 def _distance(cosine: np.ndarray) -> np.ndarray:
@@ -75,10 +60,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
-def fit_centroids(sample: np.ndarray, lists: int, degree: int = 16) -> Centroids:
-    """Balanced splits: the largest cluster is halved at the median of its main
-    direction until there are ``lists``; the graph links nearest centroids."""
+def _distinct(sample: np.ndarray) -> np.ndarray:
+    """Unit vectors of the sample, each direction once, in the sample's order."""
     x = _unit(sample)
+    return x[np.sort(np.unique(np.round(x, 9), axis=0, return_index=True)[1])]
+
+
+def fit_centroids(sample: np.ndarray, lists: int) -> Centroids:
+    """Balanced splits of the distinct vectors: the largest cluster is halved at
+    the median of its main direction until there are ``lists``."""
+    x = _distinct(sample)
     clusters = [np.arange(len(x))]
     while len(clusters) < lists:
         clusters.sort(key=len)
@@ -94,13 +85,7 @@ def fit_centroids(sample: np.ndarray, lists: int, degree: int = 16) -> Centroids
             low, high = cut[:len(cut) // 2], cut[len(cut) // 2:]
             a, b = part[high].mean(axis=0), part[low].mean(axis=0)
         clusters += [mine[low], mine[high]]
-    vectors = _unit(np.array([x[c].mean(axis=0) for c in clusters]))
-    n = len(vectors)
-    k = min(degree, n)
-    near = np.argsort(-(vectors @ vectors.T), axis=1, kind="stable")[:, :k]
-    # A link to the next centroid in a ring keeps the graph connected.
-    graph = np.concatenate([near, (np.arange(n)[:, None] + 1) % n], axis=1)
-    return Centroids(vectors, graph, np.arange(0, n, max(1, int(np.sqrt(n)))))
+    return Centroids(_unit(np.array([x[c].mean(axis=0) for c in clusters])))
 
 
 def usable(vector: Column) -> Column:
@@ -120,7 +105,7 @@ def _copies(x: np.ndarray, lists: np.ndarray, dist: np.ndarray, centroids: Centr
     for i in range(len(x)):
         chosen: list[int] = []
         for c, d in zip(lists[i], dist[i]):
-            if c < 0 or d > COPY_RATIO * dist[i, 0] or len(chosen) == COPIES:
+            if d > COPY_RATIO * dist[i, 0] or len(chosen) == COPIES:
                 break
             if all(_distance(centroids.vectors[c] @ centroids.vectors[o]) >= d for o in chosen):
                 chosen.append(int(c))
@@ -171,8 +156,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, seed: int = 5, id_
         return spark.createDataFrame([], schema)
     rows = rows.where(F.size("v") == common.d)
     sample = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id")).limit(SAMPLE_ROWS).select("v").toArrow()
+    sample = _distinct(_matrix(sample.column("v")))
     lists = int(np.clip(-(-common.n // LIST_ROWS), 1, min(MAX_LISTS, max(1, len(sample) // 8))))
-    centroids = spark.sparkContext.broadcast(fit_centroids(_matrix(sample.column("v")), lists))
+    centroids = spark.sparkContext.broadcast(fit_centroids(sample, lists))
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -190,13 +176,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, seed: int = 5, id_
     for r in postings.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
 
+    counted = np.minimum(sizes, 2 * np.median(sizes))
+    least = LEAST_ROWS * len(sizes)
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), 1024):
-                batch = whole.slice(at, 1024)
-                found, dist = centroids.value.nearest(_unit(_matrix(batch.column("v"))), PROBES)
-                met = np.cumsum(sizes[found], axis=1) - sizes[found]  # rows in nearer lists
-                near = (found >= 0) & ((dist <= PROBE_RATIO * dist[:, :1]) | (met < LEAST_ROWS))
+            for at in range(0, len(whole), VISITORS):
+                batch = whole.slice(at, VISITORS)
+                found, dist = centroids.value.nearest(_unit(_matrix(batch.column("v"))), len(sizes))
+                met = np.cumsum(counted[found], axis=1) - counted[found]  # rows in nearer lists
+                near = (dist <= PROBE_RATIO * dist[:, :1]) | (met < least)
                 i, j = np.nonzero(near)
                 picked = batch.take(pa.array(i))
                 yield pa.RecordBatch.from_arrays([pa.array(found[i, j], pa.int32()), *picked.columns],

@@ -82,3 +82,32 @@ def test_hot_vector_is_dealt_in_cells(spark, saved, monkeypatch):
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
     for q, found in got.items():  # all even rows are equal: ties to the smallest ids
         assert [v for _, v in sorted(found)] == [i for i in range(0, 14, 2) if i != q][:5]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_recall_with_many_lists(spark, saved, monkeypatch, hot):
+    """Random vectors, the hard case: 2,048 lists, and over 1,000 beside a vector
+    that a third of all rows repeat."""
+    monkeypatch.setattr(ann, "LIST_ROWS", 8)
+    monkeypatch.setattr(ann, "LEAST_ROWS", 8)  # in proportion to LIST_ROWS
+    fitted = []
+    fit = ann.fit_centroids
+    monkeypatch.setattr(ann, "fit_centroids", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    n, rng = 16384, np.random.default_rng(4)
+    x = rng.normal(size=(n, 32))
+    if hot:
+        x[::3] = x[0]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {}
+    for r in queries.op5_nearest(spark, saved(embeddings=df)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    lists = fitted[0].vectors
+    assert len(lists) > 1000 if hot else len(lists) == 2048
+    assert len(np.unique(lists.round(9), axis=0)) == len(lists)
+    want = exact(np.arange(n), ann._unit(x))
+    # The hot vector's own queries have thousands of ties.
+    cold = [q for q in want if not hot or q % 3]
+    assert sum(len(got[q] & {v for v, _ in want[q]}) for q in cold) >= 0.9 * 5 * len(cold)
+    assert got.keys() == want.keys() and all(len(f) == 5 for f in got.values())
+    if hot:
+        assert all(got[q] == set([v for v in range(0, 18, 3) if v != q][:5]) for q in want if q % 3 == 0)
