@@ -2,9 +2,9 @@
 
 Lines are normalised and hashed; per host the distinct document texts that hold
 a line are counted (exact copies of a document count once: they are the
-deduplicator's business), lines above the limits are removed, and documents of
-which too little is left are rejected. A second set of rules looks at one
-document alone.
+deduplicator's business; on request near copies count once, too), lines above
+the limits are removed, and documents of which too little is left are rejected.
+A second set of rules looks at one document alone.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ LINE_SHARE = 0.10
 LEAST_DOCS = 20
 #: A document is rejected if less than this share of its words is left.
 LEFT_SHARE = 0.20
+#: Keys of a text's set of lines, and least line hashes joined in each: texts that
+#: share 0.8 of their lines share a key with probability 0.998, 0.5 with 0.54,
+#: 0.3 with 0.09.
+KEYS, KEY_LINES, SALTS = 12, 4, 16
 SYMBOLS = r"[^#*$%&|<>]+"
 
 
@@ -83,28 +87,70 @@ def fingerprint(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2")]
 
 
-def line_table(docs: DataFrame, host_col: str, text_col: str) -> DataFrame:
+def line_keys(lines: Column) -> Column:
+    """``KEYS`` hashes of a non-empty array of line hashes, each of ``KEY_LINES``
+    least hashes: texts with much the same lines share some of them."""
+    least = lambda x, j: F.array_min(F.transform(x, lambda line: F.xxhash64(line, F.lit(j))))
+    return bind(lines, lambda x: F.array(*[
+        F.xxhash64(F.lit(k), *[least(x, k * KEY_LINES + j) for j in range(KEY_LINES)]) for k in range(KEYS)]))
+
+
+def line_table(docs: DataFrame, host_col: str, text_col: str, keys: bool = False) -> DataFrame:
     """(host, d1, d2, place, line, words): the lines with a word of each row, as
-    hashes of their normalised form."""
+    hashes of their normalised form; with ``keys`` also keys (:func:`line_keys`)
+    at place 0, of the lines as written but for case (texts that differ in digits
+    alone are no near copies)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    written = lambda x: [F.xxhash64(F.lower(F.trim(x))).alias("written")] * keys
     lines = F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
-                        lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words_of(x)).alias("words")))
-    rows = docs.select(F.col(host_col).alias("host"), *fingerprint(text), F.posexplode(lines).alias("place", "x"))
-    return rows.select("host", "d1", "d2", "place", "x.line", "x.words")
-
-
-def common_lines(lines: DataFrame, line_share: float, least_docs: int) -> DataFrame:
+                        lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words_of(x)).alias("words"), *written(x)))
+    rows = docs.select(F.col(host_col).alias("host"), *fingerprint(text), lines.alias("lines"))
+    extra = []
+    if keys:
+        rows = rows.withColumn("keys", line_keys(F.col("lines.written")))
+        extra = [F.when(F.col("place") == 0, F.col("keys")).alias("keys")]
+    rows = rows.select("host", "d1", "d2", *["keys"] * keys, F.posexplode("lines").alias("place", "x"))
+    return rows.select("host", "d1", "d2", "place", "x.line", "x.words", *extra)
+
+
+def representatives(lines: DataFrame, least_docs: int, *host: str) -> DataFrame:
+    """(*host, d1, d2): the distinct texts (of each host, if given) but those that
+    share a key with ``least_docs`` texts or more and haven't its smallest
+    fingerprint: one or few of a group of near copies stay. Smaller groups stay
+    whole: they are too few to make a line common. A key's texts meet that
+    smallest one in SALTS parts."""
+    texts = lines.where("place = 0").groupBy(*host, "d1", "d2").agg(F.first("keys").alias("keys"))
+    keyed = texts.select(*host, F.struct("d1", "d2").alias("t"), F.explode("keys").alias("key"))
+    large = keyed.groupBy(*host, "key").agg(F.min("t").alias("least"), F.count("*").alias("n")).where(F.col("n") >= least_docs)
+    large = large.select(*[F.col(h).alias("__h") for h in host], F.col("key").alias("k"), "least",
+                         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    same = (F.col("key") == F.col("k")) & (F.pmod("t.d1", F.lit(SALTS)) == F.col("s"))
+    again = [F.col(h).alias("__h") for h in host] + [F.col("t.d1").alias("e1"), F.col("t.d2").alias("e2")]
+    own = (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))
+    for h in host:
+        same, own = same & F.col(h).eqNullSafe(F.col("__h")), own & F.col(h).eqNullSafe(F.col("__h"))
+    aside = keyed.join(large, same).where("t <> least").select(*host, "t").distinct().select(*again)
+    return texts.select(*host, "d1", "d2").join(aside, own, "left_anti")
+
+
+def common_lines(lines: DataFrame, line_share: float, least_docs: int, near_copies: bool = False) -> DataFrame:
     """(h, l): hosts and line hashes above both limits, stored."""
-    texts = (lines.where("place = 0").select("host", "d1", "d2").distinct()
-             .groupBy(F.col("host").alias("h")).agg(F.count("*").alias("docs")))
-    counts = (lines.select("host", "line", "d1", "d2").distinct()
-              .groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs))
+    texts = lines.where("place = 0").select("host", "d1", "d2").distinct()
+    held = lines.select("host", "line", "d1", "d2").distinct()
+    if near_copies:
+        texts = stored(representatives(lines, least_docs, "host"), "representatives")
+        one = texts.select(F.col("host").alias("h"), F.col("d1").alias("e1"), F.col("d2").alias("e2"))
+        held = held.join(one, F.col("host").eqNullSafe(F.col("h")) & (F.col("d1") == F.col("e1"))
+                         & (F.col("d2") == F.col("e2")), "left_semi")
+    texts = texts.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("docs"))
+    counts = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs)
     return stored(counts.join(texts, F.col("host").eqNullSafe(F.col("h")))
                   .where(F.col("n") > line_share * F.col("docs")).select("h", F.col("line").alias("l")), "common-lines")
 
 
 def quality_rules(docs: DataFrame, line_share: float = LINE_SHARE, least_docs: int = LEAST_DOCS,
-                  left_share: float = LEFT_SHARE, text_col: str = "text", host_col: str = "source") -> DataFrame:
+                  left_share: float = LEFT_SHARE, text_col: str = "text", host_col: str = "source",
+                  near_copies: bool = False) -> DataFrame:
     """``docs`` with the counts of :func:`document_rules`, base_failed (fewer than
     10 words, or more than 20 % of them in repeated 5-word windows), common_words
     (words in common lines), common_lines (those lines' hashes, for
@@ -113,7 +159,10 @@ def quality_rules(docs: DataFrame, line_share: float = LINE_SHARE, least_docs: i
 
     A line is common if more than ``line_share`` of its host's distinct texts
     and at least ``least_docs`` of them hold it; a document is depleted if its
-    other lines have less than ``left_share`` of its words.
+    other lines have less than ``left_share`` of its words. With ``near_copies``
+    only one or few of ``least_docs`` or more texts of a host with much the same
+    lines are counted, as holders and as texts (:func:`representatives`), so that a group of near
+    copies does not make its own lines common; the query's SQL counts all.
 
     Null and empty texts have zero counts and fail. A null host is a host of its
     own. Repeated rows count as one document and get the same result. Tables may
@@ -125,8 +174,8 @@ def quality_rules(docs: DataFrame, line_share: float = LINE_SHARE, least_docs: i
     average text; they are stored, so the join back picks its strategy from
     their real size.
     """
-    lines = stored(line_table(docs, host_col, text_col), "lines")
-    common = common_lines(lines, line_share, least_docs)
+    lines = stored(line_table(docs, host_col, text_col, near_copies), "lines")
+    common = common_lines(lines, line_share, least_docs, near_copies)
     lost = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
             .select("host", "d1", "d2", "place", "line", "words").distinct()  # copies of a text collapse
             .groupBy("host", "d1", "d2").agg(F.sum("words").alias("common_words"), F.collect_set("line").alias("common_lines"))

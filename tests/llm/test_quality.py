@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter
 
-from stockroute.llm import quality, queries
+from stockroute.llm import quality, queries, stages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -91,3 +91,35 @@ def test_plan_has_no_python_and_empty_table(spark, frame):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert quality.quality_rules(frame([(1, "x")]).limit(0)).count() == 0
+
+
+def near_copy_corpus():
+    """200 near copies (a word changed or added in one of ten lines) and 300 other
+    texts of one source, half of them with a footer of three lines."""
+    rng = random.Random(11)
+    line = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    body, rows = [line(8) for _ in range(10)], []
+    for i in range(200):
+        copy, k = list(body), rng.randrange(10)
+        copy[k] = copy[k] + f" added{'x' * i}" if i % 2 else copy[k].replace(copy[k].split()[3], f"changed{'x' * i}")
+        rows.append((i, "\n".join(copy), "s"))
+    footer = ["Subscribe to our newsletter now", "All rights are reserved by us", "Read more of this on our page"]
+    for i in range(300):
+        rows.append((1000 + i, "\n".join([line(8) for _ in range(12)] + footer * (i % 2)), "s"))
+    return rows, footer
+
+
+def test_near_copies_do_not_make_their_lines_common(spark, frame):
+    rows, footer = near_copy_corpus()
+    got = {r.doc_id: r.text for r in stages.quality(spark, frame(rows).withColumn("n_chars", quality.F.length("text")), "").collect()}
+    assert sorted(got) == [i for i, _, _ in rows]
+    for i, text, _ in rows:  # near copies stay whole; a footer goes, its inner lines too
+        assert got[i].split("\n") == [x for x in text.split("\n") if x not in footer]
+
+
+def test_representatives(spark, frame):
+    rows, _ = near_copy_corpus()
+    lines = quality.line_table(frame(rows + rows[:50]), "source", "text", keys=True)
+    ids = frame(rows).select("doc_id", *quality.fingerprint(quality.F.col("text")))
+    found = [r.doc_id for r in quality.representatives(lines, quality.LEAST_DOCS, "host").join(ids, ["d1", "d2"]).collect()]
+    assert 1 <= sum(i < 1000 for i in found) <= 5 and sum(i >= 1000 for i in found) >= 280
