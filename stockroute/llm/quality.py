@@ -19,6 +19,10 @@ from .words import GAP, WORD
 #: least LEAST_DOCS of them, hold it.
 LINE_SHARE = 0.10
 LEAST_DOCS = 20
+#: On request, a line of SEVERAL or more words is also removed if more than
+#: MOST_DOCS documents of its host hold it, or more than this share of all
+#: documents and at least CORPUS_DOCS of them.
+SEVERAL, MOST_DOCS, CORPUS_SHARE, CORPUS_DOCS = 4, 1000, 0.01, 100
 #: A document is rejected if less than this share of its words is left.
 LEFT_SHARE = 0.20
 #: Keys of a text's set of lines, and least line hashes joined in each: texts that
@@ -133,24 +137,46 @@ def representatives(lines: DataFrame, least_docs: int, *host: str) -> DataFrame:
     return texts.select(*host, "d1", "d2").join(aside, own, "left_anti")
 
 
-def common_lines(lines: DataFrame, line_share: float, least_docs: int, near_copies: bool = False) -> DataFrame:
-    """(h, l): hosts and line hashes above both limits, stored."""
-    texts = lines.where("place = 0").select("host", "d1", "d2").distinct()
-    held = lines.select("host", "line", "d1", "d2").distinct()
-    if near_copies:
-        texts = stored(representatives(lines, least_docs, "host"), "representatives")
-        one = texts.select(F.col("host").alias("h"), F.col("d1").alias("e1"), F.col("d2").alias("e2"))
-        held = held.join(one, F.col("host").eqNullSafe(F.col("h")) & (F.col("d1") == F.col("e1"))
-                         & (F.col("d2") == F.col("e2")), "left_semi")
+def _holders(lines: DataFrame, near_copies: bool, least_docs: int, *host: str) -> tuple[DataFrame, DataFrame]:
+    """(*host, d1, d2), the texts that count, and (*host, line, words, d1, d2), the
+    lines that they hold, each once."""
+    held = lines.select(*host, "line", "words", "d1", "d2").distinct()
+    if not near_copies:
+        return lines.where("place = 0").select(*host, "d1", "d2").distinct(), held
+    texts = stored(representatives(lines, least_docs, *host), "representatives")
+    one = texts.select(*[F.col(h).alias("__h") for h in host], F.col("d1").alias("__e1"), F.col("d2").alias("__e2"))
+    same = (F.col("d1") == F.col("__e1")) & (F.col("d2") == F.col("__e2"))
+    for h in host:
+        same = same & F.col(h).eqNullSafe(F.col("__h"))
+    return texts, held.join(one, same, "left_semi")
+
+
+def common_lines(lines: DataFrame, line_share: float, least_docs: int, near_copies: bool = False,
+                 most_docs: int | None = None, corpus_share: float | None = None) -> DataFrame:
+    """(h, l): hosts and line hashes above the limits, stored."""
+    texts, held = _holders(lines, near_copies, least_docs, "host")
     texts = texts.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("docs"))
-    counts = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs)
-    return stored(counts.join(texts, F.col("host").eqNullSafe(F.col("h")))
-                  .where(F.col("n") > line_share * F.col("docs")).select("h", F.col("line").alias("l")), "common-lines")
+    counts = (held.groupBy("host", "line").agg(F.count("*").alias("n"), F.max("words").alias("words"))
+              .where(F.col("n") >= least_docs))
+    over = F.col("n") > line_share * F.col("docs")
+    if most_docs is not None:
+        over = over | ((F.col("words") >= SEVERAL) & (F.col("n") > most_docs))
+    common = counts.join(texts, F.col("host").eqNullSafe(F.col("h"))).where(over).select("h", F.col("line").alias("l"))
+    if corpus_share is not None:
+        texts, held = _holders(lines.where("place = 0 or words >= %d" % SEVERAL), near_copies, least_docs)
+        wide = (held.where(F.col("words") >= SEVERAL).groupBy("line").agg(F.count("*").alias("n"))
+                .where(F.col("n") >= CORPUS_DOCS))
+        wide = (wide.crossJoin(F.broadcast(texts.agg(F.count("*").alias("docs"))))  # one row
+                .where(F.col("n") > corpus_share * F.col("docs")).select(F.col("line").alias("l")))
+        everywhere = lines.select(F.col("host").alias("h"), F.col("line").alias("l")).distinct().join(wide, "l", "left_semi")
+        common = common.union(everywhere.select("h", "l")).distinct()
+    return stored(common, "common-lines")
 
 
 def quality_rules(docs: DataFrame, line_share: float = LINE_SHARE, least_docs: int = LEAST_DOCS,
                   left_share: float = LEFT_SHARE, text_col: str = "text", host_col: str = "source",
-                  near_copies: bool = False) -> DataFrame:
+                  near_copies: bool = False, most_docs: int | None = None,
+                  corpus_share: float | None = None) -> DataFrame:
     """``docs`` with the counts of :func:`document_rules`, base_failed (fewer than
     10 words, or more than 20 % of them in repeated 5-word windows), common_words
     (words in common lines), common_lines (those lines' hashes, for
@@ -162,7 +188,10 @@ def quality_rules(docs: DataFrame, line_share: float = LINE_SHARE, least_docs: i
     other lines have less than ``left_share`` of its words. With ``near_copies``
     only one or few of ``least_docs`` or more texts of a host with much the same
     lines are counted, as holders and as texts (:func:`representatives`), so that a group of near
-    copies does not make its own lines common; the query's SQL counts all.
+    copies does not make its own lines common; the query's SQL counts all. With
+    ``most_docs`` and ``corpus_share`` a line of ``SEVERAL`` words is common too
+    if more texts of its host hold it, or more than that share of all texts (and
+    at least ``CORPUS_DOCS``).
 
     Null and empty texts have zero counts and fail. A null host is a host of its
     own. Repeated rows count as one document and get the same result. Tables may
@@ -171,11 +200,11 @@ def quality_rules(docs: DataFrame, line_share: float = LINE_SHARE, least_docs: i
     Hot hosts, lines and copies: rows are counted after a partial aggregation in
     their own map task, first to distinct (host, line, text), then to (host,
     line). A host has at most 1 / line_share common lines for each line of an
-    average text; they are stored, so the join back picks its strategy from
-    their real size.
+    average text, the corpus 1 / corpus_share; they are stored, so the join back
+    picks its strategy from their real size.
     """
     lines = stored(line_table(docs, host_col, text_col, near_copies), "lines")
-    common = common_lines(lines, line_share, least_docs, near_copies)
+    common = common_lines(lines, line_share, least_docs, near_copies, most_docs, corpus_share)
     lost = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
             .select("host", "d1", "d2", "place", "line", "words").distinct()  # copies of a text collapse
             .groupBy("host", "d1", "d2").agg(F.sum("words").alias("common_words"), F.collect_set("line").alias("common_lines"))

@@ -18,10 +18,10 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others lose their host's common lines, and
-    n_chars follows the text. Near copies are the next stage's business, so they
+    """Rejected documents go; the others lose the common lines of their host and
+    of the corpus, and n_chars follows the text. Near copies are the next stage's business, so they
     do not make their lines common here."""
-    found = rules.quality_rules(docs, near_copies=True).where("kept")
+    found = rules.quality_rules(docs, near_copies=True, most_docs=rules.MOST_DOCS, corpus_share=rules.CORPUS_SHARE).where("kept")
     text = rules.strip_lines(F.col("text"), F.col("common_lines"))
     return found.withColumn("text", text).select(*_with_length(docs))
 

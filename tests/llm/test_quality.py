@@ -123,3 +123,30 @@ def test_representatives(spark, frame):
     ids = frame(rows).select("doc_id", *quality.fingerprint(quality.F.col("text")))
     found = [r.doc_id for r in quality.representatives(lines, quality.LEAST_DOCS, "host").join(ids, ["d1", "d2"]).collect()]
     assert 1 <= sum(i < 1000 for i in found) <= 5 and sum(i >= 1000 for i in found) >= 280
+
+
+def test_lines_over_absolute_and_corpus_limits(spark, frame, monkeypatch):
+    rng = random.Random(13)
+    line = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    spread, hot, short = "Share this page with all your friends", "Log in to leave a comment here", "Read more"
+    rows = []
+    for i in range(1000):
+        host = "big" if i < 600 else f"s{i % 20}"
+        extra = [short] * (i % 2 == 0)
+        extra += [hot] * (host == "big" and i % 15 == 0)  # 40 of 600 of one host, 4 % of all
+        extra += [spread] * (host != "big" and i % 2 == 0)  # at most 20 of a host
+        rows.append((i, "\n".join([line(8) for _ in range(6)] + extra + [line(8)]), host))
+
+    def left(**limits):
+        found = quality.quality_rules(frame(rows), line_share=1.0, near_copies=True, **limits)
+        text = quality.strip_lines(found.text, found.common_lines)
+        return [x for r in found.select(text.alias("text")).collect() for x in r.text.split("\n")]
+
+    count = Counter(left())
+    assert (count[hot], count[spread], count[short]) == (40, 200, 500)
+    count = Counter(left(most_docs=30))
+    assert (count[hot], count[spread], count[short]) == (0, 200, 500)
+    count = Counter(left(corpus_share=0.05))
+    assert (count[hot], count[spread], count[short]) == (40, 0, 500)
+    count = Counter(left(most_docs=quality.MOST_DOCS, corpus_share=quality.CORPUS_SHARE))
+    assert (count[hot], count[spread], count[short]) == (40, 0, 500)
