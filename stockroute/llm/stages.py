@@ -29,11 +29,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (5-word shingles at
     similarity 0.8): the one with the smallest doc_id, and one row if rows repeat
-    it. Documents without an id stay."""
-    found = dedup.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
-    alone = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return alone.unionByName(kept.where("doc_id is null")).select(*docs.columns)
+    it. Rows that share a doc_id but not the text are documents of their own.
+    Documents without an id stay."""
+    # A document is a doc_id with a text, under a hash of both.
+    own = F.xxhash64("doc_id", *rules.fingerprint(F.coalesce("text", F.lit(""))))
+    rows = docs.withColumn("__own", F.when(F.col("doc_id").isNotNull(), own))
+    found = dedup.near_duplicates(rows, width=5, percent=80, id_col="__own").where("doc_id is not null")
+    found = found.select(F.col("doc_id").alias("__own"), "component_id").distinct()
+    first = (rows.select("__own", "doc_id").distinct().join(found, "__own")
+             .groupBy("component_id").agg(F.min(F.struct("doc_id", "__own")).alias("first")))
+    alone = (rows.join(first.select(F.col("first.__own").alias("__own")), "__own", "left_semi")
+             .groupBy("__own").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    return alone.unionByName(docs.where("doc_id is null"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

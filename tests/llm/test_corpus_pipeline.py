@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from stockroute.llm import bpe, pii, queries
+from stockroute.llm import bpe, pii, queries, stages as steps
 from test_near_dedup import brute as components
 from test_quality import brute as quality_rows
 
@@ -89,3 +89,11 @@ def test_tokens_and_whole_run(spark, stages):
 def test_empty_documents(spark, frame, saved):
     path = saved(documents=frame([(1, "x")]).limit(0))
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_rows_that_share_an_id_but_not_the_text(spark, frame):
+    rng = random.Random(21)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (5, a + " tail"), (5, b), (6, c), (6, d), (6, d), (7, d + " tail"), (8, b), (4, a), (9, e), (None, e), (None, e), (10, ""), (11, None)]
+    got = sorted(((r.doc_id, r.text) for r in steps.near_duplicates(spark, frame(rows), "").collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (6, c), (6, d), (9, e), (None, e), (None, e), (10, ""), (11, None)], key=str)
