@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from .licenses import TEMPLATES
+
 # Host and path by the contract's words; the longest of the four fixed rules.
 URL_FILTER = r"""
 WITH parts AS (
@@ -210,10 +214,119 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM docs d LEFT JOIN lists USING (doc_id)
 """
 
+
+def template_pattern(template: str) -> str:
+    """A template as a regular expression over words with a blank before each."""
+    out = []
+    for part in re.split(r"(\[\[|\]\]|<<\d+\.\.\d+>>)", template):
+        if part == "[[":
+            out.append("(?:")
+        elif part == "]]":
+            out.append(")?")
+        elif part.startswith("<<"):
+            out.append("(?: [^ ]+){%s,%s}" % tuple(re.findall(r"\d+", part)))
+        else:
+            out += [" " + w for w in re.findall("[a-z0-9]+", part.lower())]
+    return "".join(out) + " "
+
+
+# Phrases at word places; templates as regular expressions over the joined words.
+LICENSES = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, words, ' ' || array_to_string(words, ' ') || ' ' AS joined FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents)
+), phrases(phrase, label) AS (
+  VALUES (['mit', 'license'], 'mit'), (['apache', 'license'], 'apache'), (['general', 'public', 'license'], 'gpl')
+), places AS (
+  SELECT doc_id, label, unnest(list_filter(generate_series(0, len(words) - len(phrase)),
+         lambda i: words[i + 1 : i + len(phrase)] = phrase)) AS place
+  FROM docs, phrases WHERE strpos(joined, ' ' || array_to_string(phrase, ' ') || ' ') > 0
+), base AS (
+  SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM places GROUP BY doc_id
+), templates(label, pattern) AS (
+  VALUES """ + ", ".join(f"('{label}', '{template_pattern(t)}')" for label, t in TEMPLATES) + r"""
+), fits AS (
+  SELECT DISTINCT doc_id, label FROM docs, templates
+  WHERE strpos(joined, regexp_extract(pattern, '^ [a-z0-9]+ ?')) > 0 AND regexp_matches(joined, pattern)
+), every AS (
+  SELECT doc_id, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, bool_or(fit) AS fit FROM (
+    SELECT doc_id, label, TRUE AS fit FROM fits UNION ALL SELECT doc_id, label, FALSE FROM places) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
+       CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word, coalesce(b.labels, '') AS base_labels,
+       coalesce(e.labels, '') AS labels,
+       CAST(CASE WHEN e.fit THEN 1.0 WHEN b.n > 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score
+FROM docs d LEFT JOIN base b USING (doc_id) LEFT JOIN every e USING (doc_id)
+"""
+
+# Units as a list; prefix, middle and suffix as joined parts of it.
+FILL_MIDDLE = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS y,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM docs
+), parts AS (
+  SELECT *, array_to_string(units[1 : least(x, y)], '') AS p, array_to_string(units[least(x, y) + 1 : greatest(x, y)], '') AS m,
+         array_to_string(units[greatest(x, y) + 1 : len(units)], '') AS s
+  FROM drawn
+)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+# Every document with every item that it shares a term with.
+RANKED_SEARCH = r"""
+WITH docs AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents WHERE text IS NOT NULL)
+  WHERE len(terms) > 0
+), items AS MATERIALIZED (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, term
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS terms FROM docs
+), tfs AS MATERIALIZED (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs)
+  SEMI JOIN items USING (term) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * t.docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals t GROUP BY term, t.docs
+), lengths AS (
+  SELECT r, doc_id, 25 + (75 * len(d.terms) * t.docs) // t.terms AS m FROM docs d, totals t
+), scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM items JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
     "op4_minhash_dedup": NEAR_DEDUP,
     "op7_quality_rules": QUALITY,
     "op9_secret_scan": SECRET_SCAN,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op11_license_scan": LICENSES,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_ranked_search": RANKED_SEARCH,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, mixing, near_dedup, pii, quality, secret_scan, substring_dedup, url_filter
+from . import (ann, bpe, fill_middle, html_extract, lexical, licenses, mixing, near_dedup, pii, quality, secret_scan,
+               substring_dedup, url_filter)
 
 #: The rules that the URL query is to judge by.
 URL_RULES = [
@@ -93,6 +94,31 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and accepted templates of every document. The score says how
+    strong the evidence is: 1 for a template's whole wording, 0.5 for a phrase alone."""
+    found = table(spark, sf_dir, "documents").select("doc_id", licenses.scan_licenses(F.col("text")).alias("x")).select("doc_id", "x.*")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    score = F.when(F.size("found") > 0, 1.0).when(F.size("base") > 0, 0.5).otherwise(0.0)
+    return found.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+                        F.array_min("base.place").alias("first_word"), F.array_max("base.place").alias("last_word"),
+                        joined(F.col("base.label")).alias("base_labels"),
+                        joined(F.concat("base.label", "found.label")).alias("labels"), score.alias("score"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                       digest(fill_middle.restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
@@ -104,4 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_secret_scan": op9_secret_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_license_scan": op11_license_scan,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_ranked_search": op13_ranked_search,
 }
