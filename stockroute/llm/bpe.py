@@ -2,7 +2,8 @@
 
 Long texts are cut where the split pattern must begin a new match anyway
 (before a blank that follows a non-blank), so pieces encode to the same ids as
-the whole text. Ids travel as little-endian unsigned 32-bit integers; decoding
+the whole text. A long blank run, which the library's regular expression cannot
+take, is merged as the one match that it is. Ids travel as little-endian unsigned 32-bit integers; decoding
 works on raw bytes and never on characters.
 """
 
@@ -27,6 +28,10 @@ PIECE_CHARS = 1 << 15
 # No match of a pattern that separates blanks from other characters can span
 # from a non-blank to a following space or line feed.
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
+# Blank runs this long (the characters of Unicode's White_Space) do not go through the pattern.
+LONG_RUN = 4096
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+_BLANKS = r"\s+(?!\S)|\s+"
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
 
 
@@ -61,14 +66,34 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+def blank_runs(text: str) -> Iterator[tuple[str, bool]]:
+    """The text in parts, and whether a part is one match of ``\\s+(?!\\S)``: a long
+    blank run, but for its last blank if more follows (that one belongs to what
+    follows). No match spans from a non-blank to a blank, so both cuts are safe."""
+    start = 0
+    for run in _RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        yield text[start:run.start()], False
+        yield text[run.start():end], True
+        start = end
+    yield text[start:], False
+
+
 def encode_text(enc: tiktoken.Encoding, text: str) -> np.ndarray:
-    parts = [np.asarray(enc.encode_ordinary(piece), dtype="<u4") for piece in pieces(text)]
-    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+    parts = [np.zeros(0, dtype="<u4")]
+    # Patterns without the two blank alternatives at their end are the library's alone.
+    for part, run in blank_runs(text) if enc._pat_str.endswith(_BLANKS) else [(text, False)]:
+        if run:
+            parts.append(np.asarray(enc._encode_single_piece(part), dtype="<u4"))
+        else:
+            parts += [np.asarray(enc.encode_ordinary(piece), dtype="<u4") for piece in pieces(part)]
+    return np.concatenate(parts)
 
 
 def encode(text: Column, ranks: Broadcast, pattern: str) -> Column:
     """Token ids of a text column as binary (4 little-endian bytes an id).
-    Null and empty texts give empty binary; rows are independent."""
+    Null and empty texts give empty binary; rows are independent. Texts are
+    encoded whole, also very long ones and such of one long run."""
 
     @F.arrow_udf("binary")
     def run(texts: pa.Array) -> pa.Array:

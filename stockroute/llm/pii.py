@@ -59,18 +59,24 @@ def _addresses(text: str, local: Callable[[str], bool], domain: re.Pattern) -> I
         at = text.find("@", max(at + 1, done))
 
 
+def _small(part: str) -> bool:
+    """Whether a number without leading zeros is at most 255."""
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """The strict kinds, each leftmost and non-overlapping, failing matches dropped."""
     out = [(s, 0, e, "email") for s, e in _addresses(text, _LOCAL.__contains__, _DOMAIN)]
     if not _DIGIT.search(text):
         return out
     for chain in _DOTTED.finditer(text):
-        parts, at = chain[0].split("."), chain.start()
+        parts, start = chain[0].split("."), chain.start()
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
-            start = at + sum(map(len, parts[:i])) + i if i else at
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
-                out.append((start, 1, start + sum(map(len, four)) + 3, "ip"))
+            end = start + sum(map(len, four)) + 3
+            if all(_small(p.lstrip("0")) for p in four):
+                out.append((start, 1, end, "ip"))
+            start = end + 1
     for m in _CHAIN.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and luhn(digits):
@@ -82,21 +88,60 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-_WRITTEN = re.compile(r"[\w.+-]{1,64}\s?[\[(]\s?at\s?[\])]\s?[\w-]{1,63}(?:\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[\w-]{1,63}){1,4}", re.I)
+# Written-out addresses, led by their "(at)"; its two sides are read from there.
+_AT = re.compile(r"\s?[\[(]\s?at\s?[\])]\s?", re.I)
+_WRITTEN_DOMAIN = re.compile(r"[\w-]+(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[\w-]+)+", re.I)
+_COLONS = re.compile("[0-9A-Fa-f:]{3,}")
+#: The longest written IPv6 address (of 8 groups of 4), and lengths of bank account numbers.
+IPV6_CHARS, IBAN_CHARS = 39, range(15, 35)
 _GENERATORS = {
-    "phone2": re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[-./\x20]|00[0-9]{1,3}[-./\x20]?)[0-9]{3,4}[-./\x20]?[0-9]{3,5}(?![0-9])"),
+    "phone2": re.compile(r"(?<![0-9])(?:\([0-9]{2,5}\)[-\x20]?|00[0-9]{1,3}[-./\x20]?)?[0-9]{2,6}(?:[-./\x20][0-9]{2,6})+(?![0-9])"
+                         r"|(?<![0-9])(?:\([0-9]{2,5}\)\x20?|[0-9]{2,4}[-./\x20]|00[0-9]{1,3}[-./\x20]?)[0-9]{3,4}[-./\x20]?[0-9]{3,5}(?![0-9])"),
     "ssn": re.compile(r"(?<![0-9])[0-9]{3}[-\x20][0-9]{2}[-\x20][0-9]{4}(?![0-9])"),
-    "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    "ipv6": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
+    "iban": re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]{4}){2,7}(?:\x20?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9])"),
     "card2": re.compile(r"(?<![0-9])[0-9]{4}(?:[-.\x20/]{1,3}[0-9]{4}){2}[-.\x20/]{1,3}[0-9]{2,7}(?![0-9])"),
 }
 
 
+def _written(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses such as ``name (at) host (dot) org``, of any length."""
+    done = 0
+    for at in _AT.finditer(text):
+        start = at.start()
+        while start > done and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+            start -= 1
+        end = _WRITTEN_DOMAIN.match(text, at.end()) if start < at.start() else None
+        if end:
+            done = end.end()
+            yield start, done
+
+
+def _colon_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of hexadecimal digits and two or more colons that can be IPv6 addresses;
+    a single colon at either end belongs to the sentence."""
+    for m in _COLONS.finditer(text):
+        start, end = m.span()
+        start += text[start] == ":" and text[start + 1] != ":"
+        end -= text[end - 1] == ":" and text[end - 2] != ":"
+        alone = not text[max(0, start - 1):start].isalnum() and not text[end:end + 1].isalnum()
+        if alone and end - start <= IPV6_CHARS and text.count(":", start, end) >= 2:
+            yield start, end
+
+
+def is_ipv6(body: str) -> bool:
+    """Eight groups of at most four digits, or fewer with one ``::`` for the rest."""
+    sides = body.split("::")
+    given = [g for side in sides for g in side.split(":") if side]
+    fits = len(given) <= 7 if len(sides) == 2 else len(sides) == 1 and len(given) == 8
+    return fits and all(1 <= len(g) <= 4 for g in given)
+
+
 def candidates(text: str) -> list[Span]:
     """Overlapping proposals of the further kinds."""
     out = [(s, PLACE["email2"], e, "email2") for s, e in _addresses(text, lambda c: c.isalnum() or c in "._%+-", _WIDE_DOMAIN)]
-    if re.search(r"[\[(]\s?at\s?[\])]", text, re.I):
-        out += [(m.start(), PLACE["email2"], m.end(), "email2") for m in _WRITTEN.finditer(text)]
+    out += [(s, PLACE["email2"], e, "email2") for s, e in _written(text)]
+    if "::" in text or _DIGIT.search(text):
+        out += [(s, PLACE["ipv6"], e, "ipv6") for s, e in _colon_runs(text)]
     if _DIGIT.search(text):
         for kind, pattern in _GENERATORS.items():
             out += [(m.start(), PLACE[kind], m.end(), kind) for m in pattern.finditer(text)]
@@ -120,7 +165,8 @@ def features(text: str, span: Span) -> list[float]:
     letters = [c for c in body if c.isalpha()]
     packed = "".join(c for c in body if c.isalnum()).upper()
     money = packed[4:] + packed[:4]
-    valid = packed.isascii() and int("".join(str(int(c, 36)) for c in money) or "0") % 97 == 1
+    valid = len(packed) in IBAN_CHARS and packed.isascii() and int("".join(str(int(c, 36)) for c in money)) % 97 == 1
+    groups = re.findall("[0-9]+", body[:80])
     seps = [c for c in body if not c.isalnum()]
     return [
         place, len(body), len(digits), len(letters), len(set(digits)), sum(c.isupper() for c in letters),
@@ -129,7 +175,9 @@ def features(text: str, span: Span) -> list[float]:
         float(text[start - 1:start].isalnum()) if start else 0.0, float(after[:1].isalnum()),
         float(text[start - 1:start] in "-./#$€_") if start else 0.0, float(after[:1] in ("-", "/", "_", "%")),
         sum(c.isdigit() for c in before), sum(c.isdigit() for c in after), float(digits[:1] or 0),
-        float(digits[:3] in ("000", "666") or digits[:1] == "9"),
+        float(digits[:3] in ("000", "666") or digits[:1] == "9"), float(is_ipv6(body)),
+        len(groups), min(map(len, groups), default=0), max(map(len, groups), default=0),
+        float(len(groups) == 3 and 4 in (len(groups[0]), len(groups[2])) and len(groups[1]) == 2),
         *(float(any(re.search(rf"\b{w}", before) for w in words)) for words in HINTS.values()),
     ]
 
@@ -145,8 +193,16 @@ def _made(rng: random.Random) -> tuple[str, str, bool]:
         body = rng.choice([f"{word()}@{word()}ü.de", f"{word()} (at) {word()} (dot) com", f"{word()}.é{word()}@{word()}.org",
                            f"{word()}[at]{word()}.net"]) if good else rng.choice([f"{word()}é@2.0", f"ü{word()}@1.2.3", f"{word()} (at) 5.30"])
     elif kind == "phone2":
-        body = rng.choice([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}{sep}{d(3)}{sep}{d(4)}", f"00{d(2)} {d(3)} {d(5)}"]) if good else \
-            rng.choice([f"{d(4)}-{d(4)}", f"{d(2)}/{d(4)}", f"{d(3)}.{d(3)}", f"{d(3)} {d(3)}", f"20{d(2)} {d(4)}", f"{d(4)}.{d(3)}.{d(3)}"])
+        z = lambda n: "0" + d(n - 1)
+        day, month, year = f"{rng.randint(1, 31):02d}", f"{rng.randint(1, 12):02d}", str(rng.randint(1900, 2040))
+        body = rng.choice([
+            f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}{sep}{d(3)}{sep}{d(4)}", f"00{d(2)} {d(3)} {d(5)}", sep.join([z(2), *(d(2) for _ in range(4))]),
+            f"{z(3)}{sep}{d(4)}{sep}{d(4)}", f"{z(5)}{sep}{d(5)}", f"{z(5)} {d(6)}", f"({z(rng.randint(3, 5))}) {d(4)} {d(4)}", f"{z(4)}{sep}{d(2)}{sep}{d(2)}{sep}{d(2)}",
+            f"{z(3)} {d(3)} {d(2)} {d(2)}", f"00{d(2)} {d(2)} {d(3)} {d(4)}"]) if good else rng.choice([
+            f"{d(4)}-{d(4)}", f"{d(2)}/{d(4)}", f"{d(3)}.{d(3)}", f"{d(3)} {d(3)}", f"20{d(2)} {d(4)}", f"{d(4)}.{d(3)}.{d(3)}",
+            f"{year}-{month}-{day}", f"{day}.{month}.{year}", f"{month}/{day}/{year}", f"{year}-{year}", f"{d(2)}.{d(2)}", f"{d(2)} {d(3)} {d(3)}",
+            f"978-{d(2)}-{d(4)}-{d(3)}-{d(2)}", f"{d(2)}.{d(2)}.{d(2)}.{d(2)}", " ".join(d(rng.randint(2, 5)) for _ in range(rng.randint(2, 8))),
+            f"{day}-{month}-{year} {d(2)}", f"{d(3)}-{d(3)}"])
     elif kind == "ssn":
         body = f"{rng.randint(1, 8)}{d(2)}-{d(2)}-{d(4)}" if good else rng.choice([f"9{d(2)}-{d(2)}-{d(4)}", f"000-{d(2)}-{d(4)}", f"{d(3)} {d(2)} {d(4)}"])
     elif kind == "iban":
@@ -154,13 +210,20 @@ def _made(rng: random.Random) -> tuple[str, str, bool]:
         check = 98 - int(tail + "131400") % 97
         check = f"{check:02d}"
         body = f"DE{check}{tail}"
+        if rng.random() < 0.3:
+            body = body.lower()
         if rng.random() < 0.5:
             body = " ".join(body[i:i + 4] for i in range(0, len(body), 4))
         if not good:
-            body = f"{rng.choice('ABDEFG')}{rng.choice('CDEFRS')}{d(2)} " + rng.choice([d(4) + " " + d(4), "".join(rng.choice("ABCDEF0123") for _ in range(12))])
+            four = lambda: "".join(rng.choice("abcdefnorst") for _ in range(4))
+            body = f"{rng.choice('ABDEFGabde')}{rng.choice('CDEFRScdef')}{d(2)} " + rng.choice([
+                d(4) + " " + d(4), "".join(rng.choice("ABCDEF0123") for _ in range(12)), f"{four()} {four()}", f"{four()} {d(4)} {four()}"])
     elif kind == "ipv6":
         h = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
-        body = ":".join(h(rng.randint(1, 4)) for _ in range(8)) if good else ":".join(d(2) for _ in range(rng.randint(4, 5)))
+        some = lambda n: ":".join(h(rng.randint(1, 4)) for _ in range(n))
+        cut = rng.randint(0, 5)
+        body = rng.choice([some(8), f"{some(cut)}::{some(rng.randint(1, 6 - cut))}", f"{some(rng.randint(1, 5))}::"]) if good else rng.choice([
+            ":".join(d(2) for _ in range(rng.randint(3, 5))), "::".join(h(rng.randint(1, 3)) for _ in range(3)), some(rng.randint(3, 7)), f"{d(2)}:{d(2)}:{d(2)}", some(9)])
     else:
         first = d(15)
         last = next(c for c in "0123456789" if luhn(first + c) == good)

@@ -40,3 +40,23 @@ def test_encoder_is_the_library_s():
     ranks = ENC._mergeable_ranks
     plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert len(ranks) == 50256 and plain.encode_ordinary("some text, 1 2 3") == ENC.encode_ordinary("some text, 1 2 3")
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_blank_runs_encode_like_the_whole(seed, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_RUN", 3)
+    monkeypatch.setattr(bpe, "_RUN", bpe.re.compile(bpe._RUN.pattern.replace("4096", "3")))
+    rng = random.Random(seed)
+    bits = ["a", " ", " ", "  \n", "\n", "\t", " ", " ", "\u0085", "\x1c", "!", "1", "é"]
+    text = "".join(rng.choice(bits) for _ in range(500)) + rng.choice(["", "    "])
+    assert "".join(x for x, _ in bpe.blank_runs(text)) == text and any(run for _, run in bpe.blank_runs(text))
+    assert bpe.encode_text(ENC, text).tolist() == ENC.encode_ordinary(text)
+
+
+def test_very_long_runs(spark, frame, saved):
+    texts = [" " * 2_000_000, " \n\t " * 500_000 + "x", "x" + "\n" * 1_500_000 + " y", "ab" * 1_000_000, "!" * 2_000_000, "é " * 500_000]
+    got = {r.doc_id: r for r in queries.op6_bpe(spark, saved(documents=frame(list(enumerate(texts))))).collect()}
+    assert [got[i].decoded_sha256 for i in range(len(texts))] == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    # A run's ids repeat those that the library gives a shorter one of the same kind.
+    short = ENC.encode_ordinary(" " * 20_000)
+    assert got[0].n_tokens == 100 * len(short)
