@@ -223,7 +223,8 @@ def _made(rng: random.Random) -> tuple[str, str, bool]:
         some = lambda n: ":".join(h(rng.randint(1, 4)) for _ in range(n))
         cut = rng.randint(0, 5)
         body = rng.choice([some(8), f"{some(cut)}::{some(rng.randint(1, 6 - cut))}", f"{some(rng.randint(1, 5))}::"]) if good else rng.choice([
-            ":".join(d(2) for _ in range(rng.randint(3, 5))), "::".join(h(rng.randint(1, 3)) for _ in range(3)), some(rng.randint(3, 7)), f"{d(2)}:{d(2)}:{d(2)}", some(9)])
+            ":".join(d(2) for _ in range(rng.randint(3, 5))), "::".join(h(rng.randint(1, 3)) for _ in range(3)), some(rng.randint(3, 7)), f"{d(2)}:{d(2)}:{d(2)}", some(9),
+            f"{some(rng.randint(1, 2))}::{some(rng.randint(1, 2))}::{some(1)}", f"{some(rng.randint(4, 6))}::{some(rng.randint(4, 6))}"])
     else:
         first = d(15)
         last = next(c for c in "0123456789" if luhn(first + c) == good)
