@@ -39,3 +39,31 @@ def py_ge(a: Column, b: Column) -> Column:
 def is_whole_multiple(qty: Column, size: Column) -> Column:
     """``qty % size == 0`` for a positive size (never raises)."""
     return F.try_mod(qty, size) == 0
+
+
+#: Digits after the point of exact sums; a double below 100 may have more.
+SUM_SCALE = 15
+_FIXED = f"decimal(33,{SUM_SCALE})"
+
+
+def fixed_point(x: Column) -> Column:
+    """A double as a decimal (its shortest text, rounded to ``SUM_SCALE`` digits
+    after the point); null for NaN, infinities and magnitudes from 1e18."""
+    return x.try_cast(_FIXED)
+
+
+def exact_sums(x: Column, name: str) -> dict[str, Column]:
+    """Two aggregates whose result does not depend on the order in which partial
+    sums meet: the values that fit fixed point in a decimal buffer, and the others
+    (which make a sum NaN, infinite or too large for repeatable digits anyway)."""
+    fixed = fixed_point(x)
+    return {f"_fixed_{name}": F.sum(fixed), f"_wide_{name}": F.sum(F.when(fixed.isNull(), x))}
+
+
+def exact_total(name: str, fixed: Column | None = None, wide: Column | None = None) -> Column:
+    """The double that the two aggregates of :func:`exact_sums` stand for; null if
+    nothing was summed."""
+    fixed = F.col(f"_fixed_{name}") if fixed is None else fixed
+    wide = F.col(f"_wide_{name}") if wide is None else wide
+    total = F.coalesce(fixed.cast("double"), F.lit(0.0)) + F.coalesce(wide, F.lit(0.0))
+    return F.when(fixed.isNotNull() | wide.isNotNull(), total)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact_sums, exact_total
 from ..rules import DEFAULT_RULES, Rules
 
 ATTRIBUTES = ("warehouse_type", "packaging_unit", "palletization_indicator")
@@ -45,10 +46,13 @@ def normalise_stock(stock: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
 
 
 def stock_by_location(norm: DataFrame) -> DataFrame:
-    """Sums per (material, plant, location)."""
-    return (norm.groupBy("material_number", "plant", "storage_location")
-            .agg(F.sum("allocable_stock_qty").alias("allocable_stock_qty"),
-                 F.sum("available_stock_qty").alias("available_stock_qty")))
+    """Sums per (material, plant, location), in fixed-point buffers: the same bits
+    whatever the order in which partial sums meet."""
+    summed = ("allocable_stock_qty", "available_stock_qty")
+    aggs = {k: v for c in summed for k, v in exact_sums(F.col(c), c).items()}
+    keys = ("material_number", "plant", "storage_location")
+    return (norm.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
+            .select(*keys, *[exact_total(c).alias(c) for c in summed]))
 
 
 def _location_rank(rules: Rules) -> Column:
@@ -74,11 +78,13 @@ def stock_profile(norm: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     rank = _location_rank(rules)
     # Raw rows are first reduced by hash (sums and the timestamp have fixed-width
     # buffers); only the few rows left per material and plant meet the ordered
-    # minima, which need sorted groups.
+    # minima, which need sorted groups. Both passes keep fixed-point sums, so a
+    # quantity has the same bits whatever the order in which rows meet.
+    sums = exact_sums(F.col("allocable_stock_qty"), "qty")
     norm = (norm.groupBy("material_number", "plant", "storage_location", *ATTRIBUTES)
-            .agg(F.sum("allocable_stock_qty").alias("allocable_stock_qty"),
+            .agg(*[v.alias(k) for k, v in sums.items()],
                  F.max("stock_timing_timestamp").alias("stock_timing_timestamp")))
-    aggs = [F.coalesce(F.sum(F.when(loc == name, F.col("allocable_stock_qty"))), F.lit(0.0))
+    aggs = [F.coalesce(exact_total("qty", *[F.sum(F.when(loc == name, F.col(k))) for k in sums]), F.lit(0.0))
             .alias(stock_col(name)) for name in rules.locations]
     aggs.append(F.max("stock_timing_timestamp").alias("stock_timing_timestamp"))
     aggs += [_first_by_location(a, rank).alias(a) for a in ATTRIBUTES]

@@ -24,10 +24,15 @@ from pyspark.sql import functions as F
 from ..operators import allocate as al
 from ..operators import enrich, output, products, stock, summary, validate
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import CASE_2, VALID
+from ..schemas import CASE_2, EXCEPTION, VALID
 from ..session import build_session
 from ..sources import csv as csv_source
-from ..sources.tables import read_table, write_table
+from ..sources.tables import part_path, read_table, table_format, write_split, write_table
+
+#: Tables that one write makes, as partitions by status.
+VALIDATED = "validated_orders"
+BY_STATUS = {"valid_orders": VALID, "exceptions": EXCEPTION}
+
 
 def _observed(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observation]:
     """``df`` with row counts gathered while it is written (no extra pass)."""
@@ -54,7 +59,14 @@ class Layout:
     def write(self, df: DataFrame, layer: str, name: str) -> str:
         return write_table(df, name, **{"fmt": self.fmt, **self._place(layer)})
 
+    def write_by_status(self, df: DataFrame, layer: str) -> tuple[dict[str, str], dict[str, int]]:
+        """Valid lines and exceptions by one write; their places and row counts."""
+        return write_split(df, "validation_status", BY_STATUS, VALIDATED, **{"fmt": self.fmt, **self._place(layer)})
+
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
+        if self.root and name in BY_STATUS and table_format(spark, self.fmt) != "delta":
+            place = self._place(layer)
+            return spark.read.format(table_format(spark, self.fmt)).load(part_path(place["root"], VALIDATED, BY_STATUS[name]))
         return read_table(spark, name, **self._place(layer))
 
 
@@ -85,11 +97,9 @@ def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
            ignore_blocked_closed: bool = False, result: RunResult) -> None:
     orders = layout.read(spark, "bronze", "sales_orders_raw")
     clean = validate.prepare_orders(orders, ignore_blocked_closed=ignore_blocked_closed)
-    for name, df in (("valid_orders", validate.valid_orders(clean, run_ts)),
-                     ("exceptions", validate.exceptions(clean, run_ts))):
-        df, obs = _observed(df, name)
-        result.tables[name] = layout.write(df, "silver", name)
-        result.metrics[name] = obs.get["rows"]
+    tables, counts = layout.write_by_status(validate.label_orders(clean, run_ts), "silver")
+    result.tables.update(tables)
+    result.metrics.update(counts)
     raw_stock = layout.read(spark, "bronze", "stock_availability_raw")
     prof, obs = _observed(stock.stock_filtered(raw_stock, run_ts, rules), "stock_filtered")
     result.tables["stock_filtered"] = layout.write(prof, "silver", "stock_filtered")

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -53,3 +54,57 @@ def read_table(spark: SparkSession, name: str, *, database: str | None = None,
     if root:
         return spark.read.format(table_format(spark, fmt)).load(os.path.join(root, name))
     return spark.table(f"`{database}`.`{name}`" if database else f"`{name}`")
+
+
+PART = "part"
+
+
+def part_path(root: str, stem: str, value: str) -> str:
+    return os.path.join(root, stem, f"{PART}={value}")
+
+
+def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *, database: str | None = None,
+                root: str | None = None, fmt: str | None = None) -> tuple[dict[str, str], dict[str, int]]:
+    """Several tables by one pass: ``df`` is written once, partitioned by the values
+    of ``column`` (which stays a column of the files), and ``tables`` (name -> value)
+    are the partitions. Returns their names or paths, and their row counts.
+
+    The files are below ``root``, or below the database's location with the names
+    registered as external tables. A value without rows gets an empty table. Rows
+    with other values are an error. Formats with a log of their own (Delta) have no
+    tables inside a table: there each is written by a pass of its own."""
+    spark = df.sparkSession
+    fmt = table_format(spark, fmt)
+    place = {"database": database, "root": root, "fmt": fmt}
+    if fmt == "delta":
+        where, counts = {}, {}
+        for name, value in tables.items():
+            seen = Observation()
+            part = df.where(F.col(column) == value).observe(seen, F.count(F.lit(1)).alias("rows"))
+            where[name] = write_table(part, name, **place)
+            counts[name] = seen.get["rows"]
+        return where, counts
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(column) == value).alias(name) for name, value in tables.items()])
+    if database:
+        ensure_database(spark, database)
+        base = spark.catalog.getDatabase(database).locationUri
+    else:
+        base = root
+    (rows.withColumn(PART, F.col(column)).write.format(fmt).mode("overwrite").partitionBy(PART)
+     .save(os.path.join(base, stem)))
+    counts = dict(seen.get)
+    if counts.pop("rows") != sum(counts.values()):
+        raise ValueError(f"{column} has values other than {sorted(tables.values())}")
+    where = {}
+    for name, value in tables.items():
+        path = part_path(base, stem, value)
+        if not counts[name]:
+            spark.createDataFrame([], df.schema).write.format(fmt).mode("overwrite").save(path)
+        where[name] = path
+        if database:
+            where[name] = f"`{database}`.`{name}`"
+            spark.sql(f"DROP TABLE IF EXISTS {where[name]}")
+            spark.catalog.createTable(f"{database}.{name}", path=path, source=fmt, schema=df.schema)
+    return where, counts

@@ -4,7 +4,8 @@ independence of the results."""
 import hashlib
 
 import pytest
-from helpers import orders_df, stock_df
+from helpers import orders_df, plan_text, stock_df
+from pyspark.sql import functions as F
 
 from stockroute.plans import pipeline
 from stockroute.plans.flow import Flow
@@ -12,6 +13,7 @@ from stockroute.rules import Rules
 from stockroute.schemas import ORDER_HEADERS, STOCK_HEADERS
 from stockroute.session import scratch_path
 from stockroute.sources.csv import write_csv
+from stockroute.sources.tables import write_split
 
 TS = "2024-06-30T00:00:00"
 
@@ -159,6 +161,49 @@ def test_cli_runs_all_stages_and_prints_counts(spark, capsys):
                    "--run-ts", TS, "--summaries", "--silver-db", "silver_x"])
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["metrics"]["allocation_output"] == 9
-    assert report["tables"]["valid_orders"].endswith("silver_x/valid_orders")
+    assert report["tables"]["valid_orders"].endswith("silver_x/validated_orders/part=VALID")
     cases = {r["case_number"]: r["count"] for r in report["summaries"]["case"]}
     assert sum(cases.values()) == 8
+
+
+def test_valid_lines_and_exceptions_come_from_one_scan(spark, monkeypatch):
+    """One write makes both tables; the raw orders are scanned once in silver."""
+    orders, stock = _inputs(spark)
+    src = scratch_path(spark, "test-extracts")
+    write_csv(orders, f"{src}/orders", ORDER_HEADERS)
+    write_csv(stock, f"{src}/stock", STOCK_HEADERS)
+    layout = pipeline.Layout(root=scratch_path(spark, "test-one-pass"))
+    result = pipeline.RunResult()
+    pipeline.bronze(spark, layout, f"{src}/orders", f"{src}/stock", TS, result=result)
+    written = []
+    for name in ("write_split", "write_table"):
+        original = getattr(pipeline, name)
+        monkeypatch.setattr(pipeline, name, lambda df, *a, _f=original, **kw: (written.append(plan_text(df)), _f(df, *a, **kw))[1])
+    pipeline.silver(spark, layout, TS, Rules(), result=result)
+    assert sum(plan.count("sales_orders_raw") for plan in written) == 1 and len(written) == 2
+    flow = Flow(orders, stock, TS)
+    cols = [c for c in layout.read(spark, "silver", "exceptions").columns if not c.startswith("_")]
+    for name, want in (("valid_orders", flow.valid_orders), ("exceptions", flow.exceptions)):
+        got = layout.read(spark, "silver", name)
+        direct = spark.read.parquet(result.tables[name])
+        assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+        assert got.count() == direct.count() == result.metrics[name] > 0 and direct.columns == got.columns
+        assert "part=" in plan_text(got)
+
+
+@pytest.mark.parametrize("database", [None, "t_split"])
+def test_split_write_with_a_status_without_rows(spark, database):
+    place = {"database": database} if database else {"root": scratch_path(spark, "split")}
+    df = spark.createDataFrame([(1, "a", None), (2, "a", "x")], "k long, s string, t string")
+    try:
+        for rows in (df, df.withColumn("s", F.lit("b")), df):
+            where, counts = write_split(rows, "s", {"first": "a", "second": "b"}, "both", **place)
+            read = {n: spark.table(w) if database else spark.read.parquet(w) for n, w in where.items()}
+            assert {n: r.count() for n, r in read.items()} == counts
+            assert all(r.columns == ["k", "s", "t"] for r in read.values())
+        assert counts == {"first": 2, "second": 0}
+        with pytest.raises(ValueError):
+            write_split(df.withColumn("s", F.lit("c")), "s", {"first": "a", "second": "b"}, "other", **place)
+    finally:
+        if database:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")

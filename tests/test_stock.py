@@ -1,6 +1,10 @@
 import math
+import random
+from decimal import Decimal
 
+import pytest
 from helpers import plan_text, stock_df
+from pyspark.sql import functions as F
 
 from stockroute.operators import stock
 
@@ -71,3 +75,40 @@ def test_profile_reduces_raw_rows_by_hash_first(spark):
     assert "Join" not in plan
     raw_side = plan[plan.index("Exchange hashpartitioning", plan.index("Exchange hashpartitioning") + 1):]
     assert "HashAggregate" in raw_side and "SortAggregate" not in raw_side and "Sort [" not in raw_side
+
+
+def test_sums_have_the_same_bits_whatever_the_order(spark):
+    """Quantities like 0.1, of mixed size and sign, over 1, 8 and 200 partitions."""
+    rng = random.Random(4)
+    rows = [{"material_number": f"M{i % 3}", "storage_location": rng.choice(["PT12", "1000", "PT11"]), "warehouse_type": rng.choice("ab"),
+             "allocable_stock_qty": q, "available_stock_qty": -q}
+            for i, q in enumerate(rng.choice([0.1, 0.2, 0.3, 1e15, -1e15, 7.7, 1e-9, 123456.789]) for _ in range(3000))]
+    df = stock_df(spark, *rows)
+    seen = set()
+    for parts in (1, 8, 200):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            norm = stock.normalise_stock(df.orderBy(F.rand(parts)).repartition(parts))
+            by_loc = sorted((r.material_number, r.storage_location, r.allocable_stock_qty.hex(), r.available_stock_qty.hex())
+                            for r in stock.stock_by_location(norm).collect())
+            prof = sorted((r.material_number, r.stock_PT12.hex(), r.stock_PT11.hex()) for r in stock.stock_profile(norm).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+        seen.add((*by_loc, *prof))
+    assert len(seen) == 1
+    want = {}
+    for r in rows:
+        key = (r["material_number"], "PT12" if r["storage_location"] == "1000" else r["storage_location"])
+        want[key] = want.get(key, 0) + Decimal(repr(r["allocable_stock_qty"]))
+    assert {(m, loc): float.fromhex(q) for m, loc, q, _ in by_loc} == {k: float(v) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("values, total", [([0.1, 0.2], 0.3), ([1e300, 1.0], 1e300), ([math.inf, 1.0], math.inf), ([-math.inf, 5.0], -math.inf),
+                                           ([math.nan, 1.0], math.nan), ([math.inf, -math.inf], math.nan), ([1e17, 0.25, -1e17], 0.25), ([0.0], 0.0)])
+def test_sums_of_values_beyond_fixed_point(spark, values, total):
+    df = stock_df(spark, *[{"allocable_stock_qty": v} for v in values])
+    (r,) = stock.stock_by_location(df).collect()
+    (p,) = stock.stock_profile(df).collect()
+    for got in (r.allocable_stock_qty, p.stock_PT12):
+        assert got == total or (math.isnan(got) and math.isnan(total))
