@@ -28,7 +28,7 @@ ALLOCATION_COLUMNS = ("allocated_location", "requires_auth", "case_number", "cas
 STATUS_COLUMNS = tuple(OUTCOME_STATUS)
 
 
-def join_stock(enriched: DataFrame, stock: DataFrame) -> DataFrame:
+def join_stock(enriched: DataFrame, stock: DataFrame, columns: tuple[str, ...] = STOCK_JOIN_COLUMNS) -> DataFrame:
     """Order lines LEFT JOIN the stock profile on material number: one row per
     matching plant, the line alone when nothing matches.
 
@@ -38,7 +38,7 @@ def join_stock(enriched: DataFrame, stock: DataFrame) -> DataFrame:
     they do not meet in one task."""
     spread = F.concat(F.lit("\x00"), F.xxhash64("sales_order_number", "sales_order_line_item"))
     known = F.col("material_number").isNotNull()
-    right = stock.select(*STOCK_JOIN_COLUMNS).withColumnRenamed("material_number", "_stock_key")
+    right = stock.select(*columns).withColumnRenamed("material_number", "_stock_key")
     lines = enriched.withColumn("_line_key", F.coalesce("material_number", spread))
     return (lines.join(right, (F.col("_line_key") == F.col("_stock_key")) & known, "left")
             .drop("_line_key", "_stock_key"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import ALLOCATION_OUTPUT_COLUMNS, EXCEPTION, NOT_APPLICABLE_GROUP
+from ..schemas import ALLOCATION_OUTPUT_COLUMNS, EXCEPTION, NOT_APPLICABLE_GROUP, STOCK_MAP
 from . import allocate as al
 
 
@@ -38,11 +38,11 @@ def exceptions_to_output(exceptions: DataFrame, run_ts: str, schema: T.StructTyp
     named = exceptions.withColumns({k: F.lit(v) for k, v in stated.items() if v is not None}
                                    | {"starting_location": F.col("storage_location"),
                                       "case_reason": F.col("exception_reason")})
-    return align_columns(named, schema=schema)
+    return align_columns(named, schema.names, schema)
 
 
 def allocation_output(actions: DataFrame, exceptions: DataFrame, run_ts: str) -> DataFrame:
-    """Allocated lines UNION ALL exception lines, 41 columns. Exceptions bypass
-    the stock join."""
-    left = align_columns(actions)
+    """Allocated lines UNION ALL exception lines, 41 columns (and the stock map if
+    the lines carry it). Exceptions bypass the stock join."""
+    left = align_columns(actions, ALLOCATION_OUTPUT_COLUMNS + ((STOCK_MAP,) if STOCK_MAP in actions.columns else ()))
     return left.unionByName(exceptions_to_output(exceptions, run_ts, left.schema))

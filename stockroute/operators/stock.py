@@ -75,7 +75,7 @@ def stock_profile(norm: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One row per (material, plant): ``stock_<loc>`` (0.0 when absent), the
     latest stock timestamp and the three informational attributes."""
     loc = F.col("storage_location")
-    rank = _location_rank(rules)
+    rank = _location_rank(rules.fixed_locations())
     # Raw rows are first reduced by hash (sums and the timestamp have fixed-width
     # buffers); only the few rows left per material and plant meet the ordered
     # minima, which need sorted groups. Both passes keep fixed-point sums, so a

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import summary
-from ..schemas import ORDER_HEADERS, REASON_NOT_IN_STOCK, STOCK_HEADERS
+from ..rules import LOCATIONS, PRIORITY, REQUIRES_AUTH, Rules
+from ..schemas import ORDER_HEADERS, REASON_NOT_IN_STOCK, STOCK_HEADERS, STOCK_MAP
 from ..session import scratch_path
 from ..sources import csv as csv_source
 from ..sources.tables import ensure_database, read_table, write_table
 from . import fixtures
-from .flow import QUERY_RUN_TS, Flow
+from .flow import QUERY_RUN_TS, Flow, TableFlow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,35 @@ def not_in_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flow(spark, sf_dir).allocated.filter(F.col("case_reason") == REASON_NOT_IN_STOCK)
 
 
+#: A fourth location: second for one group, last for the others.
+OPEN_RULES = Rules(
+    locations=(*LOCATIONS, "XX99"),
+    priority={g: ("PT12", "XX99", "PT11", "PT15") if g == "Walmart" else (*seq, "XX99") for g, seq in PRIORITY.items()},
+    requires_auth=REQUIRES_AUTH | {"Walmart": REQUIRES_AUTH["Walmart"] | {"XX99": False}})
+OPEN_COLUMNS = ("sales_order_number", "sales_order_line_item", "material_number", "plant", "customer_group", "pallet_rule",
+                "order_quantity", "stock_PT12", "stock_PT11", "stock_PT15", "total_stock", "available_locations_count",
+                "available_locations_list", "allocated_location", "requires_auth", "case_number", "case_reason", "location_changed")
+
+
+def allocated_by_rule_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The allocated lines with the shipped rules read from tables."""
+    return TableFlow.from_fixtures(spark, sf_dir).allocated.drop(STOCK_MAP)
+
+
+def stock_open_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stock map of four locations, a row for each of its entries."""
+    stock = TableFlow.from_fixtures(spark, sf_dir, rules=OPEN_RULES).stock_filtered
+    return (stock.select("material_number", "plant", "total_stock", "available_locations_count", "available_locations_list",
+                         F.explode(STOCK_MAP).alias("location", "entry"))
+            .select("material_number", "plant", "total_stock", "available_locations_count", "available_locations_list",
+                    "location", "entry.quantity", "entry.has_stock"))
+
+
+def allocated_open_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The allocated lines with rules over four locations."""
+    return TableFlow.from_fixtures(spark, sf_dir, rules=OPEN_RULES).allocated.select(*OPEN_COLUMNS)
+
+
 def summary_location_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.location_count_summary(_flow(spark, sf_dir).stock_filtered)
 
@@ -169,6 +199,9 @@ QUERIES: dict[str, Query] = {
     "feasibility": _attr("feasibility"),
     "tickets": _attr("tickets"),
     "execution_delivery": _attr("execution_delivery"),
+    "allocated_by_rule_tables": allocated_by_rule_tables,
+    "stock_open_locations": stock_open_locations,
+    "allocated_open_locations": allocated_open_locations,
     "summary_location_count": summary_location_count,
     "summary_exceptions": summary_exceptions,
     "summary_customer_group": summary_customer_group,

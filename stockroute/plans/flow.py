@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import allocate as al
-from ..operators import enrich, output, products, stock, summary, validate
-from ..rules import DEFAULT_RULES, Rules
+from ..operators import enrich, output, products, rule_tables, stock, summary, validate
+from ..rules import DEFAULT_RULES, Rules, rule_frames
 from ..schemas import CATEGORY_KEPT
 from ..sources.csv import with_audit
 from . import fixtures
@@ -160,3 +160,33 @@ class Flow:
         return summary.pipeline_metrics(cleaned, self.stock_rows, self.stock_flags,
                                         self.allocation_output, category_kept=kept,
                                         valid_cond=validate.valid_condition())
+
+
+class TableFlow(Flow):
+    """The flow with its rules as tables: ``frames``, by default those of ``rules``."""
+
+    frames: rule_tables.Frames | None = None
+
+    @cached_property
+    def rule_tables(self) -> rule_tables.Frames:
+        return self.frames or rule_frames(self.orders.sparkSession, self.rules)
+
+    @cached_property
+    def stock_filtered(self) -> DataFrame:
+        return rule_tables.stock_filtered(self.stock_rows, self.run_ts, self.rule_tables)
+
+    @cached_property
+    def orders_enriched(self) -> DataFrame:
+        return rule_tables.enrich_orders(self.valid_orders, self.rule_tables, self.rules)
+
+    @cached_property
+    def orders_stock_join(self) -> DataFrame:
+        return rule_tables.join_stock(self.orders_enriched, self.stock_filtered)
+
+    @cached_property
+    def allocated(self) -> DataFrame:
+        return rule_tables.allocate(self.orders_stock_join, self.rule_tables, self.rules)
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return rule_tables.allocate_with_actions(self.orders_stock_join, self.run_ts, self.rule_tables, self.rules)

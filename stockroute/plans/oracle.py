@@ -192,6 +192,33 @@ CTES: list[tuple[str, str]] = [
                   validation_status, {TS} AS _processed_timestamp
            FROM exc"""),
     ("alloc_out", f"SELECT {OUT_COLS} FROM actions UNION ALL SELECT {OUT_COLS} FROM exc_gold"),
+    # Four locations: the fourth second for Walmart (no approval), last for the others.
+    ("open_by_loc", """SELECT material_number, plant, CASE WHEN storage_location = '1000' THEN 'PT12' ELSE storage_location END AS location,
+                  sum(coalesce(allocable_stock_qty, 0.0)) AS quantity, first(packaging_unit) AS packaging_unit
+           FROM fx_stock WHERE storage_location IN ('PT12', '1000', 'PT11', 'PT15', 'XX99') GROUP BY ALL"""),
+    ("open_stock", """SELECT *, s12 + s11 + s15 + s99 AS total_stock,
+                  CAST((s12 > 0)::INT + (s11 > 0)::INT + (s15 > 0)::INT + (s99 > 0)::INT AS INTEGER) AS available_locations_count,
+                  concat_ws(',', CASE WHEN s12 > 0 THEN 'PT12' END, CASE WHEN s11 > 0 THEN 'PT11' END,
+                            CASE WHEN s15 > 0 THEN 'PT15' END, CASE WHEN s99 > 0 THEN 'XX99' END) AS available_locations_list
+           FROM (SELECT material_number, plant, any_value(packaging_unit) AS packaging_unit,
+                        coalesce(max(quantity) FILTER (location = 'PT12'), 0.0) AS s12, coalesce(max(quantity) FILTER (location = 'PT11'), 0.0) AS s11,
+                        coalesce(max(quantity) FILTER (location = 'PT15'), 0.0) AS s15, coalesce(max(quantity) FILTER (location = 'XX99'), 0.0) AS s99
+                 FROM open_by_loc GROUP BY material_number, plant)
+           WHERE s12 + s11 + s15 + s99 > 0"""),
+    ("open_able", """SELECT e.*, s.* EXCLUDE (material_number), coalesce(order_quantity, 0.0) AS need,
+                  CASE WHEN pallet_rule = 'FULL_PALLET_ONLY' AND TRY_CAST(packaging_unit AS DOUBLE) > 0
+                       THEN coalesce(order_quantity, 0.0) % TRY_CAST(packaging_unit AS DOUBLE) = 0 ELSE TRUE END AS fits
+           FROM enriched e LEFT JOIN open_stock s ON e.material_number = s.material_number"""),
+    ("open_picked", """SELECT *, CASE WHEN NOT fits OR total_stock IS NULL THEN NULL
+                       WHEN s12 > 0 AND s12 >= need THEN 'PT12'
+                       WHEN customer_group = 'Walmart' AND s99 > 0 AND s99 >= need THEN 'XX99'
+                       WHEN customer_group = 'Cencosud' AND s15 > 0 AND s15 >= need THEN 'PT15'
+                       WHEN s11 > 0 AND s11 >= need THEN 'PT11'
+                       WHEN s15 > 0 AND s15 >= need THEN 'PT15'
+                       WHEN s99 > 0 AND s99 >= need THEN 'XX99' END AS hit
+           FROM open_able"""),
+    ("open_alloc", """SELECT *, CASE WHEN hit IS NULL OR hit = 'PT12' THEN FALSE WHEN customer_group = 'Walmart' THEN hit = 'PT15'
+                       WHEN customer_group = 'Cencosud' THEN hit <> 'PT15' ELSE TRUE END AS requires_auth FROM open_picked"""),
 ]
 
 _NAMES = [n for n, _ in CTES]
@@ -315,6 +342,23 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM enriched e WHERE NOT EXISTS (SELECT 1 FROM tagged s "
         "WHERE s.material_number = e.material_number)", "enriched"),
     "orders_with_stock": with_ctes("SELECT * FROM joined WHERE total_stock IS NOT NULL", "joined"),
+    "allocated_by_rule_tables": with_ctes("SELECT * FROM allocated", "allocated"),
+    "stock_open_locations": with_ctes(
+        "SELECT s.material_number, s.plant, s.total_stock, s.available_locations_count, s.available_locations_list, "
+        "b.location, b.quantity, b.quantity > 0 AS has_stock FROM open_stock s JOIN open_by_loc b "
+        "ON s.material_number = b.material_number AND s.plant = b.plant", "open_stock"),
+    "allocated_open_locations": with_ctes(
+        "SELECT sales_order_number, sales_order_line_item, material_number, plant, customer_group, pallet_rule, order_quantity, "
+        "coalesce(s12, 0.0) AS stock_PT12, coalesce(s11, 0.0) AS stock_PT11, coalesce(s15, 0.0) AS stock_PT15, "
+        "coalesce(total_stock, 0.0) AS total_stock, coalesce(available_locations_count, 0) AS available_locations_count, "
+        "coalesce(available_locations_list, '') AS available_locations_list, hit AS allocated_location, requires_auth, "
+        "CASE WHEN hit IS NULL THEN 'CASE_3' WHEN hit = 'PT12' THEN 'CASE_1' ELSE 'CASE_2' END AS case_number, "
+        "CASE WHEN total_stock IS NULL THEN 'Material not found in stock data. Drop line.' "
+        "WHEN hit IS NULL THEN 'No location (including starting location PT12) has sufficient stock. Drop line / requeue.' "
+        "WHEN hit = 'PT12' THEN 'Order already at PT12 and stock is sufficient. Auto-confirm, no change.' "
+        "ELSE 'Starting location PT12 short on stock. Reallocated to ' || hit || '. Auth required: ' "
+        "|| CASE WHEN requires_auth THEN 'True' ELSE 'False' END || '. PEGA ticket to be raised.' END AS case_reason, "
+        "coalesce(hit <> 'PT12', FALSE) AS location_changed FROM open_alloc", "open_alloc"),
     "not_in_stock": with_ctes("SELECT * FROM allocated WHERE case_reason = "
                               "'Material not found in stock data. Drop line.'", "allocated"),
     "actions": with_ctes("SELECT * FROM actions", "actions"),

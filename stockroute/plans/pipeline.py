@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import allocate as al
-from ..operators import enrich, output, products, stock, summary, validate
+from ..operators import enrich, output, products, rule_tables, stock, summary, validate
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import CASE_2, EXCEPTION, VALID
 from ..session import build_session
@@ -94,23 +94,28 @@ def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: st
 
 
 def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
-           ignore_blocked_closed: bool = False, result: RunResult) -> None:
+           ignore_blocked_closed: bool = False, frames: rule_tables.Frames | None = None, result: RunResult) -> None:
     orders = layout.read(spark, "bronze", "sales_orders_raw")
     clean = validate.prepare_orders(orders, ignore_blocked_closed=ignore_blocked_closed)
     tables, counts = layout.write_by_status(validate.label_orders(clean, run_ts), "silver")
     result.tables.update(tables)
     result.metrics.update(counts)
     raw_stock = layout.read(spark, "bronze", "stock_availability_raw")
-    prof, obs = _observed(stock.stock_filtered(raw_stock, run_ts, rules), "stock_filtered")
+    made = rule_tables.stock_filtered(raw_stock, run_ts, frames) if frames else stock.stock_filtered(raw_stock, run_ts, rules)
+    prof, obs = _observed(made, "stock_filtered")
     result.tables["stock_filtered"] = layout.write(prof, "silver", "stock_filtered")
     result.metrics["stock_filtered"] = obs.get["rows"]
 
 
 def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
-         ticket_partitions: int | None = None, result: RunResult) -> None:
-    valid = enrich.enrich_orders(layout.read(spark, "silver", "valid_orders"), rules)
+         ticket_partitions: int | None = None, frames: rule_tables.Frames | None = None, result: RunResult) -> None:
+    valid = layout.read(spark, "silver", "valid_orders")
     stock_table = layout.read(spark, "silver", "stock_filtered")
-    actions = output.allocate_with_actions(al.join_stock(valid, stock_table), run_ts, rules)
+    if frames:
+        joined = rule_tables.join_stock(rule_tables.enrich_orders(valid, frames, rules), stock_table)
+        actions = rule_tables.allocate_with_actions(joined, run_ts, frames, rules)
+    else:
+        actions = output.allocate_with_actions(al.join_stock(enrich.enrich_orders(valid, rules), stock_table), run_ts, rules)
     allocation = output.allocation_output(actions, layout.read(spark, "silver", "exceptions"), run_ts)
     case2 = F.col("case_number") == CASE_2
     out, obs = _observed(allocation, "allocation_output",
@@ -162,15 +167,17 @@ def summaries(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES)
 def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout, *,
         run_ts: str | None = None, rules: Rules = DEFAULT_RULES, strict: bool = True,
         multi_line: bool = False, ignore_blocked_closed: bool = False,
-        ticket_partitions: int | None = None) -> RunResult:
+        ticket_partitions: int | None = None, frames: rule_tables.Frames | None = None) -> RunResult:
     """All three stages; row counts of every table are observed during the
-    writes (``collect_metrics`` recounts stored tables on demand)."""
+    writes (``collect_metrics`` recounts stored tables on demand). With ``frames``
+    the rules are read from these tables, over any locations; of ``rules`` only the
+    default group and start location count then."""
     ts = run_ts or run_ts_now()
     result = RunResult()
     bronze(spark, layout, orders_path, stock_path, ts, strict=strict, multi_line=multi_line,
            result=result)
-    silver(spark, layout, ts, rules, ignore_blocked_closed=ignore_blocked_closed, result=result)
-    gold(spark, layout, ts, rules, ticket_partitions=ticket_partitions, result=result)
+    silver(spark, layout, ts, rules, ignore_blocked_closed=ignore_blocked_closed, frames=frames, result=result)
+    gold(spark, layout, ts, rules, ticket_partitions=ticket_partitions, frames=frames, result=result)
     return result
 
 

@@ -1,11 +1,11 @@
 """Allocation rules: priority, approval, customer aliases, full-pallet parties.
 
-The rules are configuration, not data: a handful of customer groups times the
+By default the rules are configuration: a handful of customer groups times the
 three storage locations. They are compiled into Catalyst ``CASE`` expressions
 (see ``operators.allocate``), so applying them needs no join, no broadcast and
 no Python worker; every executor evaluates them inside whole-stage codegen.
-``rule_frames`` exposes the same values as small DataFrames for reporting and
-for users who keep rules as tables.
+``rule_frames`` gives the same values as small DataFrames; rules kept as tables,
+of any size and over any locations, are applied by ``operators.rule_tables``.
 """
 
 from __future__ import annotations
@@ -71,9 +71,6 @@ class Rules:
     full_pallet_parties: tuple[str, ...] = FULL_PALLET_PARTIES
 
     def __post_init__(self):
-        if sorted(self.locations) != sorted(LOCATIONS):
-            # The stored tables have a column per location.
-            raise ValueError(f"the locations are fixed: {LOCATIONS}")
         if self.default_group not in self.priority:
             raise ValueError(f"priority rules lack the default group {self.default_group!r}")
         if self.start_location not in self.locations:
@@ -83,6 +80,13 @@ class Rules:
             if unknown:
                 raise ValueError(f"group {group!r} lists unknown locations {sorted(unknown)}")
 
+    def fixed_locations(self) -> "Rules":
+        """These rules, if the stored columns have a place for each location; other
+        sets of locations go with the stock map (``operators.rule_tables``)."""
+        if sorted(self.locations) != sorted(LOCATIONS):
+            raise ValueError(f"the stored columns are fixed: {LOCATIONS}")
+        return self
+
     def groups(self) -> list[str]:
         return list(self.priority)
 
@@ -103,7 +107,7 @@ DEFAULT_RULES = Rules()
 
 
 def rule_frames(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
-    """The rule set as five small tables (FIXTURES §1.4)."""
+    """The rule set as six small tables (FIXTURES §1.4, and the locations by rank)."""
     prio = [(g, i + 1, loc) for g, seq in rules.priority.items() for i, loc in enumerate(seq)]
     auth = [(g, loc, bool(v)) for g, m in rules.requires_auth.items() for loc, v in m.items()]
     return {
@@ -118,4 +122,6 @@ def rule_frames(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> dict[str,
             T.StructType([T.StructField("sold_to_party", T.StringType())])),
         "location_alias": spark.createDataFrame(
             list(rules.location_alias.items()), "raw string, location string"),
+        "locations": spark.createDataFrame(
+            [(loc, i) for i, loc in enumerate(rules.locations)], "location string, rank int"),
     }

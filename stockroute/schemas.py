@@ -82,6 +82,9 @@ STOCK_JOIN_COLUMNS = (
 )
 # --- end of fixed values ---
 
+# Beside them where the rules are tables: location -> (quantity, has_stock).
+STOCK_MAP = "stock_by_location"
+
 # --- fixed values: the combined allocation table, in output order ---
 ALLOCATION_OUTPUT_COLUMNS = (
     "sales_order_number", "sales_order_line_item", "material_number", "material_description",

@@ -180,7 +180,7 @@ def test_valid_lines_and_exceptions_come_from_one_scan(spark, monkeypatch):
         original = getattr(pipeline, name)
         monkeypatch.setattr(pipeline, name, lambda df, *a, _f=original, **kw: (written.append(plan_text(df)), _f(df, *a, **kw))[1])
     pipeline.silver(spark, layout, TS, Rules(), result=result)
-    assert sum(plan.count("sales_orders_raw") for plan in written) == 1 and len(written) == 2
+    assert sum(plan.count("FileScan parquet [sales_order_number") for plan in written) == 1 and len(written) == 2
     flow = Flow(orders, stock, TS)
     cols = [c for c in layout.read(spark, "silver", "exceptions").columns if not c.startswith("_")]
     for name, want in (("valid_orders", flow.valid_orders), ("exceptions", flow.exceptions)):

@@ -4,10 +4,12 @@ import itertools
 
 import pytest
 import rowwise_rule
+from helpers import stock_df
 from pyspark.sql import functions as F
 
 from stockroute.functions import customer_group
 from stockroute.operators import allocate as al
+from stockroute.operators import stock
 from stockroute.rules import DEFAULT_RULES, Rules, rule_frames
 
 CUSTOM = Rules(
@@ -71,9 +73,9 @@ def test_rule_frames(spark):
     assert frames["auth_rules"].filter("requires_auth").count() == 8
 
 
-def test_locations_are_fixed():
+def test_stored_columns_are_fixed(spark):
     with pytest.raises(ValueError, match="fixed"):
-        Rules(locations=("PT12", "PT11", "PT15", "PT20"))
+        stock.stock_profile(stock_df(spark, {}), Rules(locations=("PT12", "PT11", "PT15", "PT20")))
 
 
 def test_shipped_values():
