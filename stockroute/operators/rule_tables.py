@@ -18,21 +18,14 @@ from ..functions import exact_sums, exact_total, py_ge, strip_unicode
 from ..rules import DEFAULT_RULES, LOCATIONS, Rules
 from ..schemas import (CASE_1, CASE_2, CASE_3, FULL_PALLET_ONLY, INCOMPLETE_OK, OUTCOME_STATUS, REASON_CASE_1,
                        REASON_CASE_2, REASON_CASE_3, REASON_NOT_IN_STOCK, STOCK_JOIN_COLUMNS, STOCK_MAP)
+from ..sources.sized import sized
 from . import allocate as al
 from .stock import ATTRIBUTES, drop_zero_stock, has_col, stock_col
 
-#: Rule tables up to this many bytes (as JSON text) are broadcast.
-BROADCAST_BYTES = 8 << 20
 
 Frames = dict[str, DataFrame]
 
 
-def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its rows have at most ``limit`` bytes."""
-    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16), F.lit(0))).first()[0]
-    return F.broadcast(df) if size <= limit else df
-
-
 def _unique(df: DataFrame, key: str, value: str) -> DataFrame:
     """One row a key (the smallest value), so that a look-up never repeats a line."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from ..operators import summary
 from ..rules import LOCATIONS, PRIORITY, REQUIRES_AUTH, Rules
-from ..schemas import ORDER_HEADERS, REASON_NOT_IN_STOCK, STOCK_HEADERS, STOCK_MAP
+from ..schemas import (ORDER_HEADERS, ORDERS_REQUIRED, ORDERS_SCHEMA, REASON_NOT_IN_STOCK, STOCK_HEADERS, STOCK_MAP,
+                       STOCK_REQUIRED, STOCK_SCHEMA)
 from ..session import scratch_path
 from ..sources import csv as csv_source
-from ..sources.tables import ensure_database, read_table, write_table
+from ..sources.tables import ensure_database, read_table, write_split, write_table
 from . import fixtures
 from .flow import QUERY_RUN_TS, Flow, TableFlow
 
@@ -68,6 +69,47 @@ def typed_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_source.with_audit(csv_source.typed_stock(text), QUERY_RUN_TS, "fx_stock")
 
 
+def scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock extracts of two plants in one directory: the second has its columns in
+    another order and lacks two."""
+    path = scratch_path(spark, "mixed-csv")
+    stock = fixtures.fx_stock(spark, sf_dir)
+    csv_source.write_csv(stock.where("plant = 'P1'"), f"{path}/first", STOCK_HEADERS)
+    other = [c for c in reversed(stock.columns) if c not in ("available_stock_qty", "palletization_indicator")]
+    csv_source.write_csv(stock.where("plant = 'P2'").select(*other), f"{path}/second", STOCK_HEADERS)
+    mixed = csv_source.read_csv_mixed(spark, f"{path}/*", STOCK_HEADERS)
+    return csv_source.apply_schema(mixed, STOCK_SCHEMA, STOCK_REQUIRED)
+
+
+def _labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order extracts some of whose numbers and dates are no such, read and labelled."""
+    path = scratch_path(spark, "faulty-csv")
+    line, quantity = F.col("sales_order_line_item"), F.col("order_quantity").cast("string")
+    orders = fixtures.fx_orders(spark, sf_dir).withColumns({
+        "order_quantity": F.when(line == "3", F.concat(F.lit("1,"), quantity)).when(line == "5", F.lit("n/a")).otherwise(quantity),
+        "required_delivery_date": F.when(line.isin("4", "5"), F.lit("31.12.2024")).otherwise(F.col("required_delivery_date").cast("string"))})
+    csv_source.write_csv(orders, path, ORDER_HEADERS)
+    return csv_source.ingest_labelled(spark, path, QUERY_RUN_TS, ORDER_HEADERS, ORDERS_SCHEMA, ORDERS_REQUIRED)
+
+
+def quarantined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells that do not type, a row for each, with their line's key."""
+    bad = _labelled_orders(spark, sf_dir).where(F.col("row_status") == csv_source.BAD)
+    return (bad.select("sales_order_number", "sales_order_line_item", F.explode("faults").alias("fault"))
+            .select("sales_order_number", "sales_order_line_item", F.col("fault.column").alias("fault_column"),
+                    F.col("fault.text").alias("fault_text")))
+
+
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, good and bad, after one write of both tables."""
+    rows = _labelled_orders(spark, sf_dir)
+    where, counts = write_split(rows, "row_status", {"good": csv_source.GOOD, "bad": csv_source.BAD}, "orders",
+                                root=scratch_path(spark, "quarantine"))
+    stored = [spark.read.parquet(where[name]).select(F.lit(name).alias("kind")) for name in counts]
+    kinds = stored[0].union(stored[1])
+    return kinds.union(kinds.select(F.lit("read"))).groupBy("kind").agg(F.count("*").alias("lines"))
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the stock table to the shared scratch folder and scan it back."""
     root = scratch_path(spark, "sink")
@@ -173,6 +215,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv_stock": scan_csv_stock,
     "typed_orders": typed_orders,
     "typed_stock": typed_stock,
+    "scan_mixed_headers": scan_mixed_headers,
+    "quarantined_orders": quarantined_orders,
+    "quarantine_counts": quarantine_counts,
     "sink_roundtrip": sink_roundtrip,
     "catalog_roundtrip": catalog_roundtrip,
     "category_filter": _attr("category_kept"),

@@ -246,6 +246,14 @@ _STOCK_COLS = ("material_number, plant, storage_location, available_stock_qty, "
 _STOCK_TEXT = {"material_number", "plant", "storage_location", "warehouse_type",
                "packaging_unit", "palletization_indicator"}
 
+# Cells as the faulty extract holds them.
+FAULTY = """(SELECT sales_order_number, sales_order_line_item,
+        CASE sales_order_line_item WHEN '3' THEN '1,' || CAST(order_quantity AS VARCHAR) WHEN '5' THEN 'n/a'
+             ELSE CAST(order_quantity AS VARCHAR) END AS q,
+        CASE WHEN sales_order_line_item IN ('4', '5') THEN '31.12.2024' ELSE CAST(required_delivery_date AS VARCHAR) END AS d
+ FROM fx_orders)"""
+_BAD_Q, _BAD_D = "q IS NOT NULL AND TRY_CAST(q AS DOUBLE) IS NULL", "d IS NOT NULL AND TRY_CAST(d AS DATE) IS NULL"
+
 FEASIBILITY = f"""SELECT sales_order_number, sales_order_line_item, material_number, material_description,
        'Yes' AS allocation_feasibility_flag, order_quantity AS required_quantity,
        CASE allocated_location WHEN 'PT12' THEN stock_PT12 WHEN 'PT11' THEN stock_PT11
@@ -319,6 +327,15 @@ ORACLE: dict[str, str] = {
                               "FROM fx_orders", "fx_orders"),
     "typed_stock": with_ctes(f"SELECT *, {TS} AS _ingestion_timestamp, 'fx_stock' AS _source_file "
                              "FROM fx_stock", "fx_stock"),
+    "scan_mixed_headers": with_ctes(
+        "SELECT " + _nullif_text(_STOCK_COLS, _STOCK_TEXT) + " FROM (SELECT * REPLACE (CASE WHEN plant = 'P1' THEN available_stock_qty END AS "
+        "available_stock_qty, CASE WHEN plant = 'P1' THEN palletization_indicator END AS palletization_indicator) FROM fx_stock)", "fx_stock"),
+    "quarantined_orders": with_ctes(
+        f"SELECT sales_order_number, sales_order_line_item, 'order_quantity' AS fault_column, q AS fault_text FROM {FAULTY} WHERE {_BAD_Q} "
+        f"UNION ALL SELECT sales_order_number, sales_order_line_item, 'required_delivery_date', d FROM {FAULTY} WHERE {_BAD_D}", "fx_orders"),
+    "quarantine_counts": with_ctes(
+        f"SELECT unnest(['read', 'good', 'bad']) AS kind, unnest([count(*), count(*) - count(*) FILTER (bad), count(*) FILTER (bad)]) AS lines "
+        f"FROM (SELECT ({_BAD_Q}) OR ({_BAD_D}) AS bad FROM {FAULTY})", "fx_orders"),
     "sink_roundtrip": with_ctes("SELECT * FROM tagged", "tagged"),
     "catalog_roundtrip": with_ctes("SELECT * FROM tagged", "tagged"),
     "category_filter": with_ctes("SELECT * FROM ztan", "ztan"),

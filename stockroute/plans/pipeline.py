@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from ..operators import allocate as al
 from ..operators import enrich, output, products, rule_tables, stock, summary, validate
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import CASE_2, EXCEPTION, VALID
+from ..schemas import (AUDIT_COLUMNS, CASE_2, EXCEPTION, ORDER_HEADERS, ORDERS_REQUIRED, ORDERS_SCHEMA, STOCK_HEADERS,
+                       STOCK_REQUIRED, STOCK_SCHEMA, VALID)
 from ..session import build_session
 from ..sources import csv as csv_source
 from ..sources.tables import part_path, read_table, table_format, write_split, write_table
@@ -32,6 +33,16 @@ from ..sources.tables import part_path, read_table, table_format, write_split, w
 #: Tables that one write makes, as partitions by status.
 VALIDATED = "validated_orders"
 BY_STATUS = {"valid_orders": VALID, "exceptions": EXCEPTION}
+#: Raw tables and their quarantine, by one write each where it is asked for.
+RAW = {
+    "sales_orders_raw": (ORDER_HEADERS, ORDERS_SCHEMA, ORDERS_REQUIRED),
+    "stock_availability_raw": (STOCK_HEADERS, STOCK_SCHEMA, STOCK_REQUIRED),
+}
+REJECTED = ("record", "faults", *AUDIT_COLUMNS)
+
+
+def rejected_name(raw: str) -> str:
+    return raw.removesuffix("_raw") + "_rejected"
 
 
 def _observed(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observation]:
@@ -51,6 +62,8 @@ class Layout:
     silver: str = "silver"
     gold: str = "gold"
     fmt: str | None = None
+    #: Raw rows that do not type go to ``*_rejected`` tables.
+    quarantine: bool = False
 
     def _place(self, layer: str) -> dict:
         db = getattr(self, layer)
@@ -63,11 +76,31 @@ class Layout:
         """Valid lines and exceptions by one write; their places and row counts."""
         return write_split(df, "validation_status", BY_STATUS, VALIDATED, **{"fmt": self.fmt, **self._place(layer)})
 
+    def write_raw(self, df: DataFrame, name: str) -> tuple[dict[str, str], dict[str, int]]:
+        """Typed rows and rejected ones by one write; their places and row counts."""
+        columns = {name: tuple(c for c in df.columns if c not in ("faults", "record", "row_status")), rejected_name(name): REJECTED}
+        return write_split(df, "row_status", {name: csv_source.GOOD, rejected_name(name): csv_source.BAD}, name + "_read",
+                           columns=columns, **{"fmt": self.fmt, **self._place("bronze")})
+
+    def _part(self, name: str) -> tuple[str, str, list[str] | None] | None:
+        """Table, value and columns of the partition that ``name`` is kept as."""
+        if name in BY_STATUS:
+            return VALIDATED, BY_STATUS[name], None
+        if self.quarantine:
+            for raw, (_, schema, _) in RAW.items():
+                if name == raw:
+                    return raw + "_read", csv_source.GOOD, [*schema.names, *AUDIT_COLUMNS]
+                if name == rejected_name(raw):
+                    return raw + "_read", csv_source.BAD, list(REJECTED)
+        return None
+
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
-        if self.root and name in BY_STATUS and table_format(spark, self.fmt) != "delta":
-            place = self._place(layer)
-            return spark.read.format(table_format(spark, self.fmt)).load(part_path(place["root"], VALIDATED, BY_STATUS[name]))
-        return read_table(spark, name, **self._place(layer))
+        part = self._part(name) if self.root and table_format(spark, self.fmt) != "delta" else None
+        if not part:
+            return read_table(spark, name, **self._place(layer))
+        stem, value, columns = part
+        df = spark.read.format(table_format(spark, self.fmt)).load(part_path(self._place(layer)["root"], stem, value))
+        return df.select(*columns) if columns else df
 
 
 @dataclass
@@ -82,6 +115,13 @@ def run_ts_now() -> str:
 
 def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: str, run_ts: str,
            *, strict: bool = True, multi_line: bool = False, result: RunResult) -> None:
+    if layout.quarantine:
+        for (name, spec), path in zip(RAW.items(), (orders_path, stock_path)):
+            rows = csv_source.ingest_labelled(spark, path, run_ts, *spec, source=path, multi_line=multi_line)
+            tables, counts = layout.write_raw(rows, name)
+            result.tables.update(tables)
+            result.metrics.update(counts)
+        return
     for name, df in (
             ("sales_orders_raw", csv_source.ingest_orders(spark, orders_path, run_ts,
                                                           strict=strict, multi_line=multi_line)),
@@ -191,6 +231,8 @@ def main(argv=None) -> None:
     ap.add_argument("--multiline", action="store_true",
                     help="fields may hold line breaks (one split per file)")
     ap.add_argument("--lenient", action="store_true", help="malformed numbers/dates -> null")
+    ap.add_argument("--quarantine", action="store_true",
+                    help="each file under its own header; rows that do not type -> *_rejected tables")
     ap.add_argument("--ignore-blocked-closed", action="store_true")
     ap.add_argument("--bronze-db", default="bronze")
     ap.add_argument("--silver-db", default="silver")
@@ -200,7 +242,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(app_name="stockroute-pipeline")
     layout = Layout(root=args.root, fmt=args.format, bronze=args.bronze_db,
-                    silver=args.silver_db, gold=args.gold_db)
+                    silver=args.silver_db, gold=args.gold_db, quarantine=args.quarantine)
     res = run(spark, args.orders, args.stock, layout, run_ts=args.run_ts,
               strict=not args.lenient, multi_line=args.multiline,
               ignore_blocked_closed=args.ignore_blocked_closed)

@@ -64,14 +64,16 @@ def part_path(root: str, stem: str, value: str) -> str:
 
 
 def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *, database: str | None = None,
-                root: str | None = None, fmt: str | None = None) -> tuple[dict[str, str], dict[str, int]]:
+                root: str | None = None, fmt: str | None = None,
+                columns: dict[str, tuple[str, ...]] | None = None) -> tuple[dict[str, str], dict[str, int]]:
     """Several tables by one pass: ``df`` is written once, partitioned by the values
     of ``column`` (which stays a column of the files), and ``tables`` (name -> value)
     are the partitions. Returns their names or paths, and their row counts.
 
     The files are below ``root``, or below the database's location with the names
     registered as external tables. A value without rows gets an empty table. Rows
-    with other values are an error. Formats with a log of their own (Delta) have no
+    with other values are an error. A table named in ``columns`` is registered with
+    these columns only. Formats with a log of their own (Delta) have no
     tables inside a table: there each is written by a pass of its own."""
     spark = df.sparkSession
     fmt = table_format(spark, fmt)
@@ -80,7 +82,7 @@ def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *
         where, counts = {}, {}
         for name, value in tables.items():
             seen = Observation()
-            part = df.where(F.col(column) == value).observe(seen, F.count(F.lit(1)).alias("rows"))
+            part = df.where(F.col(column) == value).select(*(columns or {}).get(name, df.columns)).observe(seen, F.count(F.lit(1)).alias("rows"))
             where[name] = write_table(part, name, **place)
             counts[name] = seen.get["rows"]
         return where, counts
@@ -106,5 +108,6 @@ def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *
         if database:
             where[name] = f"`{database}`.`{name}`"
             spark.sql(f"DROP TABLE IF EXISTS {where[name]}")
-            spark.catalog.createTable(f"{database}.{name}", path=path, source=fmt, schema=df.schema)
+            kept = (columns or {}).get(name, df.columns)
+            spark.catalog.createTable(f"{database}.{name}", path=path, source=fmt, schema=df.select(*kept).schema)
     return where, counts
