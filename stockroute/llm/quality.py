@@ -36,9 +36,27 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, GAP), "")
 
 
+def spaced(line: Column) -> Column:
+    """Words joined by one space, lower-cased. Lines are made to words only where
+    other blanks or two in a row say so; most have none."""
+    other = F.contains(line, F.lit("  "))
+    for blank in "\t\n\x0b\x0c\r":
+        other = other | F.contains(line, F.lit(blank))
+    return F.lower(F.trim(F.when(other, F.regexp_replace(line, GAP, " ")).otherwise(line)))
+
+
+def words_in(spaced: Column) -> Column:
+    """Number of words of a non-empty text with one space between words."""
+    return F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1
+
+
+def digits_as_0(text: Column) -> Column:
+    return F.regexp_replace(text, "[0-9]+", "0")
+
+
 def normalised(line: Column) -> Column:
     """Words joined by one space, lower-cased, digit runs as one 0."""
-    return F.regexp_replace(F.lower(F.array_join(words_of(line), " ")), "[0-9]+", "0")
+    return digits_as_0(spaced(line))
 
 
 def bind(value: Column, use) -> Column:
@@ -79,7 +97,7 @@ def document_rules(text: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     return {
         "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, GAP, "")).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_symbols": F.length(F.regexp_replace(text, SYMBOLS, "")).cast("long"),
         "n_dup_lines": bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": bind(words, lambda w: repeat_words(w)),
@@ -102,12 +120,12 @@ def line_keys(lines: Column) -> Column:
 def line_table(docs: DataFrame, host_col: str, text_col: str, keys: bool = False) -> DataFrame:
     """(host, d1, d2, place, line, words): the lines with a word of each row, as
     hashes of their normalised form; with ``keys`` also keys (:func:`line_keys`)
-    at place 0, of the lines as written but for case (texts that differ in digits
-    alone are no near copies)."""
+    at place 0, of the lines as written but for case and spacing (texts that differ
+    in digits alone are no near copies)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    written = lambda x: [F.xxhash64(F.lower(F.trim(x))).alias("written")] * keys
-    lines = F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
-                        lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words_of(x)).alias("words"), *written(x)))
+    lines = F.transform(F.filter(F.transform(F.split(text, "\n"), spaced), lambda x: x != ""),
+                        lambda x: F.struct(F.xxhash64(digits_as_0(x)).alias("line"), words_in(x).alias("words"),
+                                           *[F.xxhash64(x).alias("written")] * keys))
     rows = docs.select(F.col(host_col).alias("host"), *fingerprint(text), lines.alias("lines"))
     extra = []
     if keys:

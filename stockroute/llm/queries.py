@@ -67,9 +67,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and verdict of every document."""
-    return quality.quality_rules(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    """Counts and verdict of every document, and its words in common lines (which a
+    filter removes). Near copies do not make their own lines common."""
+    rated = quality.quality_rules(table(spark, sf_dir, "documents"), near_copies=True, most_docs=quality.MOST_DOCS,
+                                  corpus_share=quality.CORPUS_SHARE)
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                        F.col("common_words").cast("long").alias("n_common_words"))
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

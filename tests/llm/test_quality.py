@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from stockroute.llm import quality, queries, stages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -150,3 +152,22 @@ def test_lines_over_absolute_and_corpus_limits(spark, frame, monkeypatch):
     assert (count[hot], count[spread], count[short]) == (40, 0, 500)
     count = Counter(left(most_docs=quality.MOST_DOCS, corpus_share=quality.CORPUS_SHARE))
     assert (count[hot], count[spread], count[short]) == (40, 0, 500)
+
+
+def test_query_removes_common_lines_and_keeps_near_copies(spark, frame, saved):
+    rows, footer = near_copy_corpus()
+    menu = [(2000 + i, "\n".join([*footer, f"Nr {i}"]), "s") for i in range(30)]  # little but common lines
+    got = {r.doc_id: r for r in queries.op7_quality_rules(spark, saved(documents=frame(rows + menu))).collect()}
+    size = sum(len(x.split()) for x in footer)
+    for i, text, _ in rows:
+        assert got[i].kept and got[i].n_common_words == (size if footer[0] in text else 0)
+    assert not any(got[i].kept or got[i].base_failed for i, _, _ in menu)
+
+
+def test_lines_are_normalised_by_their_words(spark):
+    texts = ["A  B\tc", " a b  C ", "a b c\r", "x\x0by 12 345", "é É 7", "one", " \t", "", "a\x1fb", "a  b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = [WORD.findall(t) for t in texts]
+    got = df.select(quality.normalised(F.col("t")).alias("n"), quality.words_in(quality.spaced(F.col("t"))).alias("k")).collect()
+    assert [r.n for r in got] == [re.sub("[0-9]+", "0", " ".join(w).lower()) for w in words]
+    assert [r.k for r in got if r.n] == [len(w) for w in words if w]
