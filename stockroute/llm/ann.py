@@ -1,11 +1,10 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Centroids come from balanced splits of a bounded sample's distinct vectors and
-are compared in memory, all of them. A vector near a boundary is written to
-several lists (distance ratio, with close centroids skipped); a query visits
-every list whose distance is within a ratio of its nearest one, however many
-they are, and enough others to meet rows in proportion to the number of lists.
-Scores are exact cosines in double precision.
+are found through an in-memory graph of near centroids. A vector near a boundary
+is written to several lists (distance ratio, with close centroids skipped); a
+query visits the lists whose distance is within a ratio of its nearest one's,
+however many they are; the ratio is fitted on the sample's own neighbours. Scores are exact cosines in double precision.
 
 A list is dealt in chunks of rows and of queries, so a vector that a third of
 all rows repeat fills many cells, never one task; a cell returns its best few for
@@ -14,6 +13,7 @@ each query.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,32 +24,97 @@ from pyspark.sql import functions as F
 
 from .near_dedup import stored
 
-#: The fitting sample (rows of smallest seeded hash), rows aimed at in a list, and
-#: the most lists: the centroids are broadcast, so their number is bounded.
-SAMPLE_ROWS, LIST_ROWS, MAX_LISTS = 16384, 256, 2048
+#: The fitting sample (rows of smallest seeded hash, and its most numbers), rows
+#: aimed at in a list, and the most lists: sample and centroids pass the driver, so
+#: they are bounded. Lists grow longer beyond LIST_ROWS * MAX_LISTS rows.
+SAMPLE_ROWS, SAMPLE_VALUES, LIST_ROWS, MAX_LISTS = 65_536, 1 << 22, 256, 8192
 #: Copies of a boundary vector, and their distance ratio to the nearest centroid.
 COPIES, COPY_RATIO = 4, 1.15
-#: Distance ratio of the lists that a query visits, and rows it should meet at
-#: least for each list of the index (a list counts as twice the median at most).
-PROBE_RATIO, LEAST_ROWS = 1.35, 256
-#: Queries whose visits are made at once (each may visit every list).
-VISITORS = 64
+#: The distance ratio of the lists that a query visits is the least, from
+#: LEAST_RATIO on, that reaches this share of the NEIGHBOURS nearest of TRIALS sample
+#: vectors; rows that a query meets at least.
+REACHED, LEAST_RATIO, NEIGHBOURS, TRIALS, LEAST_ROWS = 0.97, 1.05, 5, 256, 512
+#: The graph: links to near centroids and to random ones, least number of entry
+#: points, and of centroids whose links are followed.
+NEAR_LINKS, FAR_LINKS, ENTRIES, BEAM = 12, 4, 32, 16
+#: Distances held at once by a search.
+HELD = 1 << 21
 #: Rows and queries of a list in one cell.
 CELL_ROWS, CELL_QUERIES = 2048, 512
 
 
 @dataclass
 class Centroids:
-    """Unit centroids."""
+    """Unit centroids, each with links to others, and the entry points of a search."""
 
     vectors: np.ndarray
+    links: np.ndarray
+    entries: np.ndarray
+    ratio: float = LEAST_RATIO
+
+    @classmethod
+    def of(cls, vectors: np.ndarray) -> "Centroids":
+        """With links to the nearest others and a few seeded random ones."""
+        n, rng = len(vectors), np.random.default_rng(0)
+        near = min(NEAR_LINKS, n - 1)
+        links = np.empty((n, near + FAR_LINKS), dtype=np.int64)
+        for at in range(0, n, 1024):
+            close = vectors[at:at + 1024] @ vectors.T
+            close[np.arange(len(close)), np.arange(at, at + len(close))] = -np.inf
+            links[at:at + 1024, :near] = np.argpartition(-close, max(near - 1, 0), axis=1)[:, :near]
+        links[:, near:] = rng.integers(0, n, (n, FAR_LINKS))
+        return cls(vectors, links, rng.permutation(n)[:max(ENTRIES, int(np.sqrt(n)))])
+
+    def search(self, x: np.ndarray, ratio: float) -> np.ndarray:
+        """Distances (rows x centroids) of the centroids met on the graph, infinite
+        for the others. Links are followed from the ``BEAM`` nearest so far and from
+        all within ``ratio`` of the nearest, until none of these is left."""
+        n = len(self.vectors)
+        dist = np.full((len(x), n), np.inf)
+        dist[:, self.entries] = _distance(x @ self.vectors[self.entries].T)
+        followed = np.zeros(dist.shape, dtype=bool)
+        while True:
+            limit = ratio * dist.min(axis=1)
+            if n > BEAM:
+                limit = np.maximum(limit, np.partition(dist, BEAM - 1, axis=1)[:, BEAM - 1])
+            row, node = np.nonzero((dist <= limit[:, None]) & ~followed & (dist < np.inf))
+            if not len(row):
+                return dist
+            followed[row, node] = True
+            met = np.unique(np.repeat(row, self.links.shape[1]) * n + self.links[node].ravel())
+            met = met[np.isinf(dist.flat[met])]
+            for at in range(0, len(met), 1 << 15):
+                i, j = np.divmod(met[at:at + (1 << 15)], n)
+                dist[i, j] = _distance(np.einsum("ij,ij->i", x[i], self.vectors[j]))
+
+    def blocks(self, rows: int) -> Iterator[slice]:
+        """Slices of rows whose searches hold ``HELD`` distances at most."""
+        step = max(1, HELD // len(self.vectors))
+        return (slice(at, at + step) for at in range(0, rows, step))
 
     def nearest(self, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each unit row of ``x``, its ``most`` nearest centroids (all, if
+        """For each unit row of ``x``, the ``most`` nearest centroids found (all, if
         they are fewer), nearest first, and their distances."""
-        dist = _distance(x @ self.vectors.T)
-        order = np.argsort(dist, axis=1, kind="stable")[:, :most]
-        return order, np.take_along_axis(dist, order, axis=1)
+        found = []
+        for part in self.blocks(len(x)):
+            dist = self.search(x[part], 1.0)
+            order = np.argsort(dist, axis=1, kind="stable")[:, :most]
+            found.append((order, np.take_along_axis(dist, order, axis=1)))
+        return np.concatenate([o for o, _ in found]), np.concatenate([d for _, d in found])
+
+    def visited(self, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) pairs that queries visit: lists within ``ratio`` of the
+        nearest one's distance, and further ones until ``LEAST_ROWS`` rows are met."""
+        rows, lists = [], []
+        for part in self.blocks(len(x)):
+            dist = self.search(x[part], self.ratio)
+            order = np.argsort(dist, axis=1, kind="stable")
+            dist = np.take_along_axis(dist, order, axis=1)
+            before = np.cumsum(sizes[order], axis=1) - sizes[order]
+            i, j = np.nonzero((dist < np.inf) & ((dist <= self.ratio * dist[:, :1]) | (before < LEAST_ROWS)))
+            rows.append(i + part.start)
+            lists.append(order[i, j])
+        return np.concatenate(rows), np.concatenate(lists)
 
 
 def _distance(cosine: np.ndarray) -> np.ndarray:
@@ -70,13 +135,10 @@ def fit_centroids(sample: np.ndarray, lists: int) -> Centroids:
     """Balanced splits of the distinct vectors: the largest cluster is halved at
     the median of its main direction until there are ``lists``."""
     x = _distinct(sample)
-    clusters = [np.arange(len(x))]
-    while len(clusters) < lists:
-        clusters.sort(key=len)
-        mine = clusters.pop()
-        if len(mine) < 2:
-            clusters.append(mine)
-            break
+    clusters = [(-len(x), 0, np.arange(len(x)))]  # a heap; numbers keep equal sizes in order
+    made = 1
+    while len(clusters) < lists and clusters[0][0] < -1:
+        mine = heapq.heappop(clusters)[2]
         part = x[mine]
         a, b = part[0], part[np.argmin(part @ part[0])]
         for _ in range(4):
@@ -84,8 +146,30 @@ def fit_centroids(sample: np.ndarray, lists: int) -> Centroids:
             cut = np.argsort(side, kind="stable")
             low, high = cut[:len(cut) // 2], cut[len(cut) // 2:]
             a, b = part[high].mean(axis=0), part[low].mean(axis=0)
-        clusters += [mine[low], mine[high]]
-    return Centroids(_unit(np.array([x[c].mean(axis=0) for c in clusters])))
+        for half in (mine[low], mine[high]):
+            heapq.heappush(clusters, (-len(half), made, half))
+            made += 1
+    made_of = Centroids.of(_unit(np.array([x[c].mean(axis=0) for _, _, c in clusters])))
+    made_of.ratio = fit_ratio(x, made_of)
+    return made_of
+
+
+def fit_ratio(x: np.ndarray, centroids: Centroids) -> float:
+    """The distance ratio at which the lists of a vector's neighbours in the sample
+    are visited. A table's neighbours are nearer than its sample's, so the sample errs
+    to the safe side."""
+    asked = np.linspace(0, len(x) - 1, min(TRIALS, len(x))).astype(int)
+    close = x[asked] @ x.T
+    close[np.arange(len(asked)), asked] = -np.inf
+    near = np.argpartition(-close, min(NEIGHBOURS, len(x) - 1) - 1, axis=1)[:, :min(NEIGHBOURS, len(x) - 1)]
+    if not near.size:
+        return LEAST_RATIO
+    dist = _distance(x[asked] @ centroids.vectors.T)
+    least = np.maximum(dist.min(axis=1), 1e-12)
+    needed = np.full(near.size, np.inf)
+    for row, c in filed(x[near.ravel()], centroids):
+        needed[row] = min(needed[row], dist[row // near.shape[1], c] / least[row // near.shape[1]])
+    return max(LEAST_RATIO, float(np.quantile(needed, REACHED)))
 
 
 def usable(vector: Column) -> Column:
@@ -99,13 +183,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(values.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(values), -1)
 
 
+def filed(x: np.ndarray, centroids: Centroids) -> Iterator[tuple[int, int]]:
+    """(row, list) pairs that unit rows are written to."""
+    return _copies(x, *centroids.nearest(x, 2 * COPIES), centroids)
+
+
 def _copies(x: np.ndarray, lists: np.ndarray, dist: np.ndarray, centroids: Centroids) -> Iterator[tuple[int, int]]:
     """(row, list) pairs: the nearest list, and others within the ratio unless a
     chosen centroid is nearer to theirs than the vector is."""
     for i in range(len(x)):
         chosen: list[int] = []
         for c, d in zip(lists[i], dist[i]):
-            if d > COPY_RATIO * dist[i, 0] or len(chosen) == COPIES:
+            if d > COPY_RATIO * dist[i, 0] or d == np.inf or len(chosen) == COPIES:
                 break
             if all(_distance(centroids.vectors[c] @ centroids.vectors[o]) >= d for o in chosen):
                 chosen.append(int(c))
@@ -155,7 +244,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, seed: int = 5, id_
     if common is None:
         return spark.createDataFrame([], schema)
     rows = rows.where(F.size("v") == common.d)
-    sample = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id")).limit(SAMPLE_ROWS).select("v").toArrow()
+    most = min(SAMPLE_ROWS, SAMPLE_VALUES // common.d + 1)
+    # By hash, a little under the bound; the limit only guards against repeated ids.
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 40)) < int(min(1.0, 0.95 * most / common.n) * (1 << 40))
+    sample = rows.where(F.lit(common.n <= most) | drawn).limit(most).select("v").toArrow()
+    if not len(sample):
+        sample = rows.limit(1).select("v").toArrow()
     sample = _distinct(_matrix(sample.column("v")))
     lists = int(np.clip(-(-common.n // LIST_ROWS), 1, min(MAX_LISTS, max(1, len(sample) // 8))))
     centroids = spark.sparkContext.broadcast(fit_centroids(sample, lists))
@@ -165,7 +259,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, seed: int = 5, id_
             for at in range(0, len(whole), 1024):
                 batch = whole.slice(at, 1024)
                 x = _unit(_matrix(batch.column("v")))
-                pairs = list(_copies(x, *centroids.value.nearest(x, 2 * COPIES), centroids.value))
+                pairs = list(filed(x, centroids.value))
                 picked = batch.take(pa.array([i for i, _ in pairs], pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([c for _, c in pairs], pa.int32()), *picked.columns],
                                                  ["list", *batch.schema.names])
@@ -176,19 +270,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, seed: int = 5, id_
     for r in postings.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
 
-    counted = np.minimum(sizes, 2 * np.median(sizes))
-    least = LEAST_ROWS * len(sizes)
-
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), VISITORS):
-                batch = whole.slice(at, VISITORS)
-                found, dist = centroids.value.nearest(_unit(_matrix(batch.column("v"))), len(sizes))
-                met = np.cumsum(counted[found], axis=1) - counted[found]  # rows in nearer lists
-                near = (dist <= PROBE_RATIO * dist[:, :1]) | (met < least)
-                i, j = np.nonzero(near)
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                i, found = centroids.value.visited(_unit(_matrix(batch.column("v"))), sizes)
                 picked = batch.take(pa.array(i))
-                yield pa.RecordBatch.from_arrays([pa.array(found[i, j], pa.int32()), *picked.columns],
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *picked.columns],
                                                  ["list", *batch.schema.names])
 
     asked = stored(rows.where("q").select(F.col("vec_id").alias("query_id"), "v")

@@ -84,6 +84,55 @@ def test_hot_vector_is_dealt_in_cells(spark, saved, monkeypatch):
         assert [v for _, v in sorted(found)] == [i for i in range(0, 14, 2) if i != q][:5]
 
 
+def clustered(n):
+    rng = np.random.default_rng(6)
+    return ann._unit(rng.normal(size=(400, 64))[rng.integers(0, 400, n)] + 0.6 * rng.normal(size=(n, 64)))
+
+
+def measured(x, queries=100):
+    """Recall of the 5 nearest and rows scored a query as a share of all, by the
+    operator's own functions and shipped constants (fitted as the operator does)."""
+    n = len(x)
+    sample = x[np.random.default_rng(1).permutation(n)[:ann.SAMPLE_ROWS]]
+    c = ann.fit_centroids(sample, min(ann.MAX_LISTS, n // ann.LIST_ROWS))
+    lists = [[] for _ in c.vectors]
+    for i, k in ann.filed(x, c):
+        lists[k].append(i)
+    sizes = np.array([len(k) for k in lists])
+    asked = np.arange(0, n, n // queries)[:queries]
+    row, found = c.visited(x[asked], sizes)
+    hits = 0
+    for r, i in enumerate(asked):
+        score = x @ x[i]
+        score[i] = -2
+        rows = {v for k in found[row == r] for v in lists[k]}
+        hits += len(rows & set(np.argpartition(-score, 5)[:5].tolist()))
+    return hits / 5 / len(asked), sizes[found].sum() / len(asked) / n
+
+
+def test_clustered_vectors_few_rows_are_scored():
+    """The share of rows scored falls as the table grows."""
+    small, large = measured(clustered(10_000)), measured(clustered(60_000))
+    assert large[0] >= 0.95 and large[1] <= 0.1 and small[0] >= 0.95 and large[1] < small[1] / 2
+
+
+def test_random_vectors_keep_recall():
+    """No clusters at all: the ratio lets a query visit more."""
+    recall, share = measured(ann._unit(np.random.default_rng(7).normal(size=(20_000, 64))))
+    assert recall >= 0.95 and share < 2.2
+
+
+def test_graph_finds_what_a_full_comparison_finds():
+    x = clustered(20_000)
+    c = ann.fit_centroids(x, 1500)
+    asked = x[::97]
+    full = ann._distance(asked @ c.vectors.T)
+    dist = c.search(asked, c.ratio)
+    near = full <= c.ratio * full.min(axis=1, keepdims=True)
+    assert np.isfinite(dist[near]).mean() > 0.99 and np.isfinite(dist).mean() < 0.5
+    assert np.allclose(dist[np.isfinite(dist)], full[np.isfinite(dist)])
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_recall_with_many_lists(spark, saved, monkeypatch, hot):
     """Random vectors, the hard case: 2,048 lists, and over 1,000 beside a vector
