@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .near_dedup import stored
-from .quality import fingerprint
+from .quality import bind, fingerprint
 
 #: Parts of one credential start at most so many characters apart.
 SCOPE = 300
@@ -43,6 +43,34 @@ ORDER = {kind: i for i, kind in enumerate([*STRONG, *WEAK])}
 SPAN = "struct<start:int,place:int,end:int,kind:string>"
 
 
+#: Items gathered at once: an aggregate copies its state at every step, so the
+#: spans in it must stay few whatever a text holds.
+CHUNK = 128
+_NONE = f"array<{SPAN}>"
+
+
+def gathered(items: Column, zero: Column, weight, combine, emit) -> Column:
+    """The spans that ``emit(state, item)`` gives (null: none), the state before an
+    item being all earlier ``weight(item)`` combined. Items are taken in chunks, each
+    from the combined weights of the chunks before it."""
+    over = lambda values, use: F.aggregate(values, zero, lambda a, x: combine(a, use(x)))
+    chunks = F.when(F.size(items) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")), lambda c: F.slice(items, c * CHUNK + 1, CHUNK)))
+
+    def merge(a, x):
+        span = emit(a["state"], x)
+        return F.struct(combine(a["state"], weight(x)).alias("state"),
+                        F.when(span.isNull(), a["new"]).otherwise(F.concat(a["new"], F.array(span))).alias("new"))
+
+    def run(parts, totals):
+        before = lambda i: F.aggregate(F.slice(totals, F.lit(1), i), zero, combine)
+        begin = lambda i: F.struct(before(i).alias("state"), F.array().cast(_NONE).alias("new"))
+        return F.flatten(F.transform(parts, lambda part, i: F.aggregate(part, begin(i), merge, lambda a: a["new"])))
+
+    found = bind(chunks, lambda parts: bind(F.transform(parts, lambda part: over(part, weight)), lambda totals: run(parts, totals)))
+    return F.coalesce(found, F.array().cast(_NONE))
+
+
 def find(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
     """Spans (code points, end exclusive) of the leftmost non-overlapping matches
     whose ``group`` has at least ``least`` characters and that hold what ``MUST``
@@ -51,21 +79,38 @@ def find(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0)
     def holds(x):
         return functools.reduce(lambda a, b: a & b, [x.rlike(p) for p in MUST.get(kind, ())], F.lit(True))
 
-    empty = F.array().cast(f"array<{SPAN}>")
     hits = F.arrays_zip(F.transform(F.split(text, pattern), lambda x: F.length(x)).alias("gap"),
                         F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda x: F.length(x)).alias("size"),
                         F.transform(F.regexp_extract_all(text, F.lit(pattern), group), lambda x: F.length(x)).alias("part"),
                         F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), holds).alias("holds"))
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
-    def step(a, x):
-        start = a["at"] + x["gap"]
+    def emit(at, x):
+        start = at + x["gap"]
         span = F.struct(start.alias("start"), F.lit(ORDER[kind]).alias("place"), (start + x["size"]).alias("end"), F.lit(kind).alias("kind"))
-        good = x["size"].isNotNull() & (x["part"] >= least) & x["holds"]
-        return F.struct((start + F.coalesce(x["size"], F.lit(0))).alias("at"),
-                        F.when(good, F.concat(a["found"], F.array(span))).otherwise(a["found"]).alias("found"))
+        return F.when(x["size"].isNotNull() & (x["part"] >= least) & x["holds"], span)
+
+    spans = bind(hits, lambda h: gathered(h, F.lit(0), lambda x: x["gap"] + F.coalesce(x["size"], F.lit(0)), lambda a, b: a + b, emit))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_NONE))
+
+
+def free_of(weak: Column, strong: Column) -> Column:
+    """The weak spans that overlap no strong one, by two passes over both in the
+    order of their starts: forwards none before may reach into a span, backwards none
+    after may begin in it."""
+    is_weak = lambda x: x["place"] >= len(STRONG)
+    last = F.lit((1 << 31) - 1)
+
+    def forwards(spans):
+        return gathered(spans, F.lit(0), lambda x: F.when(is_weak(x), 0).otherwise(x["end"]), lambda a, b: F.greatest(a, b),
+                        lambda reach, x: F.when(~is_weak(x) | (x["start"] >= reach), x))
+
+    def backwards(spans):
+        return gathered(spans, last, lambda x: F.when(is_weak(x), last).otherwise(x["start"]), lambda a, b: F.least(a, b),
+                        lambda begins, x: F.when(is_weak(x) & (x["end"] <= begins), x))
 
-    return F.when(text.rlike(pattern), F.aggregate(hits, begin, step, lambda a: a["found"])).otherwise(empty)
+    # Strong kinds come first among equal starts (by place).
+    both = bind(F.sort_array(F.concat(strong, weak)), forwards)
+    return F.when((F.size(weak) == 0) | (F.size(strong) == 0), weak).otherwise(bind(F.reverse(both), backwards))
 
 
 def as_text(spans: Column) -> Column:
@@ -106,7 +151,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, text_col: str = "text", ke
     text = F.coalesce(F.col(text_col), F.lit(""))
     strong = F.sort_array(F.concat(*[find(text, k, *v) for k, v in STRONG.items()]))
     weak = F.concat(*[find(text, k, p) for k, (p, _) in WEAK.items()])
-    free = F.filter(F.col("weak"), lambda w: ~F.exists(F.col("base"), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    free = free_of(F.col("weak"), F.col("base"))
     rows = (docs.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(keep)], *fingerprint(text),
                         strong.alias("base"), weak.alias("weak"))
             .withColumn("weak", free))

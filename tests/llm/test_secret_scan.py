@@ -1,8 +1,12 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from stockroute.llm import queries, secret_scan as ss
 
 ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -78,3 +82,25 @@ def test_sql_statement_agrees(spark, frame, saved):
     got = queries.op9_secret_scan(spark, path).select(*names).collect()
     assert sorted(map(tuple, got)) == sorted(cur.fetchall())
     assert any(re.search("login|random|endpoint", r.spans) for r in got)
+
+
+def test_many_matches_in_one_text_end_soon(spark, frame):
+    text = " ".join(f"user = name{i} {i:016x} key {'aB3' * 8}{i} db.example.org:{i % 9000 + 100}" for i in range(4_000))
+    began = time.time()
+    (row,) = ss.find_secrets(frame([(1, text)])).collect()
+    assert time.time() - began < 60
+    assert sum(x["kind"] == "hex" for x in row.base) == 4_000
+    starts = [x["start"] for x in row.base]
+    assert starts == sorted(starts) and all(text[x["start"]:x["end"]] == f"{i:016x}" for i, x in enumerate(x for x in row.base if x["kind"] == "hex"))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_weak_spans_free_of_strong_ones(spark, seed):
+    rng = random.Random(seed)
+    span = lambda place: (s := rng.randrange(400), place, s + rng.randint(1, 12), "k")
+    rows = [([span(rng.randrange(3)) for _ in range(rng.randrange(30))], [span(rng.randrange(3, 6)) for _ in range(rng.randrange(30))]) for _ in range(40)]
+    kind = ss._NONE
+    got = spark.createDataFrame(rows, f"strong {kind}, weak {kind}").select("*", ss.free_of(F.col("weak"), F.col("strong")).alias("free")).collect()
+    for r in got:
+        want = [tuple(w) for w in r.weak if not any(b["start"] < w["end"] and w["start"] < b["end"] for b in r.strong)]
+        assert sorted(map(tuple, r.free)) == sorted(want)
