@@ -44,19 +44,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind."""
+    """Personal data replaced by its kind. A null text stays null, an empty one empty;
+    texts are read whole. Rows are independent, so repeated rows agree; columns keep
+    their names and order."""
     return docs.withColumn("text", pii.redact(F.col("text"))).select(*_with_length(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them (0 to 3 times)."""
+    """Documents as often as the mix of sources takes them (0 to 3 times). Null and
+    empty texts have no words and are not taken; a null source is a source of its own;
+    repeated rows count each. The columns are those given, but ``__copy`` and the
+    operator's own (``mixing.mix_sources``) must not be among them."""
     taken = mixing.mix_sources(docs).where("copies > 0")
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of a training table: doc_id, source, lang, n_tokens, token_ids
-    (little-endian 32-bit) and whether the ids decode to the text's bytes."""
+    (little-endian 32-bit) and whether the ids decode to the text's bytes. Null and
+    empty texts have no tokens; texts are encoded whole, whatever their length; other
+    columns are left out."""
     ranks = bpe.rank_file(spark, public_tokenizers.path(RANKS))
     ids = bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN)
     coded = docs.select("doc_id", "source", "lang", "text", ids.alias("token_ids"))
