@@ -15,6 +15,7 @@ import html as entities
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PATH_DIM, WORD_DIM, COUNTS, HIDDEN = 96, 24, 10, 16
+PATH_DIM, WORD_DIM, COUNTS, HIDDEN = 256, 24, 10, 20
 INPUT = PATH_DIM + WORD_DIM + COUNTS
 #: Blocks (with padding) that one pass of the network holds.
 CELLS = 8192
@@ -42,53 +43,103 @@ _CLOSES_P = BLOCK - {"option", "button"}
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+@dataclass
+class Node:
+    """An open block element: its label, its parent, how deep it stands, and the sum
+    of what its path puts into the input vector. Paths share their ancestors, so a
+    page's memory grows with its length, however deep it nests."""
+
+    label: str
+    parent: Node | None
+    depth: int
+    sum: np.ndarray
+
+    def under(self, label: str) -> Node:
+        total = self.sum.copy()
+        for spot, weight in _label_spots(label):
+            total[spot] += weight
+        return Node(label, self, self.depth + 1, total)
+
+    def path(self) -> tuple[str, ...]:
+        """The labels from the page's root to this element."""
+        labels, node = [], self
+        while node.parent is not None:
+            labels.append(node.label)
+            node = node.parent
+        return tuple(reversed(labels))
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    node: Node
     text: str
     linked: int = 0  # characters inside links
 
 
+def _root() -> Node:
+    return Node("", None, 0, np.zeros(PATH_DIM))
+
+
 @dataclass
 class _Reader:
-    """Collects blocks while the tokens of a page pass by."""
-
-    stack: list[tuple[str, str]] = field(default_factory=list)  # tag, its label in the path
+    """Collects blocks while the tokens of a page pass by. ``levels`` has the places
+    of the open block elements in the stack, ``known`` counts the open elements: of
+    block tags by tag, of others by tag and level, so that an end tag without its
+    element costs no search."""
+
+    stack: list[tuple[str, Node]] = field(default_factory=list)  # tag, innermost block element
+    levels: list[int] = field(default_factory=list)
+    known: Counter = field(default_factory=Counter)
     blocks: list[Block] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     links: int = 0
+    root: Node = field(default_factory=_root)
+
+    def here(self) -> Node:
+        return self.stack[-1][1] if self.stack else self.root
+
+    def key(self, tag: str) -> str | tuple[str, int]:
+        return tag if tag in BLOCK else (tag, len(self.levels))
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(tuple(label for tag, label in self.stack if tag in BLOCK), text, self.links))
+            self.blocks.append(Block(self.here(), text, self.links))
         self.parts, self.links = [], 0
 
+    def cut(self, place: int) -> None:
+        """Close the elements from ``place`` on."""
+        while len(self.stack) > place:
+            tag, _ = self.stack.pop()
+            if tag in BLOCK:
+                self.levels.pop()
+            self.known[self.key(tag)] -= 1
+
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self.flush()
             gone = _SIBLINGS.get(tag, set()) | ({"p"} if tag in _CLOSES_P else set())
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] in gone:
-                    del self.stack[i:]
-                    break
-                if self.stack[i][0] in BLOCK:
-                    break
+            if self.levels and self.stack[self.levels[-1]][0] in gone:
+                self.cut(self.levels[-1])
         elif tag == "br":
             self.parts.append(" ")
         if tag not in VOID and not attributes.endswith("/") or tag in BLOCK and tag not in VOID:
-            names = " ".join(next(filter(None, m), "") for m in _NAMES.findall(attributes)) if attributes else ""
-            self.stack.append((tag, f"{tag} {names.lower()}" if names else tag))
+            self.known[self.key(tag)] += 1
+            node = self.here()
+            if tag in BLOCK:
+                names = " ".join(next(filter(None, m), "") for m in _NAMES.findall(attributes)) if attributes else ""
+                node = node.under(f"{tag} {names.lower()}" if names else tag)
+                self.levels.append(len(self.stack))
+            self.stack.append((tag, node))
 
     def close(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                return
-            if tag not in BLOCK and self.stack[i][0] in BLOCK:
-                return
+        if self.known[self.key(tag)] > 0:
+            place = len(self.stack) - 1
+            while self.stack[place][0] != tag:
+                place -= 1
+            self.cut(place)
 
     def text(self, piece: str) -> None:
         piece = entities.unescape(piece)
@@ -127,14 +178,21 @@ def _spot(text: str, dim: int) -> int:
 
 
 @functools.lru_cache(maxsize=65536)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    v = np.zeros(PATH_DIM)
-    for depth, label in enumerate(reversed(path)):
-        tag, _, names = label.partition(" ")
-        v[_spot(tag, PATH_DIM)] += 1.0 if depth < 4 else 0.5
-        for name in re.findall("[a-z]+", names):
-            v[_spot("." + name, PATH_DIM)] += 1.0
-    return v / np.sqrt(len(path) + 1)
+def _label_spots(label: str) -> tuple[tuple[int, float], ...]:
+    """What an element of a path adds to the vector: its tag and its names, each of
+    them in three places, so that a name which meets another in one differs in the rest."""
+    tag, _, names = label.partition(" ")
+    return ((_spot(tag, PATH_DIM), 0.5), *((_spot(mark + name, PATH_DIM), 0.7) for name in re.findall("[a-z]+", names) for mark in ".:;"))
+
+
+def _path_vector(node: Node) -> np.ndarray:
+    """The path's sum, in which the four innermost tags count double."""
+    v, inner = node.sum.copy(), node
+    for _ in range(min(4, node.depth)):
+        spot, weight = _label_spots(inner.label)[0]
+        v[spot] += weight
+        inner = inner.parent
+    return v / np.sqrt(node.depth + 1)
 
 
 def vectors(blocks: list[Block]) -> np.ndarray:
@@ -143,13 +201,13 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     n = len(blocks)
     for i, b in enumerate(blocks):
         words = b.text.split(" ")
-        out[i, :PATH_DIM] = _path_vector(b.path)
+        out[i, :PATH_DIM] = _path_vector(b.node)
         spots = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) % WORD_DIM for w in words), np.int64, len(words))
         out[i, PATH_DIM:PATH_DIM + WORD_DIM] = np.bincount(spots, minlength=WORD_DIM) / (len(words) + 8)
         size = len(b.text)
         out[i, PATH_DIM + WORD_DIM:] = (
             np.log1p(size) / 6, np.log1p(len(words)) / 4, b.linked / size, b.text[-1] in ".!?…\"'", "," in b.text,
-            sum(map(str.isdigit, b.text)) / size, len(b.path) / 8, i / n, 1 / (i + 1), 1 / (n - i))
+            sum(map(str.isdigit, b.text)) / size, min(b.node.depth, 64) / 8, i / n, 1 / (i + 1), 1 / (n - i))
     return out
 
 
@@ -321,55 +379,130 @@ def _made_page(rng: random.Random) -> tuple[str, list[bool]]:
             a, b = named("div", sides)
             put(a + f'<a href="#">{words(2, 6)}</a>' + b, False)
 
+    plain = ["container", "row", "col", "col-md-8", "wrap", "wrapper", "inner", "page", "grid", "box", "column", "block", "section", "center", "site", "layout"]
+
+    def neutral() -> tuple[str, str]:
+        """A container whose name says nothing about its content."""
+        pick = rng.random()
+        if pick < 0.25:
+            return "<div>", "</div>"
+        if pick < 0.5:
+            return named("div", plain)
+        return f'<div class="{"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8)))}">', "</div>"
+
+    def cells(rows: int, cols: int, head: bool) -> str:
+        made = [[words(1, 3) if rng.random() < 0.6 else str(rng.randint(0, 9999)) for _ in range(cols)] for _ in range(rows)]
+        return "<table>" + "".join("<tr>" + "".join(f"<{'th' if head and not i else 'td'}>{c}</{'th' if head and not i else 'td'}>" for c in row) + "</tr>"
+                                   for i, row in enumerate(made)) + "</table>"
+
+    def rich(main: bool) -> None:
+        """Subheads, data tables, code, definition lists, captions: main text or not
+        by where they stand."""
+        pick = rng.random()
+        if pick < 0.4:
+            put(f"<h{rng.randint(3, 6)}>{words(1, 8)}", main)
+            out.append("</h3>")
+        elif pick < 0.55:
+            rows, cols = rng.randint(1, 4), rng.randint(1, 4)
+            put(cells(rows, cols, rng.random() < 0.6), main, rows * cols)
+        elif pick < 0.7:
+            put("<pre>" + "\n".join(f"{word()} = {word()}({rng.randint(0, 99)});" for _ in range(rng.randint(1, 5))) + "</pre>", main)
+        elif pick < 0.85:
+            n = rng.randint(1, 3)
+            put("<dl>" + "".join(f"<dt>{words(1, 3)}</dt><dd>{line(2, 15)}</dd>" for _ in range(n)) + "</dl>", main, 2 * n)
+        else:
+            put(f'<figure><img src="x.png"><figcaption>{line(2, 12)}</figcaption></figure>', main)
+
+    open_layout = rng.random() < 0.55
+    wraps = [neutral() for _ in range(rng.choice([0, 1, 1, 2, 3]))] if open_layout or rng.random() < 0.2 else []
+    table = open_layout and rng.random() < 0.25
+
+    def links() -> None:
+        """A menu that only its links show to be one."""
+        n = rng.randint(2, 8)
+        x, y = neutral()
+        if rng.random() < 0.5:
+            put(x + rng.choice([" ", " | ", " &middot; "]).join(f'<a href="/{word()}">{words(1, 3)}</a>' for _ in range(n)) + y, False)
+        else:
+            put(x + "<ul>" + "".join(f'<li><a href="/{word()}">{words(1, 3)}</a></li>' for _ in range(n)) + "</ul>" + y, False, n)
+
     put(f"<title>{words(2, 9)}</title>", False)
     out.append('<style>p{margin:0}</style><script>var t="</p>";</script></head><body>')
+    out.extend(x for x, _ in wraps)
     if rng.random() < 0.3:
         a, b = named("div", notes)
         put(a + f"<p>{line(4, 20)}</p>" + b, False)
     if rng.random() < 0.5:
         a, b = rng.choice([("<header>", "</header>"), named("div", ["header", "masthead", "top", "site-header"])])
         put(a + rng.choice([f"<h1>{words(1, 4)}</h1>", f"<div class=\"logo\">{words(1, 3)}</div>", f"<p>{line(2, 9)}</p>"]) + b, False)
-    if rng.random() < 0.8:
-        menu(*rng.choice([("<nav>", "</nav>"), ("<nav>", "</nav>"), named("div", menus)]))
+    if table:
+        out.append("<table><tr><td>")
+        links()
+        out.append("</td><td>")
+    elif rng.random() < 0.8:
+        links() if open_layout and rng.random() < 0.5 else menu(*rng.choice([("<nav>", "</nav>"), ("<nav>", "</nav>"), named("div", menus)]))
     for _ in range(rng.choice([0, 1, 1, 2])):
         noise(False)
-    a, b = rng.choice([("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
-                       named("div", mains), named("article", mains), named("section", mains)])
+    if table:
+        a, b = rng.choice([("", ""), neutral()])
+    elif open_layout:
+        steps = [neutral() for _ in range(rng.randint(1, 3))]
+        a, b = "".join(x for x, _ in steps), "".join(y for _, y in steps)
+    else:
+        a, b = rng.choice([("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
+                           named("div", mains), named("article", mains), named("section", mains)])
     out.append(a)
     if rng.random() < 0.85:
         put(f"<h1>{line(1, 12)}</h1>", True)
-    for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8, 14])):
+    bare = rng.random() < (0.5 if open_layout else 0.2)  # paragraphs are elements that mean nothing
+    for _ in range(rng.choice([2, 3, 4, 5, 6, 8, 14] if open_layout else [0, 1, 1, 2, 3, 5, 8, 14])):
         pick = rng.random()
-        if pick < 0.45:
-            put(f"<p>{line(1, 90)}</p>", True)
-        elif pick < 0.6:
-            put(f"<p>{line(1, 3)}</p>", True)
-        elif pick < 0.75:
-            put(f"<p><b>{line(1, 40)}<br>", True)
-        elif pick < 0.82:
-            put(f"<h2>{words(1, 8)}</h2>", True)
-        elif pick < 0.88:
+        x, y = neutral() if bare else ("<p>", "</p>")
+        if pick < 0.38:
+            put(f"{x}{line(4 if open_layout else 1, 90)}{y}", True)
+        elif pick < 0.5:
+            put(f"{x}{line(4, 30)}{y}" if open_layout else f"<p>{line(1, 3)}</p>", True)
+        elif pick < 0.62:
+            put(f"<p><b>{line(4 if open_layout else 1, 40)}<br>", True)
+        elif pick < 0.74:
+            level = rng.choice([2, 2, 3, 3, 4, 5, 6])
+            put(f"<h{level}>{words(1, 8)}</h{level}>", True)
+        elif pick < 0.78:
             n = rng.randint(1, 5)
             put("<ul>" + "".join(f"<li>{line(2, 15)}</li>" for _ in range(n)) + "</ul>", True, n)
-        elif pick < 0.91:
+        elif pick < 0.8:
             put(f"<blockquote>{line(3, 40)}</blockquote>", True)
-        elif pick < 0.94:
-            put(f'<p>{line(2, 20)} <a href="/x">{words(1, 5)}</a> {line(1, 20)}</p>', True)
+        elif pick < 0.83:
+            put(f'{x}{line(2, 20)} <a href="/x">{words(1, 5)}</a> {line(1, 20)}{y}', True)
+        elif pick < 0.92:
+            rich(True)
         else:
             noise(True)
     if rng.random() < 0.15:
         x, y = named("div", talk)
         put(x + f"<p>{line(2, 30)}</p>" + y, False)
     out.append(b)
+    if table:
+        out.append("</td></tr></table>")
     if rng.random() < 0.4:
         x, y = named(rng.choice(["div", "section", "ol"]), talk)
         n = rng.randint(1, 5)
         put(x + "".join(f'<div class="comment"><p>{line(2, 30)}</p></div>' for _ in range(n)) + y, False, n)
     for _ in range(rng.choice([0, 0, 1, 2])):
         noise(False)
+    if rng.random() < 0.2:
+        a, b = rng.choice([named("div", sides), ("<aside>", "</aside>")])
+        out.append(a)
+        rich(False)
+        out.append(b)
+    out.extend(y for _, y in reversed(wraps[1:]))
     if rng.random() < 0.85:
         a, b = rng.choice([("<footer>", "</footer>"), ("<footer>", "</footer>"), named("div", ["footer", "bottom", "site-footer", "copyright"])])
-        put(a + rng.choice([f"&copy; {word()} &middot; {line(2, 14)}", f"<p>{line(2, 14)}</p>"]) + b, False)
+        if open_layout and rng.random() < 0.3:
+            put(f"<p>&copy; {rng.randint(1990, 2030)} {words(1, 6)}</p>", False)
+        else:
+            put(a + rng.choice([f"&copy; {word()} &middot; {line(2, 14)}", f"<p>{line(2, 14)}</p>"]) + b, False)
+    out.extend(y for _, y in wraps[:1])
     return '<!DOCTYPE html><html lang="en"><head><meta charset="utf-8">' + "".join(out) + rng.choice(["</body></html>", ""]), truth
 
 
@@ -387,7 +520,7 @@ def made_pages(n: int, seed: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 
 @functools.lru_cache(maxsize=2)
-def network(pages: int = 2500, epochs: int = 8, seed: int = 3) -> Network:
+def network(pages: int = 5000, epochs: int = 8, seed: int = 3) -> Network:
     """The trained labeller; ``pages`` made-up pages bound the training set."""
     return _train(*made_pages(pages, seed), epochs, seed)
 

@@ -1,6 +1,8 @@
 import html as entities
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -41,7 +43,7 @@ def test_blocks(page, blocks):
 
 def test_paths_and_links():
     b = hx.blocks_of('<body><div class="Ad box" id=x><p>one <a href="#">two</a></p></div><p>three</p></body>')
-    assert b[0].path == ("body", "div ad box x", "p") and b[0].linked == 3 and b[1].path == ("body", "p")
+    assert b[0].node.path() == ("body", "div ad box x", "p") and b[0].linked == 3 and b[1].node.path() == ("body", "p")
 
 
 def test_odd_and_long_pages():
@@ -53,6 +55,52 @@ def test_odd_and_long_pages():
     assert hx.main_texts(hx.network(), ["<article><p>" + "word " * 400000 + "</p></article>"])[0].count("word") == 400000
 
 
+MENU = '<a href="/">Home</a> | <a href="/n">News</a> | <a href="/c">Contact</a>'
+LINES = ["Harvest began late this year", "Growers in the valley waited three weeks longer than usual for the first dry days.",
+         "What it means for prices", "Wholesale prices rose by a tenth, and shops expect them to stay high until spring.",
+         "Some farms, however, sold out early; their owners say the cold nights made better fruit."]
+
+
+def layouts():
+    """Articles by hand in layouts that the made-up pages do not copy: (page, main blocks)."""
+    h, one, sub, two, three = LINES
+    foot = '<footer><p>Imprint</p></footer>'
+    yield (f'<body><div class="container-fluid"><div class="row">{MENU}</div><div class="row"><div class="col-lg-9"><h1>{h}</h1><p>{one}</p><h4>{sub}</h4>'
+           f'<p>{two}</p><p>{three}</p></div><div class="col-lg-3"><div class="widget"><h4>Popular</h4><p>Ten photographs</p></div></div></div></div>{foot}', LINES)
+    yield (f'<body><table width="100%"><tr><td>{MENU}</td></tr><tr><td><h2>{h}</h2><p>{one}</p><p>{two}</p><p>{three}</p></td></tr></table>{foot}', [h, one, two, three])
+    yield f'<body><div>{MENU}</div><div><div>{one}</div><div>{two}</div><div>{three}</div></div>{foot}', [one, two, three]
+    yield (f'<body><nav>{MENU}</nav><article><h1>{h}</h1><p>{one}</p><h5>{sub}</h5><table><tr><th>Month</th><th>Price</th></tr><tr><td>May</td><td>140</td></tr></table>'
+           f'<dl><dt>Must</dt><dd>{two}</dd></dl><pre>tons = area * yield</pre><figure><figcaption>Pickers at work.</figcaption></figure><p>{three}</p></article>{foot}',
+           [h, one, sub, "Month", "Price", "May", "140", "Must", two, "tons = area * yield", "Pickers at work.", three])
+    rng = random.Random(17)
+    for _ in range(20):
+        a, b, c, d = ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(4))
+        yield (f'<body><div class="{a}"><div class="{b}">{MENU}</div><div class="{c}"><h1>{h}</h1><div class="{d}">{one}</div><h3>{sub}</h3><div class="{d}">{two}</div>'
+               f'<div class="{d}">{three}</div></div></div><div class="footer">Imprint</div>', LINES)
+
+
+def test_held_out_layouts():
+    pages = list(layouts())
+    kept = wanted = extra = 0
+    for (_, blocks), text in zip(pages, hx.main_texts(hx.network(), ["<title>T</title>" + p for p, _ in pages])):
+        got = text.split("\n")
+        kept += sum(b in got for b in blocks)
+        wanted += len(blocks)
+        extra += sum(b not in blocks for b in got if b)
+    assert kept >= 0.95 * wanted and extra <= 0.05 * wanted, (kept, wanted, extra)
+
+
+def test_deep_nesting_takes_memory_by_length():
+    tracemalloc.start()
+    blocks = hx.blocks_of("<div>x" * 50000)
+    assert len(blocks) == 50000 and blocks[-1].node.depth == 50000
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    start = time.time()
+    assert hx.blocks_of("<div>" * 50000 + "</p>" * 50000 + "<b>" * 50000 + "<hr>" * 50000 + "</i>" * 50000) == []
+    assert time.time() - start < 20
+
+
 def test_query_on_the_pages(spark, saved):
     path = "/root/testdata/sf0.01"
     rows = {r.page_id: r for r in spark.read.parquet(path + "/pages.parquet").collect()}
