@@ -20,6 +20,7 @@ from ..schemas import (ORDER_HEADERS, ORDERS_REQUIRED, ORDERS_SCHEMA, REASON_NOT
                        STOCK_REQUIRED, STOCK_SCHEMA)
 from ..session import scratch_path
 from ..sources import csv as csv_source
+from ..sources import csv_split
 from ..sources.tables import ensure_database, read_table, write_split, write_table
 from . import fixtures
 from .flow import QUERY_RUN_TS, Flow, TableFlow
@@ -81,6 +82,15 @@ def scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_source.apply_schema(mixed, STOCK_SCHEMA, STOCK_REQUIRED)
 
 
+def scan_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order extracts whose descriptions hold line breaks, quotes and commas, read by
+    byte ranges."""
+    path = scratch_path(spark, "split-csv")
+    note = F.concat(F.col("material_description"), F.lit('\n"checked", by hand\n'), F.col("sales_order_number"))
+    csv_source.write_csv(fixtures.fx_orders(spark, sf_dir).withColumn("material_description", note), path, ORDER_HEADERS)
+    return csv_source.typed_orders(csv_split.read_csv_split(spark, path))
+
+
 def _labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order extracts some of whose numbers and dates are no such, read and labelled."""
     path = scratch_path(spark, "faulty-csv")
@@ -216,6 +226,7 @@ QUERIES: dict[str, Query] = {
     "typed_orders": typed_orders,
     "typed_stock": typed_stock,
     "scan_mixed_headers": scan_mixed_headers,
+    "scan_multiline_split": scan_multiline_split,
     "quarantined_orders": quarantined_orders,
     "quarantine_counts": quarantine_counts,
     "sink_roundtrip": sink_roundtrip,

@@ -330,6 +330,9 @@ ORACLE: dict[str, str] = {
     "scan_mixed_headers": with_ctes(
         "SELECT " + _nullif_text(_STOCK_COLS, _STOCK_TEXT) + " FROM (SELECT * REPLACE (CASE WHEN plant = 'P1' THEN available_stock_qty END AS "
         "available_stock_qty, CASE WHEN plant = 'P1' THEN palletization_indicator END AS palletization_indicator) FROM fx_stock)", "fx_stock"),
+    "scan_multiline_split": with_ctes(
+        f"SELECT {_nullif_text(ORDER_COLS, _ORDER_TEXT)} FROM (SELECT * REPLACE (material_description || chr(10) || '\"checked\", by hand' || chr(10) "
+        "|| sales_order_number AS material_description) FROM fx_orders)", "fx_orders"),
     "quarantined_orders": with_ctes(
         f"SELECT sales_order_number, sales_order_line_item, 'order_quantity' AS fault_column, q AS fault_text FROM {FAULTY} WHERE {_BAD_Q} "
         f"UNION ALL SELECT sales_order_number, sales_order_line_item, 'required_delivery_date', d FROM {FAULTY} WHERE {_BAD_D}", "fx_orders"),

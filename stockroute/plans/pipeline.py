@@ -28,6 +28,7 @@ from ..schemas import (AUDIT_COLUMNS, CASE_2, EXCEPTION, ORDER_HEADERS, ORDERS_R
                        STOCK_REQUIRED, STOCK_SCHEMA, VALID)
 from ..session import build_session
 from ..sources import csv as csv_source
+from ..sources.csv_split import read_csv_split
 from ..sources.tables import part_path, read_table, table_format, write_split, write_table
 
 #: Tables that one write makes, as partitions by status.
@@ -114,7 +115,9 @@ def run_ts_now() -> str:
 
 
 def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: str, run_ts: str,
-           *, strict: bool = True, multi_line: bool = False, result: RunResult) -> None:
+           *, strict: bool = True, multi_line: bool = False, split_multi_line: bool = False, result: RunResult) -> None:
+    if layout.quarantine and split_multi_line:
+        raise ValueError("rejected rows are not told apart in files read by splits")
     if layout.quarantine:
         for (name, spec), path in zip(RAW.items(), (orders_path, stock_path)):
             rows = csv_source.ingest_labelled(spark, path, run_ts, *spec, source=path, multi_line=multi_line)
@@ -122,12 +125,13 @@ def bronze(spark: SparkSession, layout: Layout, orders_path: str, stock_path: st
             result.tables.update(tables)
             result.metrics.update(counts)
         return
+    read = read_csv_split if split_multi_line else None
     for name, df in (
             ("sales_orders_raw", csv_source.ingest_orders(spark, orders_path, run_ts,
-                                                          strict=strict, multi_line=multi_line)),
+                                                          strict=strict, multi_line=multi_line, read=read)),
             ("stock_availability_raw", csv_source.ingest_stock(spark, stock_path, run_ts,
                                                                strict=strict,
-                                                               multi_line=multi_line))):
+                                                               multi_line=multi_line, read=read))):
         df, obs = _observed(df, name)
         result.tables[name] = layout.write(df, "bronze", name)
         result.metrics[name] = obs.get["rows"]
@@ -206,7 +210,7 @@ def summaries(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES)
 
 def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout, *,
         run_ts: str | None = None, rules: Rules = DEFAULT_RULES, strict: bool = True,
-        multi_line: bool = False, ignore_blocked_closed: bool = False,
+        multi_line: bool = False, split_multi_line: bool = False, ignore_blocked_closed: bool = False,
         ticket_partitions: int | None = None, frames: rule_tables.Frames | None = None) -> RunResult:
     """All three stages; row counts of every table are observed during the
     writes (``collect_metrics`` recounts stored tables on demand). With ``frames``
@@ -215,7 +219,7 @@ def run(spark: SparkSession, orders_path: str, stock_path: str, layout: Layout,
     ts = run_ts or run_ts_now()
     result = RunResult()
     bronze(spark, layout, orders_path, stock_path, ts, strict=strict, multi_line=multi_line,
-           result=result)
+           split_multi_line=split_multi_line, result=result)
     silver(spark, layout, ts, rules, ignore_blocked_closed=ignore_blocked_closed, frames=frames, result=result)
     gold(spark, layout, ts, rules, ticket_partitions=ticket_partitions, frames=frames, result=result)
     return result
@@ -230,6 +234,8 @@ def main(argv=None) -> None:
     ap.add_argument("--run-ts", default=None)
     ap.add_argument("--multiline", action="store_true",
                     help="fields may hold line breaks (one split per file)")
+    ap.add_argument("--multiline-split", action="store_true",
+                    help="fields may hold line breaks (files read in many splits, without --quarantine)")
     ap.add_argument("--lenient", action="store_true", help="malformed numbers/dates -> null")
     ap.add_argument("--quarantine", action="store_true",
                     help="each file under its own header; rows that do not type -> *_rejected tables")
@@ -244,7 +250,7 @@ def main(argv=None) -> None:
     layout = Layout(root=args.root, fmt=args.format, bronze=args.bronze_db,
                     silver=args.silver_db, gold=args.gold_db, quarantine=args.quarantine)
     res = run(spark, args.orders, args.stock, layout, run_ts=args.run_ts,
-              strict=not args.lenient, multi_line=args.multiline,
+              strict=not args.lenient, multi_line=args.multiline, split_multi_line=args.multiline_split,
               ignore_blocked_closed=args.ignore_blocked_closed)
     report = {"tables": res.tables, "metrics": res.metrics}
     if args.summaries:

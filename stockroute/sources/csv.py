@@ -5,7 +5,8 @@ text, matched to the column map by header (leading byte-order marks
 removed), and cast once to the target type. Inference would cost a full extra
 pass over the files and gives different types for different files (SURVEY
 §1.3). ``multiLine`` is an option because it makes each file one split; keep
-it off for large single files whose fields carry no line breaks. A directory
+it off for large single files whose fields carry no line breaks (with line breaks,
+``csv_split`` reads them in many tasks). A directory
 whose files have other headers or another column order is read under each file's
 own header by ``read_csv_mixed``; rows that do not type can go to a table of their
 own (``label_rows``) instead of ending the job or becoming null.
@@ -182,16 +183,20 @@ def ingest_labelled(spark: SparkSession, path: str, run_ts: str, header_map: dic
 
 
 def ingest_orders(spark: SparkSession, path: str, run_ts: str, *, source: str | None = None,
-                  strict: bool = True, multi_line: bool = False) -> DataFrame:
-    """CSV order extract -> raw order table (typed, plus audit columns)."""
-    return with_audit(typed_orders(read_csv(spark, path, multi_line=multi_line), strict=strict),
+                  strict: bool = True, multi_line: bool = False, read=None) -> DataFrame:
+    """CSV order extract -> raw order table (typed, plus audit columns). ``read``, if
+    given, reads the extract in place of ``read_csv``."""
+    raw = read(spark, path) if read else read_csv(spark, path, multi_line=multi_line)
+    return with_audit(typed_orders(raw, strict=strict),
                       run_ts, source or path)
 
 
 def ingest_stock(spark: SparkSession, path: str, run_ts: str, *, source: str | None = None,
-                 strict: bool = True, multi_line: bool = False) -> DataFrame:
-    """CSV stock extract -> raw stock table (typed, plus audit columns)."""
-    return with_audit(typed_stock(read_csv(spark, path, multi_line=multi_line), strict=strict),
+                 strict: bool = True, multi_line: bool = False, read=None) -> DataFrame:
+    """CSV stock extract -> raw stock table (typed, plus audit columns); ``read`` as for
+    orders."""
+    raw = read(spark, path) if read else read_csv(spark, path, multi_line=multi_line)
+    return with_audit(typed_stock(raw, strict=strict),
                       run_ts, source or path)
 
 
