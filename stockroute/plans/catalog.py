@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import summary
+from ..operators import products, summary, ticket_ids
 from ..rules import LOCATIONS, PRIORITY, REQUIRES_AUTH, Rules
 from ..schemas import (ORDER_HEADERS, ORDERS_REQUIRED, ORDERS_SCHEMA, REASON_NOT_IN_STOCK, STOCK_HEADERS, STOCK_MAP,
                        STOCK_REQUIRED, STOCK_SCHEMA)
@@ -189,6 +189,19 @@ def allocated_open_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TableFlow.from_fixtures(spark, sf_dir, rules=OPEN_RULES).allocated.select(*OPEN_COLUMNS)
 
 
+def tickets_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one register: the first without the customers of one group, the
+    second with all lines. The second run's tickets."""
+    root = scratch_path(spark, "register")
+    output = _flow(spark, sf_dir).allocation_output
+    lines = products.ticket_candidates(output)
+    first = products.ticket_candidates(output.where("customer_group <> 'Walmart'"))
+    write_table(ticket_ids.new_entries(first, ticket_ids.empty_register(spark)), "register", root=root)
+    write_table(ticket_ids.new_entries(lines, read_table(spark, "register", root=root)), "register", root=root, append=True)
+    known = ticket_ids.numbered(lines, read_table(spark, "register", root=root))
+    return products.ticket_rows(known, F.col(ticket_ids.NUMBER), QUERY_RUN_TS)
+
+
 def summary_location_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.location_count_summary(_flow(spark, sf_dir).stock_filtered)
 
@@ -254,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "allocation_output": _attr("allocation_output"),
     "feasibility": _attr("feasibility"),
     "tickets": _attr("tickets"),
+    "tickets_carried": tickets_carried,
     "execution_delivery": _attr("execution_delivery"),
     "allocated_by_rule_tables": allocated_by_rule_tables,
     "stock_open_locations": stock_open_locations,

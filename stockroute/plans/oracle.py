@@ -386,6 +386,8 @@ ORACLE: dict[str, str] = {
     "allocation_output": with_ctes("SELECT * FROM alloc_out", "alloc_out"),
     "feasibility": with_ctes(FEASIBILITY, "alloc_out"),
     "tickets": with_ctes(TICKETS, "alloc_out"),
+    "tickets_carried": with_ctes(TICKETS.replace(
+        "ORDER BY sales_order_number", "ORDER BY coalesce(customer_group = 'Walmart', TRUE), sales_order_number", 1), "alloc_out"),
     "execution_delivery": with_ctes(EXECUTION, "alloc_out"),
     "summary_location_count": with_ctes(_count("tagged", "available_locations_count"), "tagged"),
     "summary_exceptions": with_ctes(_count("exc", "exception_reason"), "exc"),

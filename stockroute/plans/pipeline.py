@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import allocate as al
-from ..operators import enrich, output, products, rule_tables, stock, summary, validate
+from ..operators import enrich, output, products, rule_tables, stock, summary, ticket_ids, validate
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import (AUDIT_COLUMNS, CASE_2, EXCEPTION, ORDER_HEADERS, ORDERS_REQUIRED, ORDERS_SCHEMA, STOCK_HEADERS,
                        STOCK_REQUIRED, STOCK_SCHEMA, VALID)
 from ..session import build_session
 from ..sources import csv as csv_source
 from ..sources.csv_split import read_csv_split
-from ..sources.tables import part_path, read_table, table_format, write_split, write_table
+from ..sources.tables import part_path, read_table, table_exists, table_format, write_split, write_table
 
 #: Tables that one write makes, as partitions by status.
 VALIDATED = "validated_orders"
@@ -39,6 +39,7 @@ RAW = {
     "sales_orders_raw": (ORDER_HEADERS, ORDERS_SCHEMA, ORDERS_REQUIRED),
     "stock_availability_raw": (STOCK_HEADERS, STOCK_SCHEMA, STOCK_REQUIRED),
 }
+TICKET_REGISTER = "order_validation_ticket_register"
 REJECTED = ("record", "faults", *AUDIT_COLUMNS)
 
 
@@ -65,13 +66,19 @@ class Layout:
     fmt: str | None = None
     #: Raw rows that do not type go to ``*_rejected`` tables.
     quarantine: bool = False
+    #: Tickets keep their ids over runs, by the table ``TICKET_REGISTER``.
+    carry_tickets: bool = False
 
     def _place(self, layer: str) -> dict:
         db = getattr(self, layer)
         return {"root": f"{self.root.rstrip('/')}/{db}", "fmt": self.fmt} if self.root else {"database": db}
 
-    def write(self, df: DataFrame, layer: str, name: str) -> str:
-        return write_table(df, name, **{"fmt": self.fmt, **self._place(layer)})
+    def write(self, df: DataFrame, layer: str, name: str, *, append: bool = False) -> str:
+        return write_table(df, name, append=append, **{"fmt": self.fmt, **self._place(layer)})
+
+    def exists(self, spark: SparkSession, layer: str, name: str) -> bool:
+        place = self._place(layer)
+        return table_exists(spark, name, database=place.get("database"), root=place.get("root"))
 
     def write_by_status(self, df: DataFrame, layer: str) -> tuple[dict[str, str], dict[str, int]]:
         """Valid lines and exceptions by one write; their places and row counts."""
@@ -151,6 +158,19 @@ def silver(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
     result.metrics["stock_filtered"] = obs.get["rows"]
 
 
+def carried_tickets(spark: SparkSession, layout: Layout, final: DataFrame, run_ts: str,
+                    partitions: int | None = None) -> DataFrame:
+    """The run's tickets under ids from the register, to which its new lines are
+    appended first: a run that is repeated finds them there and gives the same ids."""
+    lines = products.ticket_candidates(final)
+    if not layout.exists(spark, "gold", TICKET_REGISTER):
+        layout.write(ticket_ids.empty_register(spark), "gold", TICKET_REGISTER)
+    fresh = ticket_ids.new_entries(lines, layout.read(spark, "gold", TICKET_REGISTER), partitions)
+    layout.write(fresh, "gold", TICKET_REGISTER, append=True)
+    known = ticket_ids.numbered(lines, layout.read(spark, "gold", TICKET_REGISTER))
+    return products.ticket_rows(known, F.col(ticket_ids.NUMBER), run_ts)
+
+
 def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
          ticket_partitions: int | None = None, frames: rule_tables.Frames | None = None, result: RunResult) -> None:
     valid = layout.read(spark, "silver", "valid_orders")
@@ -176,8 +196,9 @@ def gold(spark: SparkSession, layout: Layout, run_ts: str, rules: Rules, *,
     final = layout.read(spark, "gold", "allocation_output")
     result.tables["allocation_feasibility_output"] = layout.write(
         products.feasibility(final, rules.locations), "gold", "allocation_feasibility_output")
-    result.tables["order_validation_ticket_pega"] = layout.write(
-        products.tickets(final, run_ts, ticket_partitions), "gold", "order_validation_ticket_pega")
+    tickets = (carried_tickets(spark, layout, final, run_ts, ticket_partitions) if layout.carry_tickets
+               else products.tickets(final, run_ts, ticket_partitions))
+    result.tables["order_validation_ticket_pega"] = layout.write(tickets, "gold", "order_validation_ticket_pega")
     result.tables["allocation_execution_delivery_output"] = layout.write(
         products.execution_delivery(final, run_ts), "gold",
         "allocation_execution_delivery_output")
@@ -239,6 +260,8 @@ def main(argv=None) -> None:
     ap.add_argument("--lenient", action="store_true", help="malformed numbers/dates -> null")
     ap.add_argument("--quarantine", action="store_true",
                     help="each file under its own header; rows that do not type -> *_rejected tables")
+    ap.add_argument("--carry-ticket-ids", action="store_true",
+                    help="tickets keep their ids over runs; new ones start after the largest given out")
     ap.add_argument("--ignore-blocked-closed", action="store_true")
     ap.add_argument("--bronze-db", default="bronze")
     ap.add_argument("--silver-db", default="silver")
@@ -248,7 +271,8 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(app_name="stockroute-pipeline")
     layout = Layout(root=args.root, fmt=args.format, bronze=args.bronze_db,
-                    silver=args.silver_db, gold=args.gold_db, quarantine=args.quarantine)
+                    silver=args.silver_db, gold=args.gold_db, quarantine=args.quarantine,
+                    carry_tickets=args.carry_ticket_ids)
     res = run(spark, args.orders, args.stock, layout, run_ts=args.run_ts,
               strict=not args.lenient, multi_line=args.multiline, split_multi_line=args.multiline_split,
               ignore_blocked_closed=args.ignore_blocked_closed)

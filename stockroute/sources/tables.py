@@ -31,11 +31,11 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def write_table(df: DataFrame, name: str, *, database: str | None = None, root: str | None = None,
-                fmt: str | None = None, partition_by=()) -> str:
-    """Overwrite a table (schema included). Returns its name or path."""
+                fmt: str | None = None, partition_by=(), append: bool = False) -> str:
+    """Overwrite a table (schema included), or ``append`` to it. Returns its name or path."""
     spark = df.sparkSession
     fmt = table_format(spark, fmt)
-    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    writer = df.write.format(fmt).mode("append") if append else df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if root:
@@ -56,6 +56,13 @@ def read_table(spark: SparkSession, name: str, *, database: str | None = None,
     return spark.table(f"`{database}`.`{name}`" if database else f"`{name}`")
 
 
+def table_exists(spark: SparkSession, name: str, *, database: str | None = None, root: str | None = None) -> bool:
+    if not root:
+        return spark.catalog.tableExists(f"`{database}`.`{name}`" if database else f"`{name}`")
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(root, name))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 PART = "part"
 
 
