@@ -47,3 +47,8 @@ def test_order_lines_are_sorted_once_as_stored(spark):
     # What is sorted has no made column yet.
     assert plan.index("sales_order_number") < plan.index(sorts[0])
     assert "sales_order_number" not in plan[plan.index(sorts[0]):]
+
+
+def test_parts_are_dealt_out_before_they_are_expanded(spark):
+    plan = plan_text(fixtures.fx_stock(spark, "/root/testdata/sf0.001"))
+    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(p_partkey")
