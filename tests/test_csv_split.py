@@ -85,3 +85,37 @@ def test_pipeline_reads_split_files(spark, tmp_path, small_splits):
     assert result.metrics["sales_orders_raw"] == result.metrics["valid_orders"] == 60
     stored = layout.read(spark, "bronze", "sales_orders_raw")
     assert {r.material_description for r in stored.collect()} == {f'one\ntwo, "{i}"' for i in range(60)}
+
+
+def test_lines_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"x\ny"\n2,z\n')
+    plan = csv_split.records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("MapInArrow _whole_records"):]
+    assert "Window" not in below[:below.index("Join LeftOuter")] and "rightHint=(strategy=broadcast)" in below
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_records_of_a_split_whatever_the_runs(seed):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(seed)
+    effects = [rng.choice([(0, 1), (0, 1), (1, 0), (0, 0), (1, 1)]) for _ in range(200)]
+    texts = [b"%d" % i for i in range(200)]
+    for before in (0, 1):
+        state, pieces, starts = before, [[]] if before else [], before == 0
+        for text, effect in zip(texts, effects):
+            if state == 0:
+                pieces.append([])
+            pieces[-1].append(text)
+            state = effect[state]
+        pieces = [b"\n".join(p) for p in pieces]
+        head = pieces.pop(0) if before else None
+        tail = pieces.pop() if state and pieces else None
+        cutter, got, at = csv_split._Cutter(before), [], 0
+        while at < 200:
+            n = rng.randint(1, 9)
+            o, i = (np.array([e[k] for e in effects[at:at + n]], dtype=np.int32) for k in (0, 1))
+            got += [t for a in cutter.add(pa.array(texts[at:at + n], pa.binary()), o, i) for t in a.to_pylist()]
+            at += n
+        assert got == pieces and cutter.ends() == (head, tail) and cutter.cut == len(got) and cutter.state == state
