@@ -191,11 +191,14 @@ def allocated_open_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tickets_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over one register: the first without the customers of one group, the
-    second with all lines. The second run's tickets."""
+    second with all lines. The second run's tickets. The ticket lines are allocated
+    and stored once."""
     root = scratch_path(spark, "register")
     output = _flow(spark, sf_dir).allocation_output
-    lines = products.ticket_candidates(output)
-    first = products.ticket_candidates(output.where("customer_group <> 'Walmart'"))
+    write_table(products.ticket_candidates(output, "customer_group"), "candidates", root=root)
+    stored = read_table(spark, "candidates", root=root)
+    lines = stored.select(*products.TICKET_ORDER)
+    first = stored.where("customer_group <> 'Walmart'").select(*products.TICKET_ORDER)
     write_table(ticket_ids.new_entries(first, ticket_ids.empty_register(spark)), "register", root=root)
     write_table(ticket_ids.new_entries(lines, read_table(spark, "register", root=root)), "register", root=root, append=True)
     known = ticket_ids.numbered(lines, read_table(spark, "register", root=root))

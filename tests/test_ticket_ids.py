@@ -62,3 +62,10 @@ def test_pipeline_reruns_keep_ids(spark, tmp_path):
     assert seen[0] and seen[0] == seen[1] and set(seen[0]) < set(seen[2])
     assert len({i for i, _ in seen[2]}) == len(seen[2]) == 2 * len(seen[0])
     assert min(i for i, _ in set(seen[2]) - set(seen[0])) > max(i for i, _ in seen[0])
+
+
+def test_carried_tickets_are_allocated_once(spark):
+    from stockroute.plans import catalog
+
+    plan = plan_text(catalog.tickets_carried(spark, "/root/testdata/sf0.001"))
+    assert "candidates" in plan and "lineitem" not in plan
