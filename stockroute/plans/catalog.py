@@ -114,7 +114,7 @@ def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read, good and bad, after one write of both tables."""
     rows = _labelled_orders(spark, sf_dir)
     where, counts = write_split(rows, "row_status", {"good": csv_source.GOOD, "bad": csv_source.BAD}, "orders",
-                                root=scratch_path(spark, "quarantine"))
+                                root=scratch_path(spark, "quarantine"), compression="zstd")
     stored = [spark.read.parquet(where[name]).select(F.lit(name).alias("kind")) for name in counts]
     kinds = stored[0].union(stored[1])
     return kinds.union(kinds.select(F.lit("read"))).groupBy("kind").agg(F.count("*").alias("lines"))

@@ -9,6 +9,8 @@ on the class path; otherwise Parquet. Tables are addressed as
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +72,25 @@ def part_path(root: str, stem: str, value: str) -> str:
     return os.path.join(root, stem, f"{PART}={value}")
 
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Partitioned writes inside keep up to ``most`` files a task open at once; with
+    more partitions in a task, Spark sorts its remaining rows as it does by default.
+    Spark falls back to the sort as soon as its limit is reached, so that is one more."""
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, str(max(most + 1, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
+
+
 def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *, database: str | None = None,
                 root: str | None = None, fmt: str | None = None,
-                columns: dict[str, tuple[str, ...]] | None = None) -> tuple[dict[str, str], dict[str, int]]:
+                columns: dict[str, tuple[str, ...]] | None = None, compression: str | None = None) -> tuple[dict[str, str], dict[str, int]]:
     """Several tables by one pass: ``df`` is written once, partitioned by the values
     of ``column`` (which stays a column of the files), and ``tables`` (name -> value)
     are the partitions. Returns their names or paths, and their row counts.
@@ -80,7 +98,8 @@ def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *
     The files are below ``root``, or below the database's location with the names
     registered as external tables. A value without rows gets an empty table. Rows
     with other values are an error. A table named in ``columns`` is registered with
-    these columns only. Formats with a log of their own (Delta) have no
+    these columns only. A task keeps one file a table open, so its rows are not sorted
+    by the column first. Formats with a log of their own (Delta) have no
     tables inside a table: there each is written by a pass of its own."""
     spark = df.sparkSession
     fmt = table_format(spark, fmt)
@@ -101,8 +120,11 @@ def write_split(df: DataFrame, column: str, tables: dict[str, str], stem: str, *
         base = spark.catalog.getDatabase(database).locationUri
     else:
         base = root
-    (rows.withColumn(PART, F.col(column)).write.format(fmt).mode("overwrite").partitionBy(PART)
-     .save(os.path.join(base, stem)))
+    writer = rows.withColumn(PART, F.col(column)).write.format(fmt).mode("overwrite").partitionBy(PART)
+    if compression:
+        writer = writer.option("compression", compression)
+    with _open_files(spark, len(tables)):
+        writer.save(os.path.join(base, stem))
     counts = dict(seen.get)
     if counts.pop("rows") != sum(counts.values()):
         raise ValueError(f"{column} has values other than {sorted(tables.values())}")

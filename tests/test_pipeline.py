@@ -13,7 +13,7 @@ from stockroute.rules import Rules
 from stockroute.schemas import ORDER_HEADERS, STOCK_HEADERS
 from stockroute.session import scratch_path
 from stockroute.sources.csv import write_csv
-from stockroute.sources.tables import write_split
+from stockroute.sources.tables import OPEN_FILES, write_split
 
 TS = "2024-06-30T00:00:00"
 
@@ -207,3 +207,16 @@ def test_split_write_with_a_status_without_rows(spark, database):
     finally:
         if database:
             spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_split_write_keeps_its_files_open_instead_of_sorting(spark, monkeypatch):
+    df = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("s"))
+    writer, before, during = type(df.write), spark.conf.get(OPEN_FILES), []
+    save = writer.save
+    monkeypatch.setattr(writer, "save", lambda self, *a, **kw: (during.append(int(spark.conf.get(OPEN_FILES))), save(self, *a, **kw))[1])
+    where, counts = write_split(df, "s", {"first": "a", "second": "b"}, "open", root=scratch_path(spark, "open"), compression="zstd")
+    # Spark sorts a task's rows once as many files are open as it is told at most.
+    assert during == [3] and spark.conf.get(OPEN_FILES) == before
+    assert counts == {"first": 50, "second": 50}
+    assert {r.id for r in spark.read.parquet(where["first"]).collect()} == set(range(0, 100, 2))
+    assert all(f.endswith(".zstd.parquet") for w in where.values() for f in spark.read.parquet(w).inputFiles())
