@@ -4,6 +4,7 @@ import re
 import pytest
 
 from stockroute.plans import fixtures
+from stockroute.plans.catalog import QUERIES
 
 from helpers import plan_text
 
@@ -49,6 +50,14 @@ def test_order_lines_are_sorted_once_as_stored(spark):
     assert "sales_order_number" not in plan[plan.index(sorts[0]):]
 
 
+@pytest.mark.parametrize("name", ["not_in_stock"])
+def test_queries_on_order_lines_sort_them_once_as_stored(spark, name):
+    plan = plan_text(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    sorts = re.findall(r"Sort \[(?:l_orderkey|sales_order_number)#\d+L? ", plan)
+    assert len(sorts) == 1 and plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert "sales_order_number" not in plan[plan.index(sorts[0]):]
+
+
 def test_parts_are_dealt_out_before_they_are_expanded(spark):
     plan = plan_text(fixtures.fx_stock(spark, "/root/testdata/sf0.001"))
     assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(p_partkey")
