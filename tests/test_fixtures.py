@@ -50,7 +50,7 @@ def test_order_lines_are_sorted_once_as_stored(spark):
     assert "sales_order_number" not in plan[plan.index(sorts[0]):]
 
 
-@pytest.mark.parametrize("name", ["not_in_stock", "orders_clean", "orders_with_stock"])
+@pytest.mark.parametrize("name", ["not_in_stock", "orders_clean", "orders_with_stock", "allocated"])
 def test_queries_on_order_lines_sort_them_once_as_stored(spark, name):
     plan = plan_text(QUERIES[name](spark, "/root/testdata/sf0.001"))
     sorts = re.findall(r"Sort \[(?:l_orderkey|sales_order_number)#\d+L? ", plan)
