@@ -84,10 +84,11 @@ def scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order extracts whose descriptions hold line breaks, quotes and commas, read by
-    byte ranges."""
+    byte ranges. They are stored with bzip2, the one codec whose files have such ranges."""
     path = scratch_path(spark, "split-csv")
     note = F.concat(F.col("material_description"), F.lit('\n"checked", by hand\n'), F.col("sales_order_number"))
-    csv_source.write_csv(fixtures.fx_orders(spark, sf_dir).withColumn("material_description", note), path, ORDER_HEADERS)
+    csv_source.write_csv(fixtures.fx_orders(spark, sf_dir).withColumn("material_description", note), path, ORDER_HEADERS,
+                         compression="bzip2")
     return csv_source.typed_orders(csv_split.read_csv_split(spark, path))
 
 

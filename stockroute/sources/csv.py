@@ -200,9 +200,10 @@ def ingest_stock(spark: SparkSession, path: str, run_ts: str, *, source: str | N
                       run_ts, source or path)
 
 
-def write_csv(df: DataFrame, path: str, header_map: dict[str, str]) -> None:
+def write_csv(df: DataFrame, path: str, header_map: dict[str, str], *, compression: str = "none") -> None:
     """Write ``df`` as an extract with export headers (used to build test
-    extracts from tables). Spaces are written as they are."""
+    extracts from tables). Spaces are written as they are. Of the codecs, only
+    bzip2 files can still be read in byte ranges."""
     inverse = {v: k for k, v in header_map.items()}
     (df.select(*[F.col(c).cast("string").alias(inverse.get(c, c)) for c in df.columns])
      .write.mode("overwrite")
@@ -210,4 +211,5 @@ def write_csv(df: DataFrame, path: str, header_map: dict[str, str]) -> None:
      .option("escape", '"')
      .option("ignoreLeadingWhiteSpace", "false")
      .option("ignoreTrailingWhiteSpace", "false")
+     .option("compression", compression)
      .csv(path))

@@ -1,12 +1,12 @@
 """CSV files whose cells hold line breaks, read in many tasks.
 
 ``multiLine`` makes a file one split. Here a file is read by lines, in as many
-splits as its bytes give, and the lines are joined to records afterwards. What a
-line does to the quoting is a function of the state before it (outside or inside a
-quoted cell) with two possible results, so it is one of four: keep, swap, set to
-outside, set to inside. The functions are composed by sums and last values: over the
-lines of a split where it is read, then over the splits of a file, which gives the
-state in which every split begins. Knowing it, a second read cuts each split into
+splits as its bytes give (if it is plain or bzip2), and the lines are joined to records
+afterwards. What a line does to the quoting is a function of the state before it
+(outside or inside a quoted cell) with two possible results, so it is one of four: keep,
+swap, set to outside, set to inside. The functions are composed by sums and last values:
+over the lines of a split where it is read, then over the splits of a file, which gives
+the state in which every split begins. Knowing it, a second read cuts each split into
 records as its lines pass by: lines are neither shuffled nor sorted. Spark's own CSV
 parser then reads the records.
 """
@@ -27,24 +27,26 @@ from ..session import scratch_path
 from .csv import BOM, FILE_COLUMN, read_csv
 
 _SPLIT = "_split"
-_OPEN = r'(^|,)"'
-_CLOSED = r'(^|,)"[^"]*"[^,]*'
+_OPEN = ',"'
+_CLOSED = ',"[^"]*"[^,]*'
 
 
-def _ends_inside(text: Column) -> Column:
-    """Whether text that begins outside, without doubled quotes, ends in a quoted
-    cell: one opens at a cell's start and is not closed. A quote elsewhere in an
+def _ends_inside(cells: Column) -> Column:
+    """Whether cells, each after a comma and without doubled quotes, end in a quoted
+    one: one opens at a cell's start and is not closed. A quote elsewhere in an
     unquoted cell means nothing."""
-    return F.regexp_replace(text, _CLOSED, "$1").rlike(_OPEN)
+    return F.contains(F.regexp_replace(cells, _CLOSED, ","), F.lit(_OPEN)).cast("int")
 
 
 def line_effect(line: Column) -> tuple[Column, Column]:
-    """The state after a line (1: inside a quoted cell) that begins outside, inside."""
+    """The state after a line (1: inside a quoted cell) that begins outside, inside.
+    Only lines in which a cell may open are searched by patterns."""
     single = F.replace(line, F.lit('""'), F.lit(""))  # a doubled quote changes no state
-    rest = F.regexp_replace(single, r'^[^"]*"[^,]*', "")
-    quoted = F.contains(single, F.lit('"'))
-    return (F.when(quoted, _ends_inside(single).cast("int")).otherwise(0),
-            F.when(quoted, _ends_inside(rest).cast("int")).otherwise(1))
+    cells = F.concat(F.lit(","), single)
+    opens = F.contains(cells, F.lit(_OPEN))
+    return (F.when(opens, _ends_inside(cells)).otherwise(0),
+            F.when(opens, _ends_inside(F.concat(F.lit(_OPEN), single)))
+            .when(F.contains(single, F.lit('"')), 0).otherwise(1))
 
 
 def _composed(window: WindowSpec, before: str) -> Column:

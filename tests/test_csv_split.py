@@ -1,4 +1,7 @@
+import bz2
+import itertools
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +75,53 @@ def test_line_effect(spark, line, after):
     assert tuple(row) == after
 
 
+def test_line_effect_of_every_short_line(spark):
+    def ends(line, state):
+        for c in line.replace('""', ""):
+            if state == "in":
+                state = "closed" if c == '"' else "in"
+            elif c == ",":
+                state = "start"
+            elif state == "start":
+                state = "in" if c == '"' else "text"
+        return int(state == "in")
+
+    lines = ["".join(x) for n in range(8) for x in itertools.product('a,"', repeat=n)]
+    outside, inside = csv_split.line_effect(F.col("line"))
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", outside, inside).collect()
+    assert [tuple(r) for r in got if tuple(r)[1:] != (ends(r.line, "start"), ends(r.line, "in"))] == []
+
+
+@pytest.mark.parametrize("size", ["7000", "31000"])
+def test_bzip2_files_are_read_in_byte_ranges(spark, tmp_path, small_splits, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    rng = random.Random(1)
+    rows = [f"{i},{_cell(rng)},{_cell(rng)},end{i}" for i in range(40_000)]
+    text = ("id,first,second,last\n" + "\n".join(rows) + "\n").encode()
+    for kind, content in (("bz2", bz2.compress(text, 1)), ("plain", text)):  # level 1: a block each 100 KB of text
+        (tmp_path / kind).mkdir()
+        (tmp_path / kind / ("a.csv" + ".bz2" * (kind == "bz2"))).write_bytes(content)
+    assert csv_split._lines(spark, str(tmp_path / "bz2")).select("_split").distinct().count() > 5
+    got = csv_split.read_csv_split(spark, str(tmp_path / "bz2"))
+    want = csv_source.read_csv(spark, str(tmp_path / "plain"), multi_line=True)
+    assert _rows(got) == _rows(want) and got.count() == 40_000
+
+
+def test_query_stores_its_extract_compressed(spark, tmp_path, monkeypatch):
+    from stockroute.plans import catalog, fixtures
+
+    from helpers import orders_df
+    orders = orders_df(spark, *[{"sales_order_number": str(i), "material_description": f"part {i % 50}"} for i in range(3000)])
+    monkeypatch.setattr(fixtures, "fx_orders", lambda spark, sf_dir: orders)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: str(tmp_path / label))
+    got = catalog.scan_multiline_split(spark, "none")
+    want = orders.withColumn("material_description", F.concat("material_description", F.lit('\n"checked", by hand\n'), "sales_order_number"))
+    assert _rows(got) == _rows(want.select(*got.columns))
+    stored = [f.read_bytes() for f in Path(tmp_path, "split-csv").glob("part-*")]
+    text = b"".join(bz2.decompress(b) if b[:3] == b"BZh" else b for b in stored)
+    assert text.count(b"by hand") == 3000 and 4 * sum(map(len, stored)) < len(text)
+
+
 def test_pipeline_reads_split_files(spark, tmp_path, small_splits):
     from stockroute.plans import pipeline
     from stockroute.schemas import ORDER_HEADERS, STOCK_HEADERS
